@@ -1,0 +1,5 @@
+"""Nothing of its own: no report reads a stream.
+
+The column functions (comment cleaning, labels, distances, number and date parsing) and ``score_with`` hold no state, so
+they apply to a ``readStream`` frame as they are.
+"""
