@@ -113,6 +113,19 @@ VIEWS = {
         select id, label, vote, 1 as p, row_number() over (partition by id order by d1, neighbour) as place from distances
         union all
         select id, label, vote, 2 as p, row_number() over (partition by id order by d2, neighbour) as place from distances""",
+    "fold_entries": """
+        select vec_id, label, cast('0x' || substr(md5('3:' || cast(vec_id as varchar)), 1, 8) as bigint) % 3 as fold, e, x
+        from entries where not is_test""",
+    "fold_distances": """
+        select a.vec_id as id, b.vec_id as neighbour, any_value(a.fold) as fold, any_value(a.label) as label,
+               any_value(b.label) as vote, sum(abs(a.x - b.x)) as d1, sum((a.x - b.x) * (a.x - b.x)) as d2
+        from fold_entries a join fold_entries b on a.e = b.e where a.fold <> b.fold group by a.vec_id, b.vec_id""",
+    "fold_places": """
+        select id, fold, label, vote, 1 as p, row_number() over (partition by id order by d1, neighbour) as place
+        from fold_distances
+        union all
+        select id, fold, label, vote, 2 as p, row_number() over (partition by id order by d2, neighbour) as place
+        from fold_distances""",
     "votes": """
         select id, any_value(label) as label, p, cast(k as int) as k, vote, count(*) as n
         from places cross join range(1, 11) t(k) where place <= k group by id, p, k, vote""",
@@ -132,6 +145,9 @@ _DEPENDS = {
     "entries": ["split"],
     "distances": ["entries"],
     "places": ["distances"],
+    "fold_entries": ["entries"],
+    "fold_distances": ["fold_entries"],
+    "fold_places": ["fold_distances"],
     "votes": ["places"],
     "predictions": ["votes"],
 }
@@ -534,7 +550,10 @@ ORACLE_SQL: dict[str, str] = {
         "select min(payload_mass) as min_payload, max(payload_mass) as max_payload from launch", "launch"
     ),
     "dash_success_by_site": _with(
-        "select launch_site, cast(sum(class) as bigint) as successes from launch group by launch_site", "launch"
+        """select launch_site, cast(sum(class) as bigint) as successes,
+                  round_even(cast(sum(class) as double) / (sum(sum(class)) over ()) * 100, 2) as share_pct
+           from launch group by launch_site""",
+        "launch",
     ),
     "dash_site_outcomes": _with(
         "select launch_site, class, count(*) as class_count from launch where launch_site = 'SITE_2' group by 1, 2", "launch"
@@ -604,6 +623,17 @@ ORACLE_SQL: dict[str, str] = {
         "select vec_id, label, case when is_test then 'test' else 'train' end as part from split", "split"
     ),
     "ml_knn_classify": _with("select id, p, k, label, predicted from predictions", "predictions"),
+    "ml_cv_knn": _with(
+        """select p, k, avg(score) as cv_accuracy
+           from (select p, k, fold, avg(case when label = vote then 1.0::double else 0 end) as score
+                 from (select * from (select id, fold, any_value(label) as label, p, cast(k as int) as k, vote, count(*) as n
+                                      from fold_places cross join range(1, 11) t(k) where place <= k
+                                      group by id, fold, p, k, vote)
+                       qualify row_number() over (partition by id, p, k order by n desc, vote) = 1)
+                 group by p, k, fold)
+           group by p, k""",
+        "fold_places",
+    ),
     "ml_confusion": _with(
         "select label, predicted, count(*) as n from predictions where p = 2 and k = 5 group by 1, 2", "predictions"
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -36,14 +37,22 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _BLANKS, " "))
 
 
-def _lower_without_marks(text: Column) -> Column:
-    open_ended = F.regexp_replace(F.lower(text), _CLOSING_MARKS, "")
-    return F.translate(open_ended, MARKS, " " * len(MARKS))
+def strip_closing_marks(text: Column) -> Column:
+    """Remove a run of ``?``, ``!`` and ``.`` at the end of the text."""
+    return F.regexp_replace(text, _CLOSING_MARKS, "")
+
+
+def blank_marks(text: Column) -> Column:
+    """Replace each listed mark by one blank."""
+    return F.translate(text, MARKS, " " * len(MARKS))
 
 
 def standardize(text: Column) -> Column:
-    """Lower case, no closing marks, listed marks blanked, blanks squeezed. Null stays null."""
-    return squeeze(_lower_without_marks(text))
+    """Lower case, listed marks and white space squeezed to single blanks, none at the ends. Null stays null.
+
+    Closing marks need no step of their own here: they turn into trailing blanks, which go. So one pass is enough.
+    """
+    return F.trim(F.regexp_replace(F.lower(text), rf"(?U)[\s{re.escape(MARKS)}]+", " "))
 
 
 def expand_abbreviations(
@@ -52,8 +61,11 @@ def expand_abbreviations(
     """Apply replacement rules one after the other. By default they also fire inside words."""
     for pattern, replacement in rules:
         if word_boundary:
-            pattern = rf"(?U)(?<!\w){pattern.strip()}(?!\w)"
-        text = F.regexp_replace(text, pattern, replacement)
+            text = F.regexp_replace(text, rf"(?U)(?<!\w){pattern.strip()}(?!\w)", replacement)
+        elif re.escape(pattern).replace("\\ ", " ") == pattern:
+            text = F.replace(text, F.lit(pattern), F.lit(replacement))
+        else:
+            text = F.regexp_replace(text, pattern, replacement)
     return text
 
 
@@ -61,7 +73,8 @@ def clean_comment(
     text: Column, rules: Sequence[tuple[str, str]] = ABBREVIATIONS, word_boundary: bool = False
 ) -> Column:
     """Full comment cleaner: marks first, then abbreviations, then blanks."""
-    return squeeze(expand_abbreviations(_lower_without_marks(text), rules, word_boundary))
+    plain = blank_marks(strip_closing_marks(F.lower(text)))
+    return squeeze(expand_abbreviations(plain, rules, word_boundary))
 
 
 def first_capture(text: Column, pattern: str) -> Column:

@@ -7,18 +7,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions.numbers import ratio_or_null
+from tamarind.session import freeze
 
 #: Baskets up to this many items list their pairs in place; larger ones are cut into blocks over many tasks.
 BLOCK = 512
 
 
 def distinct_items(lines: DataFrame, transaction: str = "transaction_id", item: str = "item") -> DataFrame:
-    """One row per (basket, item)."""
-    return lines.select(F.col(transaction).alias("t"), F.col(item).alias("i")).na.drop().distinct()
+    """One row per (basket, item), frozen because totals, item counts and pairs all read it."""
+    return freeze(lines.select(F.col(transaction).alias("t"), F.col(item).alias("i")).na.drop().distinct(), "baskets")
+
+
+def _basket_sizes(baskets: DataFrame) -> DataFrame:
+    return baskets.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _pairs_in_place(baskets: DataFrame) -> DataFrame:
-    """Pairs of baskets of at most BLOCK items, out of one sorted array per basket."""
+    """Pairs of baskets of bounded size, out of one sorted array per basket."""
     arrays = baskets.groupBy("t").agg(F.sort_array(F.collect_list("i")).alias("items"))
     heads = arrays.filter(F.size("items") > 1).select("items", F.posexplode("items").alias("pos", "item_a"))
     return heads.select(
@@ -26,12 +31,12 @@ def _pairs_in_place(baskets: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_in_blocks(baskets: DataFrame) -> DataFrame:
-    """Pairs of large baskets. Items fall into hash blocks of about BLOCK items, and each pair of blocks meets once.
+def _pairs_in_blocks(baskets: DataFrame, block: int) -> DataFrame:
+    """Pairs of large baskets. Items fall into hash blocks of about ``block`` items, and each pair of blocks meets once.
 
-    The join key is (basket, block of a, block of b), so one huge basket is spread over (size / BLOCK)^2 keys.
+    The join key is (basket, block of a, block of b), so one huge basket is spread over (size / block)^2 keys.
     """
-    blocked = baskets.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+    blocked = baskets.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("i"), F.col("blocks")).cast("int")
     )
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -41,7 +46,11 @@ def _pairs_in_blocks(baskets: DataFrame) -> DataFrame:
 
 
 def pair_metrics(
-    lines: DataFrame, transaction: str = "transaction_id", item: str = "item", min_support: float = 0.0
+    lines: DataFrame,
+    transaction: str = "transaction_id",
+    item: str = "item",
+    min_support: float = 0.0,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Pair count, support, confidence in both directions and lift of every item pair that shares a basket.
 
@@ -49,14 +58,15 @@ def pair_metrics(
     pair is never more frequent than its items.
     """
     baskets = distinct_items(lines, transaction, item)
-    total = baskets.agg(F.count_distinct("t")).scalar()
+    total = _basket_sizes(baskets).agg(F.count(F.lit(1))).scalar()
     items = baskets.groupBy("i").agg(F.count(F.lit(1)).alias("n_item"))
     if min_support > 0:
         items = items.withColumn("total", total).filter(F.col("n_item") >= F.col("total") * min_support)
         baskets = baskets.join(items.select("i"), "i", "left_semi")
-    sized = baskets.join(baskets.groupBy("t").agg(F.count(F.lit(1)).alias("n")), "t")
-    pairs = _pairs_in_place(sized.filter(F.col("n") <= BLOCK)).unionByName(
-        _pairs_in_blocks(sized.filter(F.col("n") > BLOCK))
+    # Usually no basket is that large; the branch for large ones then costs nothing.
+    large = _basket_sizes(baskets).filter(F.col("n") > block)
+    pairs = _pairs_in_place(baskets.join(large, "t", "left_anti")).unionByName(
+        _pairs_in_blocks(baskets.join(large, "t"), block)
     )
     counted = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("pair_count"))
     a = items.select(F.col("i").alias("item_a"), F.col("n_item").alias("count_a"))
@@ -92,7 +102,7 @@ def growth_rules(
     the item arrays handed to FP-growth have a bound that does not grow with the data.
     """
     baskets = distinct_items(lines, transaction, item)
-    total = baskets.agg(F.count_distinct("t")).scalar()
+    total = _basket_sizes(baskets).agg(F.count(F.lit(1))).scalar()
     frequent = (
         baskets.groupBy("i")
         .agg(F.count(F.lit(1)).alias("n_item"))

@@ -38,10 +38,15 @@ def _accuracy() -> MulticlassClassificationEvaluator:
 
 
 def _search(rows: DataFrame, estimator: Estimator, grid: list, folds: int, parallelism: int) -> CrossValidatorModel:
-    return CrossValidator(
+    search = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, evaluator=_accuracy(), numFolds=folds, foldCol="fold",
         parallelism=parallelism,
-    ).fit(rows)
+    )
+    rows.persist()  # each fold and the final fit read the same rows
+    try:
+        return search.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def tune_logistic(

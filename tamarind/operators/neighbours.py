@@ -9,6 +9,7 @@ k best per test row. No single rows are paired and no group is ever held whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,24 +23,29 @@ BLOCK_ROWS = 512
 PIVOTS = 64
 
 
-def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """Minkowski distance of all rows of two small matrices, for p = 1 or 2."""
-    if p == 1:
-        return np.stack([np.abs(b - row).sum(axis=1) for row in a])
-    return np.stack([np.sqrt(np.square(b - row).sum(axis=1)) for row in a])
+def _kernels():
+    """Helpers of the tasks. Being local they travel with the task, so executors need not have this package installed."""
 
+    def matrix(rows) -> np.ndarray:
+        return np.array([np.asarray(r, dtype="float64") for r in rows])
 
-def _matrix(rows) -> np.ndarray:
-    return np.array([np.asarray(r, dtype="float64") for r in rows])
+    def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
+        """Minkowski distance of all rows of two small matrices, for p = 1 or 2."""
+        if p == 1:
+            return np.stack([np.abs(b - row).sum(axis=1) for row in a])
+        return np.stack([np.sqrt(np.square(b - row).sum(axis=1)) for row in a])
+
+    return matrix, distances
 
 
 def _with_home(train: DataFrame, pivots: np.ndarray, p: int) -> DataFrame:
     """Training rows with their nearest pivot and the distance to it."""
+    matrix, distances = _kernels()
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                d = _distances(_matrix(batch["vec"]), pivots, p)
+                d = distances(matrix(batch["vec"]), pivots, p)
                 home = d.argmin(axis=1)
                 yield batch.assign(home=home.astype("int32"), gap=d[np.arange(len(d)), home])
 
@@ -48,6 +54,7 @@ def _with_home(train: DataFrame, pivots: np.ndarray, p: int) -> DataFrame:
 
 def _with_targets(test: DataFrame, pivots: np.ndarray, groups: pd.DataFrame, k: int, p: int) -> DataFrame:
     """Test rows with every group that may hold one of their k nearest rows."""
+    matrix, distances = _kernels()
     members = groups["n"].to_numpy()
     radius = groups["radius"].to_numpy()
     homes = groups["home"].to_numpy()
@@ -56,7 +63,7 @@ def _with_targets(test: DataFrame, pivots: np.ndarray, groups: pd.DataFrame, k:
         for batch in batches:
             if not len(batch):
                 continue
-            d = _distances(_matrix(batch["vec"]), pivots[homes], p)
+            d = distances(matrix(batch["vec"]), pivots[homes], p)
             # k rows lie within `limit`: take groups by their farthest possible member until k members are reached.
             farthest = d + radius
             order = farthest.argsort(axis=1)
@@ -80,7 +87,7 @@ def nearest_rows(train: DataFrame, test: DataFrame, k: int = 10, p: int = 2) ->
     train = train.select("id", "label", F.col("vec").cast("array<double>").alias("vec"))
     test = test.select("id", F.col("vec").cast("array<double>").alias("vec"))
     # PIVOTS rows, spread by hash, are all that reaches the driver here; every row still takes part below.
-    pivots = _matrix(r.vec for r in train.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect())
+    pivots = _kernels()[0](r.vec for r in train.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect())
     homed = freeze(_with_home(train, pivots, p), "neighbours")
     groups = (
         homed.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).orderBy("home").toPandas()
@@ -91,30 +98,37 @@ def nearest_rows(train: DataFrame, test: DataFrame, k: int = 10, p: int = 2) ->
     train_blocks = (
         homed.withColumn("block", F.pmod(F.xxhash64("id"), blocks_of[F.col("home")]))
         .groupBy("home", "block")
-        .agg(F.collect_list(F.struct("id", "label", "vec")).alias("members"))
-        .drop("block")
+        .agg(F.collect_list(F.struct("id", "label", "vec")).alias("m"))
+        .select("home", F.col("m.id").alias("m_id"), F.col("m.label").alias("m_label"), F.col("m.vec").alias("m_vec"))
     )
     chunks = max(1, -(-test.count() // BLOCK_ROWS))
     test_blocks = (
         aimed.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)))
         .groupBy("home", "chunk")
-        .agg(F.collect_list(F.struct("id", "vec")).alias("askers"))
-        .drop("chunk")
+        .agg(F.collect_list(F.struct("id", "vec")).alias("a"))
+        .select("home", F.col("a.id").alias("a_id"), F.col("a.vec").alias("a_vec"))
     )
 
+    matrix, distances = _kernels()
+
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for askers, members in zip(batch["askers"], batch["members"]):
-                ids = np.array([m["id"] for m in members], dtype="int64")
-                labels = np.array([m["label"] for m in members], dtype="int32")
-                d = _distances(_matrix(a["vec"] for a in askers), _matrix(m["vec"] for m in members), p)
-                for asker, row in zip(askers, d):
-                    best = np.lexsort((ids, row))[:k]
-                    yield pd.DataFrame(
-                        {"id": asker["id"], "neighbour": ids[best], "label": labels[best], "distance": row[best]}
-                    )
-
-    found = test_blocks.join(train_blocks, "home").select("askers", "members").mapInPandas(
+            for a_id, a_vec, m_id, m_label, m_vec in batch.itertuples(index=False):
+                by_id = np.argsort(m_id)
+                ids, labels = np.asarray(m_id)[by_id], np.asarray(m_label)[by_id]
+                d = distances(matrix(a_vec), matrix(m_vec)[by_id], p)
+                # A stable sort of rows in id order leaves equal distances in id order.
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                yield pd.DataFrame(
+                    {
+                        "id": np.repeat(np.asarray(a_id), best.shape[1]),
+                        "neighbour": ids[best].ravel(),
+                        "label": labels[best].ravel(),
+                        "distance": np.take_along_axis(d, best, axis=1).ravel(),
+                    }
+                )
+
+    found = test_blocks.join(train_blocks, "home").drop("home").mapInPandas(
         match, "id long, neighbour long, label int, distance double"
     )
     place = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
@@ -132,11 +146,24 @@ def vote(neighbours: DataFrame, ks: list[int]) -> DataFrame:
     return counted.groupBy("id", "k").agg(F.max_by("label", F.struct("votes", -F.col("label"))).alias("predicted"))
 
 
+def cross_validate(rows: DataFrame, ks: list[int] | None = None, ps: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """Mean accuracy over the folds for each (p, k). ``rows``: id, label, vec and a fold number.
+
+    Per fold and p one neighbour search serves all k. The number of folds is that of the search, not of the data.
+    """
+    folds = sorted(r.fold for r in rows.select("fold").distinct().collect())
+    scores = []
+    for fold in folds:
+        held_out = rows.filter(F.col("fold") == fold)
+        predicted = classify(rows.filter(F.col("fold") != fold), held_out, ks, ps)
+        hit = (F.col("label") == F.col("predicted")).cast("double")
+        scores.append(predicted.join(held_out.select("id", "label"), "id").groupBy("p", "k").agg(F.avg(hit).alias("score")))
+    per_fold = reduce(DataFrame.unionByName, scores)
+    return per_fold.groupBy("p", "k").agg(F.avg("score").alias("cv_accuracy")).orderBy(F.desc("cv_accuracy"), "p", "k")
+
+
 def classify(train: DataFrame, test: DataFrame, ks: list[int] | None = None, ps: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Predicted label of every test row for each (p, k): one neighbour search per p serves all k."""
     ks = ks or list(range(1, 11))
     parts = [vote(nearest_rows(train, test, max(ks), p), ks).withColumn("p", F.lit(p)) for p in ps]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)

@@ -33,7 +33,7 @@ def _words(text: str) -> Column:
 
 
 def _scorable(tokens: Column, max_tokens: int) -> Column:
-    return tokens.isNotNull() & (F.size(tokens) <= max_tokens) & (F.element_at(tokens, 1) != "")
+    return tokens.isNotNull() & (F.size(tokens) <= max_tokens) & (F.get(tokens, F.lit(0)) != "")
 
 
 def train_comment_model(
@@ -50,8 +50,13 @@ def train_comment_model(
             ),
         ]
     )
-    rows = labelled.select(_words(text).alias("_words"), F.col(label).cast("double").alias("_label"))
-    return pipeline.fit(rows.na.drop())
+    rows = labelled.select(_words(text).alias("_words"), F.col(label).cast("double").alias("_label")).na.drop()
+    # Every stage reads the words again, so they are cleaned once; what is lost with an executor is cleaned again.
+    rows.persist()
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score_with_model(
@@ -80,11 +85,9 @@ def score_with(
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = load()
         for batch in batches:
-            todo = batch.notna()
-            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            if todo.any():
-                out[todo] = [list(map(float, row)) for row in scorer(batch[todo].tolist())]
-            yield out
+            texts = batch.dropna()
+            weights = iter(scorer(texts.tolist()) if len(texts) else ())
+            yield pd.Series([[float(w) for w in next(weights)] if known else None for known in batch.notna()], dtype=object)
 
     clean = clean_comment(F.col(text))
     guarded = F.when(_scorable(F.split(clean, " "), max_tokens), clean)

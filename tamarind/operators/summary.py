@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamarind.functions.numbers import percent
+from tamarind.operators.rank import global_row_number
 
 
 def value_counts(df: DataFrame, *columns: str, name: str = "total") -> DataFrame:
@@ -18,6 +19,13 @@ def value_counts(df: DataFrame, *columns: str, name: str = "total") -> DataFrame
     )
 
 
+def numbered_values(df: DataFrame, column: str) -> DataFrame:
+    """Frequency table with zero-based positions, most frequent first and equal counts in value order."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("total"))
+    numbered = global_row_number(counts, [F.desc("total"), F.asc(column)], "position")
+    return numbered.withColumn("position", F.col("position") - 1)
+
+
 def counted_by(df: DataFrame, keys: Sequence[str], counted: str, name: str = "total_employees") -> DataFrame:
     """Number of non-null ``counted`` per key combination; rows with a null key are left out."""
     return df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(counted).alias(name))

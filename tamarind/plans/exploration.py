@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarind.functions.dates import month_name, within_year
 from tamarind.functions.labels import equals_ignoring_case
+from tamarind.operators.summary import add_share
 
 
 def with_date(launches: DataFrame) -> DataFrame:
@@ -103,8 +104,8 @@ def payload_bounds(launches: DataFrame) -> DataFrame:
 
 
 def successes_by_site(launches: DataFrame) -> DataFrame:
-    """Sum of class per site: the slices of the pie over all sites."""
-    return launches.groupBy("launch_site").agg(F.sum("class").alias("successes"))
+    """Sum of class per site and its share of all successes: the slices of the pie over all sites."""
+    return add_share(launches.groupBy("launch_site").agg(F.sum("class").alias("successes")), "successes")
 
 
 def site_outcomes(launches: DataFrame, site: str) -> DataFrame:

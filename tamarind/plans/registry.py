@@ -555,6 +555,12 @@ def ml_knn_classify(t: Tables) -> DataFrame:
     return neighbours.classify(train, test).join(test.select("id", "label"), "id").select("id", "p", "k", "label", "predicted")
 
 
+@query
+def ml_cv_knn(t: Tables) -> DataFrame:
+    train, _ = features.train_test_split(_vectors(t), "id")
+    return neighbours.cross_validate(train.withColumn("fold", features.hash_bucket(F.col("id"), 3, 3)))
+
+
 @query
 def ml_confusion(t: Tables) -> DataFrame:
     train, test = features.train_test_split(_vectors(t), "id")

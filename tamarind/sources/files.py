@@ -18,7 +18,10 @@ _CSV = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """CSV with a header. Give a schema for anything large; without one the types are inferred by an extra pass."""
+    """CSV with a header; an empty cell is null.
+
+    Give a schema for anything large: without one the types are inferred by an extra pass.
+    """
     reader = spark.read.options(**_CSV).option("encoding", encoding)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     return reader.csv(path)
@@ -81,4 +84,4 @@ def unwrap_singletons(df: DataFrame, *columns: str) -> DataFrame:
     keep: Column = F.lit(True)
     for name in columns:
         keep = keep & (F.size(name) == 1)
-    return df.filter(keep).withColumns({name: F.element_at(name, 1) for name in columns})
+    return df.filter(keep).withColumns({name: F.get(name, F.lit(0)) for name in columns})
