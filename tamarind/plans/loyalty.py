@@ -1,7 +1,8 @@
 """Loyalty programme: purchases, first and last items, points and membership flags.
 
 ``sales``: customer_id, order_date, product_id. ``menu``: product_id, product_name, price. ``members``: customer_id,
-join_date. All three may be large; which side of a join is broadcast is left to its size.
+join_date. All three may be large. A menu that is small enough is broadcast by Spark, so the purchases are shuffled once
+at most before they are grouped; a larger one is joined by shuffle, where a hot product or customer is split at run time.
 """
 
 from __future__ import annotations
@@ -32,12 +33,11 @@ def _before_joining() -> Column:
 
 
 def total_spent(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    """Amount per customer, highest first. Equal purchases are counted before prices are looked up."""
-    counted = sales.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    """Amount per customer, highest first."""
     return (
-        _with_menu(counted, menu)
+        _with_menu(sales, menu)
         .groupBy("customer_id")
-        .agg(F.sum((F.col("price") * F.col("n")).cast("decimal(38,2)")).alias("total_spent"))
+        .agg(F.sum("price").alias("total_spent"))
         .orderBy(F.desc("total_spent"), "customer_id")
     )
 
@@ -55,11 +55,7 @@ def _items_of_edge_day(purchases: DataFrame, menu: DataFrame, last: bool) -> Dat
     """
     edge = F.max if last else F.min
     per_item = (
-        purchases.groupBy("customer_id", "product_id")
-        .agg(edge("order_date").alias("order_date"))
-        .join(menu.select("product_id", "product_name"), "product_id", "left")
-        .groupBy("customer_id", "product_name")
-        .agg(edge("order_date").alias("order_date"))
+        _with_menu(purchases, menu).groupBy("customer_id", "product_name").agg(edge("order_date").alias("order_date"))
     )
     order = F.desc("order_date") if last else F.asc("order_date")
     return (
@@ -88,8 +84,9 @@ def top_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Most bought item(s) of each customer."""
-    counted = sales.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    per_item = _with_menu(counted, menu).groupBy("customer_id", "product_name").agg(F.sum("n").alias("total_orders"))
+    per_item = (
+        _with_menu(sales, menu).groupBy("customer_id", "product_name").agg(F.count(F.lit(1)).alias("total_orders"))
+    )
     return best_per_group(per_item, ["customer_id"], F.desc("total_orders"))
 
 
@@ -111,18 +108,10 @@ def before_join(sales: DataFrame, menu: DataFrame, members: DataFrame, last: boo
 
 def pre_member_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Number of items and amount before joining."""
-    counted = (
-        _as_member(sales, members, _before_joining())
-        .groupBy("customer_id", "product_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
     return (
-        _with_menu(counted, menu)
+        _with_menu(_as_member(sales, members, _before_joining()), menu)
         .groupBy("customer_id")
-        .agg(
-            F.sum("n").alias("total_items"),
-            F.sum((F.col("price") * F.col("n")).cast("decimal(38,2)")).alias("amount_spent"),
-        )
+        .agg(F.count(F.lit(1)).alias("total_items"), F.sum("price").alias("amount_spent"))
         .orderBy("customer_id")
     )
 
@@ -134,12 +123,11 @@ def _points(double: Column) -> Column:
 
 def points(sales: DataFrame, menu: DataFrame, double_product: str) -> DataFrame:
     """Points per customer with one product counting twice."""
-    counted = sales.groupBy("customer_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    earned = _points(F.col("product_name") == double_product) * F.col("n")
+    earned = _points(F.col("product_name") == double_product)
     return (
-        _with_menu(counted, menu)
+        _with_menu(sales, menu)
         .groupBy("customer_id")
-        .agg(F.sum(earned.cast("decimal(38,2)")).alias("customer_points"))
+        .agg(F.sum(earned).alias("customer_points"))
         .orderBy("customer_id")
     )
 
@@ -157,14 +145,11 @@ def points_first_week(
     """Points since joining and up to a day: everything counts twice in the first week, one product always does."""
     in_first_week = F.col("order_date").between(F.col("join_date"), F.date_add("join_date", 6))
     bought = _as_member(sales.filter(F.col("order_date") <= F.lit(until)), members, _since_joining())
-    counted = bought.groupBy("customer_id", "product_id", in_first_week.alias("first_week")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    earned = _points(F.col("first_week") | (F.col("product_name") == double_product)) * F.col("n")
+    earned = _points(in_first_week | (F.col("product_name") == double_product))
     return (
-        _with_menu(counted, menu)
+        _with_menu(bought, menu)
         .groupBy("customer_id")
-        .agg(F.sum(earned.cast("decimal(38,2)")).alias("customer_points"))
+        .agg(F.sum(earned).alias("customer_points"))
         .orderBy("customer_id")
     )
 

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.sources.tables import read_table
+
 LAUNCH_JSON = (
     "flight_number bigint, date_utc string, rocket string, launchpad bigint, payloads array<string>, "
     "cores array<struct<core:string,flight:int,gridfins:boolean,legs:boolean,reused:boolean,"
@@ -27,7 +29,7 @@ class Tables:
     folder: str
 
     def raw(self, name: str, *columns: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = read_table(self.spark, self.folder, name)
         return df.select(*columns) if columns else df
 
     # --- customer value -------------------------------------------------------------------------------------------

@@ -222,3 +222,38 @@ def test_share_report_groups_once(spark):
     df = QUERIES["hr_reason_share"](spark, FOLDER)
     df.collect()
     assert "ReusedExchange" in plan_of(df).split("== Initial Plan ==")[0] + plan_of(df)
+
+
+def test_hot_customer_is_split_in_shuffled_joins(spark):
+    """With broadcasts off, the partition of a customer with 40 % of all rows is cut up, also below a grouping."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    n = 200_000
+    sales = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 5 < 2, 0).otherwise(F.col("id") % 997).cast("long").alias("customer_id"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.xxhash64("id") % 300).cast("int")).alias("order_date"),
+        (F.col("id") % 50).cast("int").alias("product_id"),
+    )
+    menu = spark.range(50).select(F.col("id").cast("int").alias("product_id"), F.col("id").cast("string").alias("product_name"),
+                                  F.lit(1).cast("decimal(18,2)").alias("price"))
+    members = spark.range(997).select(F.col("id").alias("customer_id"), F.lit("2020-06-01").cast("date").alias("join_date"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for report in (loyalty.member_flag, loyalty.pre_member_totals):
+            df = report(sales, menu, members)
+            got = df.collect()
+            assert "skew=true" in plan_of(df).split("== Initial Plan ==")[0]
+            if report is loyalty.member_flag:
+                assert len(got) == n
+            else:
+                assert sum(r.total_items for r in got) == sales.filter("order_date < date '2020-06-01'").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
