@@ -344,6 +344,25 @@ ORACLE_SQL: dict[str, str] = {
            group by a.item, b.item""",
         "baskets",
     ),
+    "basket_rules_fpgrowth": """
+        with recursive baskets as (
+            select distinct l_orderkey as t, p_name as i from lineitem join part on l_partkey = p_partkey),
+        subsets as (
+            select t, [i] as s, i as last_item from baskets
+            union all
+            select s.t, list_append(s.s, b.i), b.i from subsets s join baskets b on b.t = s.t and b.i > s.last_item),
+        total as (select cast(count(distinct t) as double) as n from baskets),
+        frequent as (
+            select s, count(*) as c from subsets group by s having count(*) >= (select ceil(0.002 * n) from total)),
+        rules as (
+            select f.s, f.c, unnest(f.s) as consequent from frequent f where len(f.s) > 1),
+        parts as (
+            select s, c, consequent, list_filter(s, lambda x: x <> consequent) as antecedent from rules)
+        select array_to_string(p.antecedent, ' + ') as antecedent, p.consequent,
+               round(cast(p.c as double) / a.c, 9) as confidence, round(cast(p.c as double) / a.c * n / b.c, 9) as lift,
+               round(p.c / n, 9) as support
+        from parts p join frequent a on a.s = p.antecedent join frequent b on b.s = [p.consequent] cross join total
+        where cast(p.c as double) / a.c >= 0.05""",
     "hr_clean": _with(
         """select statement_id, statement_type, cast(statement_valid_date as varchar) as statement_valid_date,
                   cast(case when statement_id % 5 = 0 then date '2100-12-31' else statement_valid_date + 365 end as varchar)
@@ -624,7 +643,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "ml_knn_classify": _with("select id, p, k, label, predicted from predictions", "predictions"),
     "ml_cv_knn": _with(
-        """select p, k, avg(score) as cv_accuracy
+        """select p, k, round(avg(score), 9) as cv_accuracy
            from (select p, k, fold, avg(case when label = vote then 1.0::double else 0 end) as score
                  from (select * from (select id, fold, any_value(label) as label, p, cast(k as int) as k, vote, count(*) as n
                                       from fold_places cross join range(1, 11) t(k) where place <= k

@@ -153,7 +153,8 @@ def basket_pairs(t: Tables) -> DataFrame:
 
 @query
 def basket_rules_fpgrowth(t: Tables) -> DataFrame:
-    return basket.growth_rules(t.basket_lines(), min_support=0.002, min_confidence=0.05)
+    rules = basket.growth_rules(t.basket_lines(), min_support=0.002, min_confidence=0.05)
+    return rules.withColumns({c: F.round(c, 9) for c in ("confidence", "lift", "support")})
 
 
 # --- workforce ----------------------------------------------------------------------------------------------------
@@ -558,7 +559,8 @@ def ml_knn_classify(t: Tables) -> DataFrame:
 @query
 def ml_cv_knn(t: Tables) -> DataFrame:
     train, _ = features.train_test_split(_vectors(t), "id")
-    return neighbours.cross_validate(train.withColumn("fold", features.hash_bucket(F.col("id"), 3, 3)))
+    scores = neighbours.cross_validate(train.withColumn("fold", features.hash_bucket(F.col("id"), 3, 3)))
+    return scores.withColumn("cv_accuracy", F.round("cv_accuracy", 9))
 
 
 @query

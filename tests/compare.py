@@ -25,9 +25,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _normal(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
-    return value
+    return None if isinstance(value, float) and math.isnan(value) else value
 
 
 def _rows(columns, rows):
