@@ -48,19 +48,20 @@ def nearest_landmark(sites: DataFrame, landmarks: DataFrame, list_bound: int = L
 
     ``sites``: site_id, site_name, lat, lon. ``landmarks``: poi_id, poi_name, lat, lon. A short list of landmarks is
     kept in one array and each site looks through it in its own task: no join and no shuffle. A longer list is joined
-    by grid cell, which gives the same result.
+    by grid cell, which gives the same result. A site without coordinates keeps its row and gets nulls.
     """
-    pois = landmarks.select("poi_id", "poi_name", F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))
+    placed = landmarks.na.drop(subset=["lat", "lon"])
+    pois = placed.select("poi_id", "poi_name", F.col("lat").alias("poi_lat"), F.col("lon").alias("poi_lon"))
     if pois.limit(list_bound + 1).count() <= list_bound:
         everything = pois.agg(F.collect_list(F.struct(*pois.columns))).scalar()
-        nearest = sites.withColumn("_pois", everything).withColumn(
-            "_best", F.array_min(F.transform("_pois", lambda p: _landmark(F.col("lat"), F.col("lon"), p)))
-        )
+        found = F.array_min(F.transform("_pois", lambda p: _landmark(F.col("lat"), F.col("lon"), p)))
+        known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+        nearest = sites.withColumn("_pois", everything).withColumn("_best", F.when(known, found))
     else:
         nearest = _nearest_by_cell(sites, pois)
-    return nearest.filter(F.col("_best").isNotNull()).select(
+    return nearest.select(
         "site_id", "site_name", "lat", "lon", "_best.poi_id", "_best.poi_name", "_best.poi_lat", "_best.poi_lon", "_best.km",
-        distance_label(F.col("_best.poi_name"), F.col("_best.km")).alias("label"),
+        F.when(F.col("_best.km").isNotNull(), distance_label(F.col("_best.poi_name"), F.col("_best.km"))).alias("label"),
     )
 
 
@@ -102,4 +103,4 @@ def _nearest_by_cell(sites: DataFrame, pois: DataFrame, first_size: float = 1 /
             break
         open_points = freeze(open_points.join(settled.select("lat", "lon"), ["lat", "lon"], "left_anti"), "points")
         size = size * growth
-    return sites.join(reduce(DataFrame.unionByName, done), ["lat", "lon"])
+    return sites.join(reduce(DataFrame.unionByName, done), ["lat", "lon"], "left")

@@ -57,7 +57,7 @@ def _items_of_edge_day(purchases: DataFrame, menu: DataFrame, last: bool) -> Dat
     per_item = (
         _with_menu(purchases, menu).groupBy("customer_id", "product_name").agg(edge("order_date").alias("order_date"))
     )
-    order = F.desc("order_date") if last else F.asc("order_date")
+    order = F.desc_nulls_last("order_date") if last else F.asc_nulls_last("order_date")
     return (
         best_per_group(per_item, ["customer_id"], order)
         .groupBy("customer_id", "order_date")

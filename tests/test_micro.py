@@ -105,7 +105,7 @@ def test_points_of_the_first_week(shop):
     assert got == {"A": 20 * 39 + 120 + 200, "B": 400}
 
 
-def test_membership_flag_and_ranking(shop):
+def test_membership_flag_and_ranking(spark, shop):
     sales, menu, members = shop
     flags = loyalty.member_flag(sales, menu, members)
     assert flags.count() == sales.count()
@@ -117,6 +117,9 @@ def test_membership_flag_and_ranking(shop):
     assert rows(ranked.filter("customer_id = 'A'").select("order_date", "ranking").distinct(), "order_date") == [
         (D(2021, 1, 1), None), (D(2021, 1, 7), 1), (D(2021, 1, 10), 2), (D(2021, 1, 13), 3), (D(2021, 1, 14), 4)
     ]
+    undated = sales.unionByName(spark.createDataFrame([("A", None, 1), (None, D(2021, 1, 1), 9), ("D", None, 2)], sales.schema))
+    assert loyalty.member_ranking(undated, menu, members).count() == sales.count() + 3
+    assert dict(rows(loyalty.first_item(undated, menu).na.drop())) == {"A": "curry, sushi", "B": "curry", "C": "ramen", "D": "curry"}
     assert loyalty.member_month_sales(sales, menu, members, 1).count() == 7
     assert loyalty.member_month_sales(sales, menu, members, 2).count() == 0
 

@@ -156,17 +156,22 @@ def test_grid_and_list_find_the_same_landmarks(spark):
     rng = np.random.default_rng(3)
     sites = [(i, f"s{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(-90, 90, 150), rng.uniform(-180, 180, 150)))]
     sites += [(900 + i, "dense", 10.0, 20.0) for i in range(75)] + [(990, "pole", 90.0, 0.0), (991, "line", 0.0, 180.0)]
+    nowhere = [(995, "nowhere", None, 1.0)]
     pois = [(i, f"p{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(-90, 90, 40), rng.uniform(-180, 180, 40)))]
     pois += [(200 + i, "near", 10.0 + i / 1000, 20.0) for i in range(15)] + [(300, "line", 0.0, -179.9)]
-    s = spark.createDataFrame(sites, "site_id long, site_name string, lat double, lon double")
+    s = spark.createDataFrame(sites + nowhere, "site_id long, site_name string, lat double, lon double")
     p = spark.createDataFrame(pois, "poi_id long, poi_name string, lat double, lon double")
-    by_list = sorted((r.site_id, r.poi_id, r.km) for r in places.nearest_landmark(s, p).collect())
-    by_grid = sorted((r.site_id, r.poi_id, r.km) for r in places.nearest_landmark(s, p, list_bound=0).collect())
+    p = p.unionByName(p.limit(1).select(F.lit(-1).cast("long").alias("poi_id"), "poi_name", F.lit(None).cast("double").alias("lat"), "lon"))
+    found = [places.nearest_landmark(s, p).collect(), places.nearest_landmark(s, p, list_bound=0).collect()]
+    for rows in found:
+        assert [(r.poi_id, r.km, r.label) for r in rows if r.site_id == 995] == [(None, None, None)]
+    by_list, by_grid = (sorted((r.site_id, r.poi_id, r.km) for r in rows if r.site_id != 995) for rows in found)
     assert by_list == by_grid and len(by_list) == len(sites)
+    assert {tuple(r) for r in found[0]} == {tuple(r) for r in found[1]}
     pairs = s.withColumn("one", F.lit(1)).join(
         p.select("poi_id", F.col("lat").alias("a"), F.col("lon").alias("o"), F.lit(1).alias("one")), "one"
     ).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("a"), F.col("o")))
-    best = pairs.groupBy("site_id").agg(F.min(F.struct("km", "poi_id")).alias("b")).select("site_id", "b.poi_id", "b.km")
+    best = pairs.filter("km is not null").groupBy("site_id").agg(F.min(F.struct("km", "poi_id")).alias("b")).select("site_id", "b.poi_id", "b.km")
     assert by_list == sorted((r.site_id, r.poi_id, r.km) for r in best.collect())
 
 

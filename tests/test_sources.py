@@ -91,6 +91,10 @@ def test_tables_for_sql(spark):
     assert spark.sql("select count(*) from three_rows").first()[0] == 3
     files.publish(spark.range(4), "three_rows")
     assert spark.sql("select count(*) from three_rows").first()[0] == 4
+    for n in (5, 6):
+        files.save_table(spark.range(n), "stored_rows")
+        assert spark.table("stored_rows").count() == n
+    spark.sql("drop table stored_rows")
 
 
 def test_text_cleaning_runs_on_a_stream(spark, tmp_path):
