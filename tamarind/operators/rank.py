@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,17 +96,3 @@ def best_per_group(df: DataFrame, group: Sequence[str], order: Column, *, name:
     """
     window = Window.partitionBy(*group).orderBy(order)
     return df.withColumn(name, F.dense_rank().over(window)).filter(F.col(name) == 1).drop(name)
-
-
-def dense_rank_by_date(df: DataFrame, group: Sequence[str], day: str, name: str) -> DataFrame:
-    """Dense rank of each row's date inside its group, for groups of any size.
-
-    The rank only depends on the distinct dates, which are few per group, so these are ranked and joined back. Missing
-    keys and dates match themselves, so every row stays; a missing date ranks last.
-    """
-    keys = [*group, day]
-    days = df.select(*keys).distinct().select(*[F.col(k).alias(f"_{k}") for k in keys])
-    window = Window.partitionBy(*[f"_{k}" for k in group]).orderBy(F.col(f"_{day}").asc_nulls_last())
-    ranked = days.withColumn(name, F.dense_rank().over(window))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return df.join(ranked, same).select(*df.columns, name)

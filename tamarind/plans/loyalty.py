@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarind.operators.rank import best_per_group, dense_rank_by_date
+from tamarind.operators.rank import best_per_group
 
 
 def _with_menu(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -90,11 +90,19 @@ def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     return best_per_group(per_item, ["customer_id"], F.desc("total_orders"))
 
 
+def _member_days(sales: DataFrame, members: DataFrame) -> DataFrame:
+    """Distinct purchase days of members since joining: few rows per customer, however much was bought."""
+    days = sales.select("customer_id", "order_date").distinct()
+    return _as_member(days, members, _since_joining()).select("customer_id", "order_date")
+
+
 def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Every purchase of the first day on or after joining. Repeated purchases stay separate rows."""
-    bought = _as_member(sales, members, _since_joining())
-    first_day = bought.groupBy("customer_id").agg(F.min("order_date").alias("order_date"))
-    return _with_menu(bought.join(first_day, ["customer_id", "order_date"]), menu).select(
+    """Every purchase of the first day on or after joining. Repeated purchases stay separate rows.
+
+    Membership is settled on the distinct days, so purchases meet only (customer, first day).
+    """
+    first_day = _member_days(sales, members).groupBy("customer_id").agg(F.min("order_date").alias("order_date"))
+    return _with_menu(sales.join(first_day, ["customer_id", "order_date"]), menu).select(
         "customer_id", "product_name", "order_date"
     )
 
@@ -166,7 +174,18 @@ def member_flag(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFr
 
 
 def member_ranking(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """The same table with a dense rank by date over the purchases made as a member, null for the others."""
-    flagged = member_flag(sales, menu, members)
-    ranked = dense_rank_by_date(flagged, ["customer_id", "member"], "order_date", "ranking")
-    return ranked.withColumn("ranking", F.when(F.col("member") == "Y", F.col("ranking")))
+    """The same table with a dense rank by date over the purchases made as a member, null for the others.
+
+    The rank depends on the distinct days only. They are ranked on their own and joined to the purchases by customer and
+    day, so no window ever holds all purchases of a customer; a day that finds a rank is a day as a member.
+    """
+    by_day = Window.partitionBy("customer_id").orderBy("order_date")
+    ranks = _member_days(sales, members).withColumn("ranking", F.dense_rank().over(by_day))
+    return _with_menu(sales.join(ranks, ["customer_id", "order_date"], "left"), menu).select(
+        "customer_id",
+        "order_date",
+        "product_name",
+        "price",
+        F.when(F.col("ranking").isNotNull(), "Y").otherwise("N").alias("member"),
+        "ranking",
+    )
