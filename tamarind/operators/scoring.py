@@ -62,10 +62,11 @@ def train_comment_model(
 def score_with_model(
     df: DataFrame, model: PipelineModel, text: str = "text", name: str = "sentiment", max_tokens: int = MAX_TOKENS
 ) -> DataFrame:
-    """Class of each comment by a trained model. Missing, empty and over-long text is neutral."""
-    tokens = F.col("_words")
-    scored = model.transform(df.withColumn("_words", F.coalesce(_words(text), F.array())))
-    label = F.when(_scorable(tokens, max_tokens), argmax(vector_to_array("_weights"))).otherwise(F.lit(NEUTRAL))
+    """Class of each comment by a trained model. Missing, empty and over-long text is neutral and skips the model."""
+    all_words = F.col("_all_words")
+    guarded = F.when(_scorable(all_words, max_tokens), all_words).otherwise(F.array().cast("array<string>"))
+    scored = model.transform(df.withColumn("_all_words", _words(text)).withColumn("_words", guarded))
+    label = F.when(F.size("_words") > 0, argmax(vector_to_array("_weights"))).otherwise(F.lit(NEUTRAL))
     return scored.withColumn(name, label).select(*df.columns, name)
 
 
