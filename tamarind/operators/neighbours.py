@@ -8,6 +8,7 @@ k best per test row. No single rows are paired and no group is ever held whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -18,9 +19,10 @@ from pyspark.sql import functions as F
 
 from tamarind.session import freeze
 
-#: Rows per block and number of pivots. Both are fixed, so what a task or the driver holds does not grow with the data.
+#: Rows per block, and the most pivots ever used (the square root of the training rows up to that). Both are fixed, so
+#: what a task or the driver holds does not grow with the data.
 BLOCK_ROWS = 512
-PIVOTS = 64
+MOST_PIVOTS = 512
 
 
 def _kernels():
@@ -86,8 +88,14 @@ def nearest_rows(train: DataFrame, test: DataFrame, k: int = 10, p: int = 2) ->
     """
     train = train.select("id", "label", F.col("vec").cast("array<double>").alias("vec"))
     test = test.select("id", F.col("vec").cast("array<double>").alias("vec"))
-    # PIVOTS rows, spread by hash, are all that reaches the driver here; every row still takes part below.
-    pivots = _kernels()[0](r.vec for r in train.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect())
+    # The pivots, spread by hash, are all that reaches the driver here; every row still takes part below.
+    wanted = min(MOST_PIVOTS, math.isqrt(train.count()) + 1)
+    spread = train.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
+    if not spread:
+        return test.select("id").limit(0).selectExpr(
+            "id", "id as neighbour", "0 as label", "0D as distance", "0 as place"
+        )
+    pivots = _kernels()[0](r.vec for r in spread)
     homed = freeze(_with_home(train, pivots, p), "neighbours")
     groups = (
         homed.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).orderBy("home").toPandas()

@@ -17,6 +17,8 @@ SQL_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows that hold whole blocks of vectors are large; batches for Python are bounded by bytes, not by rows only.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
 }
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarind.sources.files import publish
 from tamarind.sources.tables import read_table
 
 LAUNCH_JSON = (
@@ -32,6 +33,25 @@ class Tables:
         df = read_table(self.spark, self.folder, name)
         return df.select(*columns) if columns else df
 
+    def publish(self) -> list[str]:
+        """Make the domain views known to SQL under their names."""
+        views = {
+            "customer_transaction": self.customer_transaction(),
+            "customer_registered": self.customer_registered(),
+            "sales": self.sales(),
+            "menu": self.menu(),
+            "members": self.members(),
+            "employee_statement": self.employee_statement(),
+            "launch": self.launch(),
+            "basket_lines": self.basket_lines(),
+            "site_geo": self.site_geo(),
+            "poi_geo": self.poi_geo(),
+            "price_series": self.price_series(),
+        }
+        for name, view in views.items():
+            publish(view, name)
+        return list(views)
+
     # --- customer value -------------------------------------------------------------------------------------------
     def customer_transaction(self) -> DataFrame:
         return self.raw("orders").select(

@@ -122,7 +122,7 @@ def test_pairs_equal_brute_force_with_one_giant_basket(spark, block):
 @pytest.mark.parametrize("p", [1, 2])
 def test_neighbours_equal_brute_force(spark, monkeypatch, p):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(neighbours, "PIVOTS", 9)
+    monkeypatch.setattr(neighbours, "MOST_PIVOTS", 9)
     rng = np.random.default_rng(p)
     # Two far clusters, a third of the rows at one single point, whole numbers so that distances tie.
     x = np.concatenate([rng.integers(0, 4, (80, 3)), rng.integers(50, 54, (60, 3)), np.full((70, 3), 2)]).astype(float)
@@ -144,6 +144,8 @@ def test_fewer_training_rows_than_k(spark):
     train = spark.createDataFrame([(1, 5, [0.0]), (2, 6, [1.0])], "id long, label int, vec array<double>")
     test = spark.createDataFrame([(9, [0.2])], "id long, vec array<double>")
     assert [(r.neighbour, r.place) for r in neighbours.nearest_rows(train, test, 10).orderBy("place").collect()] == [(1, 1), (2, 2)]
+    nothing = neighbours.nearest_rows(train.filter("id < 0"), test, 10)
+    assert nothing.collect() == [] and nothing.dtypes == neighbours.nearest_rows(train, test, 10).dtypes
 
 
 def test_vote_prefers_the_smaller_label(spark):
