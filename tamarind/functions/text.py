@@ -29,7 +29,15 @@ OBJECT_ID_PATTERN = r"'\$oid':\s*'([^']+)'"
 
 # (?U): white space and word characters are those of Unicode, not of ASCII.
 _BLANKS = r"(?U)\s+"
-_CLOSING_MARKS = r"(?U)[?!.]+\s*$"
+# Possessive, and only at the start of a run of marks, so that a long run is read once however the text goes on.
+_CLOSING_MARKS = r"(?U)(?<![?!.])[?!.]++\s*+$"
+# White space of Unicode, for trimming.
+_SPACES = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column) -> Column:
+    """White space removed at both ends."""
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def squeeze(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tamarind.functions.labels import differs, failure_label
 from tamarind.functions.numbers import mass_text
-from tamarind.functions.text import outcome_text
+from tamarind.functions.text import outcome_text, strip
 from tamarind.operators.rank import global_row_number
 from tamarind.sources.files import flatten_structs, parse_json, unwrap_singletons
 from tamarind.sources.views import LAUNCH_JSON
@@ -70,7 +70,7 @@ def tidy_scraped(rows: DataFrame) -> DataFrame:
     return rows.withColumns(
         {
             "payload_mass": mass_text(F.col("payload_mass")),
-            "launch_outcome": F.regexp_replace("launch_outcome", r"(?U)^\s+|\s+$", ""),
+            "launch_outcome": strip(F.col("launch_outcome")),
             "launch_date": F.try_to_date(F.col("date_text"), "d MMMM yyyy"),
         }
     ).drop("date_text")

@@ -618,7 +618,9 @@ def ml_leaderboard(t: Tables) -> DataFrame:
     knn_train, knn_test = features.train_test_split(rows, "id")
     knn = neighbours.classify(knn_train, knn_test, ks=[5], ps=(2,)).join(knn_test.select("id", "label"), "id")
     scores.append(
-        models.accuracy(knn, "label", "predicted").select(F.lit(3).alias("position"), F.lit("K-Nearest Neighbors").alias("model"), "score")
+        models.accuracy(knn, "label", "predicted").select(
+            F.lit(3).alias("position"), F.lit("K-Nearest Neighbors").alias("model"), "score"
+        )
     )
     board = scores[0]
     for row in scores[1:]:

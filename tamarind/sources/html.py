@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarind.functions.text import strip
+
 # Character entities that are decoded; the ampersand has to come last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
@@ -18,7 +20,7 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
     for entity, sign in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(sign))
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return strip(text)
 
 
 def element_text(html: Column, tag: str) -> Column:

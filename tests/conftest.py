@@ -13,7 +13,12 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "6g",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -232,6 +232,8 @@ def test_lift_identity(pairs, conf_ab, conf_ba, lift, support):
     [
         ("\nPhim quá hay luôn...mong từng tập!\n", "phim quá hay luôn mong từng tập"),
         ("Ok!!!", "ok"),
+        ("a... b?!  \u3000\n", "a b"),
+        ("." * 200_000 + "x" + "!" * 200_000, "x"),
         ("KO xem dc", "không xem được"),
         ("hay lắm, (rất) \"hay\" - 'ok' @bạn; “à”: \\ ?", "hay lắm rất hay okhông bạn à"),
         ("ĐC qua roi vn", "được quá rồi việt nam"),

@@ -63,6 +63,11 @@ def test_flatten_names_leaves_by_path(spark):
     assert files.flatten_structs(df, "_").columns == ["a_b", "a_c_d.e", "f"]
 
 
+def test_trimming_knows_unicode_blanks(spark):
+    df = spark.createDataFrame([("\u3000 \t a\u00a0b \u2009\n",), ("",), (None,)], "x string")
+    assert [r.v for r in df.select(html.plain_text(F.col("x")).alias("v")).collect()] == ["a\u00a0b", "", None]
+
+
 PAGE = """<html><title> A &amp; B </title><table><TBODY><tr><td>x</td><td>y</td></tr></TBODY></table>
 <table><tbody class="q"><tr><td>2020-12-31</td><td>$10,744</td></tr>
 <tr><td><b>2019-12-31</b></td><td></td></tr></tbody></table></html>"""
