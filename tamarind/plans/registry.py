@@ -158,13 +158,23 @@ def basket_rules_fpgrowth(t: Tables) -> DataFrame:
 
 
 # --- workforce ----------------------------------------------------------------------------------------------------
-def _statements(t: Tables) -> DataFrame:
-    known = missing.fill(missing.require(t.employee_statement(), "employee_work_date"), leader_code=workforce.NO_LEADER)
+def _known(statements: DataFrame) -> DataFrame:
+    known = missing.fill(missing.require(statements, "employee_work_date"), leader_code=workforce.NO_LEADER)
     return workforce.enrich(known, REPORT_DATE, LEAVER, FAMILIES)
 
 
-def _leavers(t: Tables, city: str | None = None) -> DataFrame:
-    return workforce.leavers(_statements(t), city, LEAVER)
+def _statements(t: Tables) -> DataFrame:
+    """Statements without place and title."""
+    return _known(t.statement())
+
+
+def _employees(t: Tables) -> DataFrame:
+    """Statements with place and title."""
+    return _known(t.employee_statement())
+
+
+def _city_leavers(t: Tables) -> DataFrame:
+    return workforce.leavers(_employees(t), CITY, LEAVER)
 
 
 @query
@@ -174,7 +184,7 @@ def hr_clean(t: Tables) -> DataFrame:
 
 @query
 def hr_position_map(t: Tables) -> DataFrame:
-    return _statements(t).select("statement_id", "job_title", "position")
+    return _employees(t).select("statement_id", "job_title", "position")
 
 
 @query
@@ -189,52 +199,53 @@ def hr_kpis(t: Tables) -> DataFrame:
 
 @query
 def hr_status_counts(t: Tables) -> DataFrame:
-    return workforce.count_report(_statements(t), ["statement_type"], "job_title")
+    return workforce.count_report(_employees(t), ["statement_type"], "job_title")
 
 
 @query
 def hr_status_share(t: Tables) -> DataFrame:
-    return workforce.count_report(_statements(t), ["statement_type"], "job_title", share=True)
+    return workforce.count_report(_employees(t), ["statement_type"], "job_title", share=True)
 
 
 @query
 def hr_churn_by_year(t: Tables) -> DataFrame:
-    return workforce.count_report(_leavers(t), ["valid_year"], "statement_id")
+    return workforce.count_report(workforce.leavers(_statements(t), leaver=LEAVER), ["valid_year"], "statement_id")
 
 
 @query
 def hr_churn_by_year_share(t: Tables) -> DataFrame:
-    return workforce.count_report(_leavers(t), ["valid_year"], "statement_id", share=True)
+    return workforce.count_report(workforce.leavers(_statements(t), leaver=LEAVER), ["valid_year"], "statement_id", share=True)
 
 
 @query
 def hr_churn_by_location_share(t: Tables) -> DataFrame:
-    return workforce.count_report(_leavers(t), ["work_location"], "statement_id", share=True)
+    left = workforce.leavers(_employees(t), leaver=LEAVER)
+    return workforce.count_report(left, ["work_location"], "statement_id", share=True)
 
 
 @query
 def hr_churn_city(t: Tables) -> DataFrame:
-    return _leavers(t, CITY).select("statement_id", "statement_valid_date", "job_title", "leader_code", "tenure")
+    return _city_leavers(t).select("statement_id", "statement_valid_date", "job_title", "leader_code", "tenure")
 
 
 @query
 def hr_churn_city_month(t: Tables) -> DataFrame:
-    return workforce.count_report(_leavers(t, CITY), ["valid_month"], "statement_id", by_key=True)
+    return workforce.count_report(_city_leavers(t), ["valid_month"], "statement_id", by_key=True)
 
 
 @query
 def hr_churn_city_position_share(t: Tables) -> DataFrame:
-    return workforce.count_report(_leavers(t, CITY), ["position"], "statement_id", share=True)
+    return workforce.count_report(_city_leavers(t), ["position"], "statement_id", share=True)
 
 
 @query
 def hr_churn_job_counts(t: Tables) -> DataFrame:
-    return summary.value_counts(_leavers(t, CITY).filter(F.col("position") == "Specialist"), "job_title")
+    return summary.value_counts(_city_leavers(t).filter(F.col("position") == "Specialist"), "job_title")
 
 
 @query
 def hr_top_leaders(t: Tables) -> DataFrame:
-    return workforce.top_leaders(_leavers(t, CITY), "statement_id", 10)
+    return workforce.top_leaders(_city_leavers(t), "statement_id", 10)
 
 
 @query
@@ -244,17 +255,19 @@ def hr_hire_vs_churn(t: Tables) -> DataFrame:
 
 @query
 def hr_tenure_share(t: Tables) -> DataFrame:
-    return workforce.count_report(workforce.served(_leavers(t)), ["tenure"], "statement_id", share=True, by_key=True)
+    left = workforce.served(workforce.leavers(_statements(t), leaver=LEAVER))
+    return workforce.count_report(left, ["tenure"], "statement_id", share=True, by_key=True)
 
 
 @query
 def hr_tenure_by_position(t: Tables) -> DataFrame:
-    return workforce.count_report(workforce.served(_leavers(t)), ["tenure", "position"], "statement_id", by_key=True)
+    left = workforce.served(workforce.leavers(_employees(t), leaver=LEAVER))
+    return workforce.count_report(left, ["tenure", "position"], "statement_id", by_key=True)
 
 
 @query
 def hr_reason_share(t: Tables) -> DataFrame:
-    return workforce.count_report(_leavers(t), ["statement_name"], "statement_id", share=True)
+    return workforce.count_report(workforce.leavers(_statements(t), leaver=LEAVER), ["statement_name"], "statement_id", share=True)
 
 
 # --- comments -----------------------------------------------------------------------------------------------------

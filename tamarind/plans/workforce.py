@@ -35,19 +35,19 @@ def clean_statements(
 def enrich(
     statements: DataFrame, report_date: dt.date, leaver: str = LEAVER, families: Sequence[str] = POSITION_FAMILIES
 ) -> DataFrame:
-    """Position family, years of service, and year and month of the statement.
+    """Years of service, year and month of the statement, and the position family where there is a title.
 
     Service ends with the statement for a leaver and with the report date for everybody else.
     """
     end = F.when(F.col("statement_type") == leaver, F.col("statement_valid_date")).otherwise(F.lit(report_date))
-    return statements.withColumns(
-        {
-            "position": first_contained(F.col("job_title"), families),
-            "tenure": tenure_years(end, F.col("employee_work_date")),
-            "valid_year": F.year("statement_valid_date"),
-            "valid_month": F.month("statement_valid_date"),
-        }
-    )
+    added = {
+        "tenure": tenure_years(end, F.col("employee_work_date")),
+        "valid_year": F.year("statement_valid_date"),
+        "valid_month": F.month("statement_valid_date"),
+    }
+    if "job_title" in statements.columns:
+        added["position"] = first_contained(F.col("job_title"), families)
+    return statements.withColumns(added)
 
 
 def kpis(statements: DataFrame, report_date: dt.date, leaver: str = LEAVER, hire: str = HIRE) -> DataFrame:

@@ -102,27 +102,40 @@ class Tables:
         )
 
     # --- workforce ------------------------------------------------------------------------------------------------
-    def employee_statement(self) -> DataFrame:
+    def statement(self) -> DataFrame:
+        """Contract statements on their own; reports that ask neither for place nor for title need no join."""
         key, cust = F.col("o_orderkey"), F.col("o_custkey")
-        signed = F.col("o_orderdate").cast("date")
-        status, segment = F.col("o_orderstatus"), F.col("c_mktsegment")
+        signed, status = F.col("o_orderdate").cast("date"), F.col("o_orderstatus")
+        return self.raw("orders").select(
+            key.alias("statement_id"),
+            F.when(status == "F", "TERMINATED").when(status == "O", "HIRED").otherwise("OTHER").alias("statement_type"),
+            F.col("o_orderpriority").alias("statement_name"),
+            signed.alias("statement_valid_date"),
+            F.when(key % 97 != 0, F.date_sub(signed, (key % 3000 - 100).cast("int"))).alias("employee_work_date"),
+            F.when(cust % 7 != 0, F.concat(F.lit("L"), (cust % 40).cast("string"))).alias("leader_code"),
+            cust.alias("employee_id"),
+        )
+
+    def employee_statement(self) -> DataFrame:
+        """Statements with the place and the title of the employee."""
+        segment = F.col("c_mktsegment")
         return (
-            self.raw("orders")
-            .join(self.raw("customer"), cust == F.col("c_custkey"), "left")
+            self.statement()
+            .join(self.raw("customer"), F.col("employee_id") == F.col("c_custkey"), "left")
             .join(self.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
-                key.alias("statement_id"),
-                F.when(status == "F", "TERMINATED").when(status == "O", "HIRED").otherwise("OTHER").alias("statement_type"),
-                F.col("o_orderpriority").alias("statement_name"),
-                signed.alias("statement_valid_date"),
-                F.when(key % 97 != 0, F.date_sub(signed, (key % 3000 - 100).cast("int"))).alias("employee_work_date"),
+                "statement_id",
+                "statement_type",
+                "statement_name",
+                "statement_valid_date",
+                "employee_work_date",
                 F.col("n_name").alias("work_location"),
                 F.when(segment == "BUILDING", "Senior Specialist")
                 .when(segment == "MACHINERY", "Head of Unit")
                 .when(segment == "HOUSEHOLD", "Collaborator (part time)")
                 .when(segment == "AUTOMOBILE", "Managing Director")
                 .alias("job_title"),
-                F.when(cust % 7 != 0, F.concat(F.lit("L"), (cust % 40).cast("string"))).alias("leader_code"),
+                "leader_code",
             )
         )
 

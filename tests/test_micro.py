@@ -168,6 +168,7 @@ def test_statement_cleaning_and_reports(spark):
     )
     clean = workforce.clean_statements(raw, unused=["employee_code", "not there"])
     assert clean.columns == [c if c != "KH200" else "leader_code" for c in raw.columns if c not in ("HAM", "employee_code")]
+    assert "position" not in workforce.enrich(clean.drop("job_title"), D(2020, 1, 1)).columns
     assert clean.count() == 3 and clean.filter("leader_code = 'No Leader'").count() == 1
     staff = workforce.enrich(clean, D(2020, 1, 1))
     assert rows(staff.select("position", "tenure", "valid_year", "valid_month"), "position") == [
