@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,16 +41,11 @@ def apply_options(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for frozen tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may go without it (tests); a cluster has to name a folder that every executor reaches.
+    Without the setting the warehouse of the session is used, which all executors reach as well. The session's settings
+    are left as they are.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tamarind-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_frozen"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
