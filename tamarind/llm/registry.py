@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import chat, digests, personal, quality, sharding, urls
+from tamarind.llm import chat, digests, lm_scoring, mixing, ngram_join, personal, quality, sharding, urls
 from tamarind.sources.tables import read_table
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.document_quality(read_table(spark, folder, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(read_table(spark, folder, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digests.document_duplicates(spark, read_table(spark, folder, "documents"))
 
@@ -31,19 +35,30 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.document_shards(read_table(spark, folder, "documents"))
 
 
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.document_mix(read_table(spark, folder, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages")
     return urls.judge_pages(pages, urls.listed_urls(pages))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_lm_scoring,
         op3_exact_dedup,
         op4_chat_formatting,
         op5_personal_data,
         op7_sharding,
+        op8_source_mixing,
         op9_url_filters,
+        op10_ngram_jaccard_join,
     )
 }
