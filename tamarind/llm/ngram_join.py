@@ -1,11 +1,13 @@
 """Exact similarity join on word shingles: documents linked by a Jaccard similarity of at least 0.8, as components.
 
-1. Documents with the same set of shingles form a class; one stands for it.
-2. Two sets that similar share a shingle among the first ``n - ceil(0.8 n) + 1`` of each, in any order that is common to
-   all. The order used here puts shingles that many documents hold last, as told by a small table of counters, so that
-   common passages do not bring documents together. Classes that share such a shingle form clusters; no link crosses two.
+1. A document of n shingles whose partner exists has at most n // 5 shingles that no other document holds. A sample of its
+   shingles, chosen by hash and therefore alike in all documents, shows most documents to have more: they have no partner.
+   The bound is exact; nothing is estimated. Shingles known to be common count as held by others without being looked up.
+2. Documents left with the same set form a class; one stands for it. Shingles are counted over the classes, and each class
+   takes its rarest ``n - ceil(0.8 n) + 1``. Two similar sets share one of these, so classes that do form a cluster and no
+   link crosses two. Common passages rank last and bring nobody together.
 3. Each cluster is searched by a signature tree. A cluster too large for a task is cut into blocks that also hold the same
-   few seeds. Only classes that this leaves outside the largest group of their cluster meet the other blocks again.
+   few seeds; what this leaves outside the largest group of its cluster meets all blocks again, in pairs of blocks.
 4. Links are closed to components, and members follow their class.
 """
 
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.llm.components import components
@@ -26,6 +28,9 @@ from tamarind.session import freeze
 WORDS = 5
 #: Counters for the order of shingles; the table has this many rows at most and is sent to every task (2 MB).
 COUNTERS = 1 << 18
+#: Share of a document's shingles by which it is judged, and the size below which all are used.
+SAMPLE = 0.3
+SMALL = 64
 #: Classes in a block of a cluster, and seeds that all blocks of a cluster share.
 BLOCK = 2048
 SEEDS = 32
@@ -58,38 +63,62 @@ def shingle_levels(rows: DataFrame) -> np.ndarray:
     return np.floor(np.log2(1 + over)).astype(np.uint8)
 
 
-def prefix_length(n: int) -> int:
-    return n - (4 * n + 4) // 5 + 1
+def prefix_length(n: Column) -> Column:
+    """Shingles of a set of n of which a similar set holds at least one: n - ceil(4 n / 5) + 1."""
+    return n - F.call_function("div", n * 4 + 4, F.lit(5)) + 1
 
 
-def _prefixes(levels):
+def _samples(levels):
+    """One row per document: size, digest, and the sampled shingles that have to be looked up.
+
+    ``own`` are those by which the document is judged, ``other`` those that only a smaller partner may ask for. A document
+    of ``n`` is judged by all its shingles if n < SMALL, else by those below a hash threshold; since a partner is at least
+    0.8 n large, what it asks for is sampled here as well. ``need`` of ``own`` have to be held by others.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, level = Powers(), levels.value
         for batch in batches:
-            sizes, first, second, prefixes = [], [], [], []
+            sizes, first, second, needs = [], [], [], []
+            parts: tuple[list, list] = ([], [])
             for text in _texts(batch):
                 s = shingle_set(text, WORDS, powers)
-                sizes.append(len(s))
+                n = len(s)
                 d = set_digest(s)
+                low = int(np.searchsorted(s, np.uint64(int(SAMPLE * 2**64))))
+                mine = n if n < SMALL else low
+                sent = n if 4 * n < 5 * SMALL else low
+                cold = level[(s[:sent] & np.uint64(COUNTERS - 1)).astype(np.int64)] == 0
+                kept = s[:mine][cold[:mine]]
+                sizes.append(n)
                 first.append(d[0])
                 second.append(d[1])
-                if len(s):
-                    order = np.argsort(level[(s & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")
-                    s = s[order[: prefix_length(len(s))]]
-                prefixes.append(s.view(np.int64))
-            flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-            offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
+                needs.append(len(kept) - n // 5)
+                parts[0].append(kept.view(np.int64))
+                parts[1].append(s[mine:sent][cold[mine:]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                    pa.array(second, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array(second, pa.int64()), pa.array(needs, pa.int64()), _lists(parts[0]), _lists(parts[1]),
                 ],
-                ["doc_id", "n", "d1", "d2", "prefix"],
+                ["doc_id", "n", "d1", "d2", "need", "own", "other"],
             )
 
     return run
 
 
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    powers = Powers()
+    for batch in batches:
+        sets = [shingle_set(t, WORDS, powers).view(np.int64) for t in _texts(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets)], ["doc_id", "shingles"])
+
+
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links inside each run of rows with the same (cluster, block): every row's id and the first id of its group."""
     powers = Powers()
@@ -138,7 +167,7 @@ def _bit_table(ids: DataFrame) -> DataFrame:
     return bits.groupBy("w").agg(F.bit_or("bit").alias("bits"))
 
 
-def similar_documents(documents: DataFrame) -> DataFrame:
+def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``documents`` (``doc_id`` bigint, ``text`` string).
 
     ``component_id`` is the smallest id reachable by links, the row's own included. A null or empty text, or one of blanks
@@ -150,39 +179,42 @@ def similar_documents(documents: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", "text")
     levels = spark.sparkContext.broadcast(shingle_levels(rows))
     seen = freeze(
-        rows.mapInArrow(_prefixes(levels), "doc_id bigint, n bigint, d1 bigint, d2 bigint, prefix array<bigint>"), "sets"
+        rows.mapInArrow(
+            _samples(levels),
+            "doc_id bigint, n bigint, d1 bigint, d2 bigint, need bigint, own array<bigint>, other array<bigint>",
+        ),
+        "samples",
     )
     members = seen.select("doc_id", "n", "d1", "d2")
-    classes = freeze(
-        members.filter("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id")), "classes"
-    )
-    # Matched by all three, so that a hot class moves one of its rows.
-    standing = seen.join(classes.withColumnRenamed("class_id", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
-    heads = standing.select(F.col("doc_id").alias("class_id"), F.explode("prefix").alias("t")).distinct()
-    hubs = heads.groupBy("t").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("last")).filter("hub < last")
-    near = heads.join(hubs.select("t", "hub"), "t").filter("class_id <> hub").select("class_id", "hub").distinct()
-    clusters = freeze(
-        components(near, "class_id", "hub").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")),
-        "clusters",
+    named = seen.filter("doc_id is not null and n > 0")
+    asked = named.select("doc_id", F.explode("own").alias("t"), F.lit(True).alias("own")).unionByName(
+        named.select("doc_id", F.explode("other").alias("t"), F.lit(False).alias("own"))
     )
-    # Texts of the classes in a cluster. The bit table keeps most other texts from moving; the join is exact.
-    word = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    possible = (
-        rows.withColumns({"w": F.shiftright(word, 6), "i": F.pmod(word, F.lit(64))})
-        .join(F.broadcast(_bit_table(clusters)), "w")
-        .filter(F.getbit("bits", F.col("i")) == 1)
-        .select("doc_id", "text")
+    holders = Window.partitionBy("t")  # common shingles are not among these, so that no group is large
+    held = (
+        asked.withColumns({"lo": F.min("doc_id").over(holders), "hi": F.max("doc_id").over(holders)})
+        .filter("own and lo < hi")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("held"))
+    )
+    open_rows = named.select("doc_id", "n", "d1", "d2", "need").join(held, "doc_id", "left")
+    classes = freeze(
+        open_rows.filter(F.coalesce("held", F.lit(0)) >= F.col("need"))
+        .groupBy("d1", "d2")
+        .agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n")),
+        "classes",
     )
-    texts = freeze(possible.join(clusters.select("doc_id"), "doc_id", "left_semi"), "texts")
+    texts = _class_texts(rows, classes)
+    clusters = _clusters(texts)
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
-    sized = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    sized = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     placed = sized.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn(
         "known", F.col("doc_id")
     )
     large = freeze(placed.filter("blocks > 1"), "large")
     links = _links(placed.select("cluster", "block", "doc_id", "known"), texts)
     if not large.isEmpty():
-        links = _large_links(links, large, texts)
+        links = _large_links(links, large, texts, block)
     joined = components(freeze(links.filter("a <> b"), "links"))
     known = classes.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "d1", "d2", F.coalesce("component", "class_id").alias("component")
@@ -196,7 +228,43 @@ def similar_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def _large_links(links: DataFrame, large: DataFrame, texts: DataFrame) -> DataFrame:
+def _class_texts(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Texts of the rows that stand for classes. The bit table keeps most others from moving; the join is exact."""
+    word = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
+    ids = classes.select(F.col("class_id").alias("doc_id"))
+    possible = (
+        rows.withColumns({"w": F.shiftright(word, 6), "i": F.pmod(word, F.lit(64))})
+        .join(F.broadcast(_bit_table(ids)), "w")
+        .filter(F.getbit("bits", F.col("i")) == 1)
+        .select("doc_id", "text")
+    )
+    return freeze(possible.join(ids, "doc_id", "left_semi").distinct(), "texts")
+
+
+def _clusters(texts: DataFrame) -> DataFrame:
+    """``doc_id, cluster`` of the classes that share one of their rarest shingles with another class, frozen."""
+    held = texts.mapInArrow(_shingles, "doc_id bigint, shingles array<bigint>").select(
+        "doc_id", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("t")
+    )
+    shared = held.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = Window.partitionBy("doc_id", "n")  # texts that share an id only take a few more
+    ranked = held.join(shared, "t").withColumns(
+        {"held": F.count(F.lit(1)).over(own), "rank": F.row_number().over(own.orderBy("df", "t"))}
+    )
+    # The n - held shingles that nobody else holds are the rarest of all and fill the prefix first.
+    heads = freeze(
+        ranked.filter(F.col("rank") <= prefix_length(F.col("n")) - (F.col("n") - F.col("held"))).select("doc_id", "t"),
+        "heads",
+    )
+    hubs = heads.groupBy("t").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
+    near = heads.join(hubs.select("t", "hub"), "t").filter("doc_id <> hub").select("doc_id", "hub").distinct()
+    return freeze(
+        components(near, "doc_id", "hub").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")),
+        "clusters",
+    )
+
+
+def _large_links(links: DataFrame, large: DataFrame, texts: DataFrame, block: int) -> DataFrame:
     """All links, with those between different blocks of large clusters.
 
     Seeds stand in every block, so most blocks end up in one group. What is not in the largest group of its cluster is
@@ -220,6 +288,18 @@ def _large_links(links: DataFrame, large: DataFrame, texts: DataFrame) -> DataFr
     left = freeze(grouped.join(main, "cluster").filter("known <> main").drop("main"), "left")
     if left.isEmpty():
         return first
-    visitors = left.select("cluster", "doc_id", "known").join(blocks, "cluster").select(*grouped.columns)
-    concerned = grouped.join(left.select("cluster").distinct(), "cluster", "left_semi")
-    return first.unionByName(_links(concerned.unionByName(visitors).distinct(), texts))
+    # Chunks of what is left, each against every block of its cluster: two blocks of rows in a task at most.
+    counted = left.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
+    chunked = left.join(counted, "cluster").withColumn(
+        "chunk", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("m") / block)).cast("int")
+    )
+    chunks = chunked.select("cluster", "chunk").distinct()
+    pair = F.struct("chunk", "block")
+    hosts = grouped.join(chunks, "cluster").select("cluster", pair.alias("block"), "doc_id", "known")
+    visitors = (
+        chunked.select("cluster", "chunk", "doc_id", "known")
+        .join(blocks, "cluster")
+        .select("cluster", pair.alias("block"), "doc_id", "known")
+    )
+    met = hosts.unionByName(visitors).distinct().withColumn("block", F.xxhash64("block.chunk", "block.block"))
+    return first.unionByName(_links(met, texts))
