@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarind.llm.texts import spaced
@@ -114,3 +114,19 @@ def deduplicate(rows: DataFrame, index: DigestIndex, *, id_col: str = "doc_id",
 def document_duplicates(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """All documents against a new index of their own."""
     return deduplicate(documents, DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}"))
+
+
+def without_duplicates(
+    rows: DataFrame, index: DigestIndex, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows that stay, with all their columns; of rows equal in id and text one stays. See ``deduplicate``."""
+    kept = (
+        deduplicate(rows, index, id_col=id_col, text_col=text_col)
+        .filter("kept")
+        .select(F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_keep_digest"))
+    )
+    named = rows.withColumn("_digest", text_digest(F.col(text_col)))
+    met = named.join(
+        kept, F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_digest") == F.col("_keep_digest")), "left_semi"
+    )
+    return met.dropDuplicates([id_col, "_digest"]).drop("_digest")

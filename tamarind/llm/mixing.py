@@ -11,7 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.llm.numbering import number_rows
@@ -149,3 +149,28 @@ def mix(
 def document_mix(documents: DataFrame) -> DataFrame:
     """All documents mixed with weights in proportion to the square root of the size of their source."""
     return mix(documents)
+
+
+def in_mix_order(rows: DataFrame, weights: Mapping[object, float] | None = None, **options) -> DataFrame:
+    """All rows with their columns, dealt to partitions and sorted in the order of the mix (see ``mix``).
+
+    Written out, the files read in the order of their names are the mix. Rows that share id and source take each other's
+    places in the order of their hash.
+    """
+    ids, source = options.get("id_cols", ("doc_id",)), options.get("source_col", "source")
+    placed = mix(rows, weights, **options)
+    keys = [*ids, source]
+    hashed = F.xxhash64(*[c for c in rows.columns])
+    left = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(hashed)))
+    right = placed.select(
+        *[F.col(c).alias(f"_mix_{c}") for c in keys],
+        F.row_number().over(Window.partitionBy(*keys).orderBy("slot", "offset")).alias("_mix_nth"),
+        F.col("slot").alias("_mix_slot"),
+        F.col("offset").alias("_mix_offset"),
+    )
+    match = F.col("_nth") == F.col("_mix_nth")
+    for c in keys:
+        match &= F.col(c).eqNullSafe(F.col(f"_mix_{c}"))
+    met = left.join(right, match)
+    order = [F.col("_mix_slot"), F.col("_mix_offset")]
+    return met.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)

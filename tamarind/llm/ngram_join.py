@@ -303,3 +303,24 @@ def _large_links(links: DataFrame, large: DataFrame, texts: DataFrame, block: in
     )
     met = hosts.unionByName(visitors).distinct().withColumn("block", F.xxhash64("block.chunk", "block.block"))
     return first.unionByName(_links(met, texts))
+
+
+def keep_one(documents: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest id, with all its columns.
+
+    Rows without an id are linked with nothing and all stay. Of rows that share an id the one with the least text stays.
+    """
+    heads = (
+        similar_documents(documents)
+        .filter("doc_id = component_id")
+        .select(F.col("doc_id").alias("_head"))
+        .distinct()
+    )
+    of_id = Window.partitionBy("doc_id").orderBy("text")
+    kept = (
+        documents.join(heads, F.col("doc_id") == F.col("_head"), "left_semi")
+        .withColumn("_nth", F.row_number().over(of_id))
+        .filter("_nth = 1")
+        .drop("_nth")
+    )
+    return kept.unionByName(documents.filter("doc_id is null"))

@@ -165,3 +165,24 @@ def document_quality(documents: DataFrame) -> DataFrame:
     return judge(documents.select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_share"
     )
+
+
+def clean(documents: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """The documents that are kept, with the lines that failed cut out of their text; columns as before.
+
+    ``length_col``, where the table has it, becomes the code points of the new text. Columns of the names that ``judge``
+    adds keep their values.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    inside = documents.select(F.struct(*documents.columns).alias("_row"), text.alias("_text"))
+    kept = judge(inside, "_text").filter("kept")
+    columns = []
+    for name in documents.columns:
+        if name == text_col:
+            columns.append(F.col("cleaned_text").alias(name))
+        elif name == length_col:
+            kind = dict(documents.dtypes)[name]
+            columns.append(F.length("cleaned_text").cast(kind).alias(name))
+        else:
+            columns.append(F.col("_row")[name].alias(name))
+    return kept.select(*columns)

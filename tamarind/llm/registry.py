@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import chat, digests, lm_scoring, mixing, ngram_join, personal, quality, sharding, urls
+from tamarind.llm import bpe, chat, digests, lm_scoring, mixing, ngram_join, personal, quality, sharding, urls
 from tamarind.sources.tables import read_table
 
 
@@ -31,6 +31,10 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal.document_personal(read_table(spark, folder, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.document_tokens(read_table(spark, folder, "documents"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.document_shards(read_table(spark, folder, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_exact_dedup,
         op4_chat_formatting,
         op5_personal_data,
+        op6_byte_bpe,
         op7_sharding,
         op8_source_mixing,
         op9_url_filters,
