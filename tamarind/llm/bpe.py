@@ -13,12 +13,14 @@ import base64
 import hashlib
 import heapq
 import json
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import Column, DataFrame
@@ -30,10 +32,12 @@ from tamarind.session import freeze
 
 #: Most pieces that are merged by Spark and sent to every task.
 FREQUENT = 32768
-#: Pieces a task remembers beside those; when full, it starts anew.
-MEMO = 300_000
+#: Pieces a worker remembers beside those.
+MEMO = 800_000
 #: Distinct pieces a counting task keeps before it hands them on.
 FLUSH = 500_000
+#: Rows a task works on at a time.
+ROWS = 256
 #: Buckets of the literal map, which is searched entry by entry inside a bucket.
 BUCKETS = 16384
 #: Pieces of more bytes are merged by a heap, which takes n log n steps instead of n * n.
@@ -56,16 +60,20 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[piece]]
     if len(piece) > LONG:
         return _merge_long(piece, ranks)
+    rank, none = ranks.get, 1 << 62
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, at = None, 0
-        for i in range(len(parts) - 1):
-            rank = ranks.get(parts[i] + parts[i + 1])
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
+    pairs = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == none:
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        at = pairs.index(best)
+        parts[at] += parts.pop(at + 1)
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = rank(parts[at] + parts[at + 1], none)
+        if at:
+            pairs[at - 1] = rank(parts[at - 1] + parts[at], none)
     return [ranks[p] for p in parts]
 
 
@@ -151,7 +159,7 @@ def _count(pattern: str):
             counts.clear()
             return batch
 
-        for batch in batches:
+        for batch in _pieces_of(batches):
             for text in batch.column("text").to_pylist():
                 if text:
                     counts.update(cut(text))
@@ -179,34 +187,90 @@ def frequent_pieces(
 
 
 class _Memo(dict):
-    """Pieces to the bytes of their ids, little-endian and four a piece; merged when first asked for."""
+    """Pieces to the bytes of their ids, little-endian and four a piece; merged when first asked for.
+
+    Two halves: when the younger one is full it becomes the older one, and what is asked for again comes back from there.
+    """
 
     def __init__(self, ranks: dict[bytes, int], known: dict[str, list[int]]):
-        super().__init__((p, np.array(ids, "<u4").tobytes()) for p, ids in known.items())
-        self.ranks, self.kept = ranks, dict(self)
+        super().__init__()
+        self.ranks, self.older = ranks, {}
+        self.known = {p: np.array(ids, "<u4").tobytes() for p, ids in known.items()}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) > len(self.kept) + MEMO:
+        ids = self.known.get(piece) or self.older.get(piece)
+        if ids is None:
+            ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+        if len(self) >= MEMO // 2:
+            self.older = dict(self)
             self.clear()
-            self.update(self.kept)
-        ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         self[piece] = ids
         return ids
 
 
-def _encode(shared, pattern: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, known = shared.value
-        memo, cut = _Memo(ranks, known), regex.compile(pattern).findall
-        for batch in batches:
-            ids = [b"".join(map(memo.__getitem__, cut(t))) if t else b"" for t in batch.column("_text").to_pylist()]
-            flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-            ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            rest = [n for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in rest], tokens], [*rest, "_ids"])
+#: Memos of this process by the key of their query, so that the tasks a worker runs one after the other share one.
+_MEMOS: dict[str, _Memo] = {}
 
-    return run
+
+def _memo(key: str, ranks: dict[bytes, int], known: dict[str, list[int]]) -> _Memo:
+    if key not in _MEMOS:
+        _MEMOS.clear()
+        _MEMOS[key] = _Memo(ranks, known)
+    return _MEMOS[key]
+
+
+class _Tokens:
+    """Token bytes by id, laid end to end, so that whole batches are decoded by array operations."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values(), default=-1) + 1
+        self.length = np.full(size, -1, np.int64)
+        for token, rank in ranks.items():
+            self.length[rank] = len(token)
+        self.start = np.cumsum(np.maximum(self.length, 0)) - np.maximum(self.length, 0)
+        by_rank = sorted(ranks, key=ranks.__getitem__)
+        self.bytes = np.frombuffer(b"".join(by_rank), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The concatenated bytes of all ids, and the length of each."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or (self.length[ids] < 0).any()):
+            raise ValueError("an id has no token")
+        lengths = self.length[ids]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.start[ids] - (ends - lengths), lengths)
+        return self.bytes[shift + np.arange(len(shift))], lengths
+
+
+def _pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough that a task holds little at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
+def _encoded(batches, key: str, ranks: dict, known: dict, pattern: str) -> Iterator[pa.RecordBatch]:
+    """Batches with ``_ids`` in place of ``_text``."""
+    memo, cut = _memo(key, ranks, known), regex.compile(pattern).findall
+    for batch in _pieces_of(batches):
+        ids = [b"".join(map(memo.__getitem__, cut(t))) if t else b"" for t in batch.column("_text").to_pylist()]
+        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+        ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
+        tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        rest = [n for n in batch.schema.names if n != "_text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in rest], tokens], [*rest, "_ids"])
+
+
+def _decoded(batches, ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """Batches with ``_bytes`` beside ``_ids``."""
+    tokens = _Tokens(ranks)
+    for batch in _pieces_of(batches):
+        ids = batch.column("_ids")
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        flat, lengths = tokens.decode(ids.flatten().to_numpy())
+        at = np.concatenate(([0], np.cumsum(lengths)))[np.concatenate(([0], np.cumsum(counts)))]
+        raw = flat.tobytes()
+        decoded = [raw[a:b] if known else None for a, b, known in zip(at, at[1:], ids.is_valid().to_pylist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "_bytes"])
 
 
 def encode(
@@ -223,25 +287,15 @@ def encode(
     """
     ranks = read_ranks(path or default_file())
     known = frequent_pieces(documents, ranks, pattern, text_col)
-    shared = documents.sparkSession.sparkContext.broadcast((ranks, known))
+    shared = documents.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, known))
     rest = [c for c in documents.columns if c not in (text_col, ids_col)]
     source = documents.select(*rest, F.col(text_col).alias("_text"))
     schema = documents.select(*rest).schema.add("_ids", ArrayType(IntegerType()))
-    return source.mapInArrow(_encode(shared, pattern), schema).withColumnRenamed("_ids", ids_col)
 
-
-def _decode(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in shared.value.items()}.__getitem__
-        for batch in batches:
-            column = batch.column("_ids")
-            decoded = [None if ids is None else b"".join(map(tokens, ids)) for ids in column.to_pylist()]
-            rest = [n for n in batch.schema.names if n != "_ids"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in rest], pa.array(decoded, pa.binary())], [*rest, "_bytes"]
-            )
+        return _encoded(batches, *shared.value, pattern)
 
-    return run
+    return source.mapInArrow(run, schema).withColumnRenamed("_ids", ids_col)
 
 
 def decode(encoded: DataFrame, ids_col: str = "token_ids", bytes_col: str = "bytes", path: str | None = None) -> DataFrame:
@@ -250,23 +304,37 @@ def decode(encoded: DataFrame, ids_col: str = "token_ids", bytes_col: str = "byt
     rest = [c for c in encoded.columns if c not in (ids_col, bytes_col)]
     source = encoded.select(*rest, F.col(ids_col).alias("_ids"))
     schema = encoded.select(*rest).schema.add("_bytes", BinaryType())
-    return source.mapInArrow(_decode(shared), schema).withColumnRenamed("_bytes", bytes_col)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _decoded(batches, shared.value):
+            yield batch.select([*rest, "_bytes"])
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        column = batch.column("ids")
-        flat, ends = column.values.to_numpy().astype("<u4"), column.offsets.to_numpy()
-        hashes = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(hashes), column],
-            ["doc_id", "n_tokens", "ids_sha256", "ids"],
-        )
+    return source.mapInArrow(run, schema).withColumnRenamed("_bytes", bytes_col)
+
+
+def document_tokens(
+    documents: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN
+) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, from its ids and from decoding them again.
 
+    The same steps as ``encode`` and ``decode``, one after the other in one task, so that ids and decoded texts are not
+    carried back and forth.
+    """
+    ranks = read_ranks(path or default_file())
+    shared = documents.sparkSession.sparkContext.broadcast(
+        (uuid.uuid4().hex, ranks, frequent_pieces(documents, ranks, pattern))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _decoded(_encoded(batches, *shared.value, pattern), shared.value[1]):
+            ids = batch.column("_ids")
+            flat, ends = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
+            hashes = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])]
+            decoded = [hashlib.sha256(d).hexdigest() for d in batch.column("_bytes").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(hashes), pa.array(decoded)],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
-def document_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, from its ids and from decoding them again."""
-    ids = encode(documents.select("doc_id", "text"), ids_col="ids", path=path)
-    hashed = ids.mapInArrow(_digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, ids array<int>")
-    back = decode(hashed, "ids", "decoded", path)
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    source = documents.select("doc_id", F.col("text").alias("_text"))
+    return source.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
