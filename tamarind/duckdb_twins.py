@@ -114,7 +114,7 @@ VIEWS = {
         union all
         select id, label, vote, 2 as p, row_number() over (partition by id order by d2, neighbour) as place from distances""",
     "fold_entries": """
-        select vec_id, label, cast('0x' || substr(md5('3:' || cast(vec_id as varchar)), 1, 8) as bigint) % 3 as fold, e, x
+        select vec_id, label, cast('0x' || substr(md5('3:' || cast(vec_id as varchar)), 1, 8) as bigint) % 10 as fold, e, x
         from entries where not is_test""",
     "fold_distances": """
         select a.vec_id as id, b.vec_id as neighbour, any_value(a.fold) as fold, any_value(a.label) as label,
@@ -231,6 +231,37 @@ def _text_of(html: str) -> str:
     return f"regexp_replace({text}, '^[\\s\\v\\p{{Z}}]+|[\\s\\v\\p{{Z}}]+$', '', 'g')"
 
 
+_BEST = "case when w0 >= w1 and w0 >= w2 then 0 when w1 >= w2 then 1 else 2 end"
+VIEWS |= {
+    "comment_words": f"""
+        select doc_id, unnest(string_split({_CLEAN.format(_abbreviations(_PLAIN))}, ' ')) as word from documents
+        where text is not null""",
+    "comment_labels": """
+        select doc_id, case when toxic = 1 then 0 when quality = 1 then 1 else 2 end as label
+        from labels join documents using (doc_id) where text is not null""",
+    "comment_counts": """
+        select word, count(*) filter (label = 0) as n0, count(*) filter (label = 1) as n1, count(*) filter (label = 2) as n2
+        from comment_words join comment_labels using (doc_id) where word <> '' group by word""",
+    "comment_weights": """
+        select word, ln((n0 + 1.0::double) / (sum(n0) over () + count(*) over ())) as w0,
+               ln((n1 + 1.0::double) / (sum(n1) over () + count(*) over ())) as w1,
+               ln((n2 + 1.0::double) / (sum(n2) over () + count(*) over ())) as w2 from comment_counts""",
+    "comment_priors": """
+        select ln((count(*) filter (label = 0) + 1.0::double) / (count(*) + 3)) as p0,
+               ln((count(*) filter (label = 1) + 1.0::double) / (count(*) + 3)) as p1,
+               ln((count(*) filter (label = 2) + 1.0::double) / (count(*) + 3)) as p2 from comment_labels""",
+    "comment_scores": """
+        select doc_id, round(sum(w0) + any_value(p0), 6) as w0, round(sum(w1) + any_value(p1), 6) as w1,
+               round(sum(w2) + any_value(p2), 6) as w2
+        from comment_words join comment_weights using (word), comment_priors group by doc_id""",
+}
+_DEPENDS |= {
+    "comment_counts": ["comment_words", "comment_labels"],
+    "comment_weights": ["comment_counts"],
+    "comment_priors": ["comment_labels"],
+    "comment_scores": ["comment_weights", "comment_priors"],
+}
+
 ORACLE_SQL: dict[str, str] = {
     "rfm_metrics": _with("select * from rfm", "rfm"),
     "rfm_scores": _with(
@@ -439,16 +470,30 @@ ORACLE_SQL: dict[str, str] = {
     "hr_reason_share": _with(
         _SHARE.format(key="statement_name", counted="statement_id", source="leavers", more=""), "leavers"
     ),
-    "text_extract_id": """
-        select doc_id, case when lang <> 'en' then md5(cast(doc_id as varchar)) end as object_id from documents""",
+    "text_extract_id": r"""
+        select doc_id, nullif(regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), '') as object_id
+        from documents""",
     "text_standardize": f"select doc_id, {_CLEAN.format(_PLAIN)} as content_std from documents",
     "text_expand_abbrev": f"select doc_id, {_CLEAN.format(_abbreviations(_PLAIN))} as content_std from documents",
-    "sentiment_argmax": """
-        select vec_id, round(exp(a) / s, 6) as negative, round(exp(b) / s, 6) as positive, round(exp(c) / s, 6) as neutral,
-               case when a >= b and a >= c then 0 when b >= c then 1 else 2 end as sentiment
-        from (select vec_id, a, b, c, exp(a) + exp(b) + exp(c) as s
-              from (select vec_id, cast(embedding[1] as double) as a, cast(embedding[2] as double) as b,
-                           cast(embedding[3] as double) as c from embeddings))""",
+    "sentiment_score": _with(
+        f"""select d.doc_id, coalesce({_BEST}, 2) as sentiment from documents d left join comment_scores using (doc_id)""",
+        "comment_scores",
+    ),
+    "sentiment_argmax": _with(
+        f"""select doc_id, round(exp(w0 - m) / s, 4) as negative, round(exp(w1 - m) / s, 4) as positive,
+                   round(exp(w2 - m) / s, 4) as neutral, {_BEST} as sentiment
+            from (select *, greatest(w0, w1, w2) as m, exp(w0 - greatest(w0, w1, w2)) + exp(w1 - greatest(w0, w1, w2))
+                         + exp(w2 - greatest(w0, w1, w2)) as s from comment_scores)""",
+        "comment_scores",
+    ),
+    "sentiment_word_list": _with(
+        """select d.doc_id, case when coalesce(n, 0) = 0 and coalesce(p, 0) = 0 then 2 when n >= p then 0 else 1 end as sentiment
+           from documents d left join (
+               select doc_id, count(*) filter (word in ('der', 'die', 'und', 'of')) as n,
+                      count(*) filter (word in ('the', 'and', 'la', 'de')) as p
+               from comment_words group by doc_id) using (doc_id)""",
+        "comment_words",
+    ),
     "json_flatten_events": """
         select event_id, event_type, cast(json_extract(props, '$.k') as bigint) as props_k from events""",
     "json_singleton_unwrap": _with(
@@ -521,7 +566,9 @@ ORACLE_SQL: dict[str, str] = {
         "launch",
     ),
     "eda_total_payload_customer": _with(
-        "select sum(payload_mass) as total_payload_kg from launch where launch_site = 'SITE_1'", "launch"
+        """select sum(payload_mass) as total_payload_kg from launch join orders on launch_id = o_orderkey
+           where 'CUST_' || cast(o_custkey % 50 as varchar) = 'CUST_7'""",
+        "launch",
     ),
     "eda_avg_payload_version": _with(
         "select avg(payload_mass) as avg_payload_kg from launch where booster_version ilike 'brand#12'", "launch"
@@ -577,6 +624,9 @@ ORACLE_SQL: dict[str, str] = {
     "dash_site_outcomes": _with(
         "select launch_site, class, count(*) as class_count from launch where launch_site = 'SITE_2' group by 1, 2", "launch"
     ),
+    "dash_payload_scatter_all": _with(
+        "select launch_site, payload_mass, class, booster_version from launch where payload_mass between 10 and 40", "launch"
+    ),
     "dash_payload_scatter": _with(
         """select launch_site, payload_mass, class, booster_version from launch
            where payload_mass between 10 and 40 and launch_site = 'SITE_2'""",
@@ -610,8 +660,9 @@ ORACLE_SQL: dict[str, str] = {
         select page_id, cast(row_no as int) as row_no,
                {_text_of("regexp_extract(row_html, '(?is)<a(?:\\s[^>]*)?>(.*?)</a\\s*>', 1)")} as link_text
         from (select page_id, generate_subscripts({_LINKS}, 1) - 1 as row_no, unnest({_LINKS}) as row_html from pages)""",
-    "revenue_clean": _with(
-        "select row_id, cast(d as varchar) as d, revenue from revenue_rows order by revenue_rows.d desc, row_id desc limit 5",
+    "revenue_clean": _with("select row_id, cast(d as varchar) as d, revenue from revenue_rows", "revenue_rows"),
+    "revenue_last_rows": _with(
+        """select row_id, cast(d as varchar) as d, revenue from revenue_rows order by d desc, row_id desc limit 5""",
         "revenue_rows",
     ),
     "series_price_revenue": _with(

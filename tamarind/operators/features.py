@@ -25,28 +25,22 @@ def as_doubles(df: DataFrame, *columns: str) -> DataFrame:
     return df.select([cast(c) for c in df.columns])
 
 
-def distinct_values(df: DataFrame, columns: Sequence[str], most: int) -> dict[str, list[str]]:
-    """Sorted distinct texts per column. Raises when a column has more than ``most`` of them."""
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct texts per column."""
     cells = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns]))
     )
-    # One row more than allowed is enough to notice that there are too many; nothing is left out of a result.
-    found = cells.na.drop().distinct().limit(most * len(columns) + 1).collect()
-    values = {c: sorted(r.v for r in found if r.c == c) for c in columns}
-    for c, v in values.items():
-        if len(v) > most or len(found) > most * len(columns):
-            raise ValueError(f"too many distinct values for one-hot columns (first seen at {c!r}); use one_hot_indexed")
-    return values
+    found = cells.na.drop().distinct().collect()
+    return {c: sorted(r.v for r in found if r.c == c) for c in columns}
 
 
-def one_hot(
-    df: DataFrame, columns: Sequence[str], values: dict[str, list[str]] | None = None, most: int = 1000
-) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], values: dict[str, list[str]] | None = None) -> DataFrame:
     """Replace each column by one 0/1 double column per value, named ``column_value``; a null gives zeros only.
 
-    Without ``values`` one pass collects the sorted distinct values, at most ``most`` per column.
+    Without ``values`` one pass collects the sorted distinct values: they become columns of the result, so they have to be
+    known to the driver in any case. For columns without a sensible number of values there is ``one_hot_indexed``.
     """
-    values = values or distinct_values(df, columns, most)
+    values = values or distinct_values(df, columns)
     rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
     dummies = [
         F.coalesce((F.col(f"`{c}`").cast("string") == F.lit(v)).cast("int"), F.lit(0)).cast("double").alias(f"{c}_{v}")
@@ -66,30 +60,42 @@ def one_hot_indexed(df: DataFrame, column: str, name: str | None = None) -> Data
     return df.join(positions.withColumn(name, F.col(name) - 1), column, "left")
 
 
-def vector_statistics(df: DataFrame, vector: str, size: int) -> DataFrame:
-    """One row: mean and population deviation of every entry of an array column, in one pass."""
-    entry = [F.get(F.col(vector), F.lit(i)).cast("double") for i in range(size)]
+def vector_size(df: DataFrame, vector: str) -> int:
+    """Entries of each vector of an array column. Raises where rows differ; missing vectors do not count."""
+    least, most = df.agg(F.min(F.size(vector)), F.max(F.size(vector))).first()
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} entries in {vector!r}")
+    return most or 0
+
+
+def vector_statistics(df: DataFrame, vector: str) -> DataFrame:
+    """One row: mean and population deviation of every entry of an array column; nulls count in neither."""
+    entry = [F.get(F.col(vector), F.lit(i)).cast("double") for i in range(vector_size(df.filter(F.col(vector).isNotNull()), vector))]
     return df.agg(
-        F.array(*[F.avg(e) for e in entry]).alias("means"), F.array(*[F.stddev_pop(e) for e in entry]).alias("deviations")
+        F.array(*[F.avg(e) for e in entry]).cast("array<double>").alias("means"),
+        F.array(*[F.stddev_pop(e) for e in entry]).cast("array<double>").alias("deviations"),
     )
 
 
 def standardize_vector(
-    df: DataFrame, vector: str, size: int, name: str = "standardized", fit_on: DataFrame | None = None
+    df: DataFrame, vector: str, name: str = "standardized", fit_on: DataFrame | None = None
 ) -> DataFrame:
-    """Entries minus mean, divided by the population deviation; a constant entry becomes 0.
+    """Entries minus mean, divided by the population deviation; an entry without deviation becomes 0, a null stays null.
 
-    Statistics come from ``fit_on`` (the training rows, usually) or from ``df`` itself.
+    Statistics come from ``fit_on`` (the training rows, usually) or from ``df`` itself. All vectors they are taken from
+    must have one length; a longer vector in ``df`` has no statistics for its tail and raises an error.
     """
-    stats = vector_statistics(fit_on if fit_on is not None else df, vector, size)
+    stats = vector_statistics(fit_on if fit_on is not None else df, vector)
     both = stats.select(F.struct("means", "deviations")).scalar()
-    scaled = F.transform(
-        vector,
-        lambda x, i: F.coalesce(
-            F.try_divide(x.cast("double") - F.get(F.col("_s.means"), i), F.get(F.col("_s.deviations"), i)), F.lit(0.0)
-        ),
-    )
-    return df.withColumn("_s", both).withColumn(name, scaled).drop("_s")
+
+    def scaled(x: Column, i: Column) -> Column:
+        mean, deviation = F.element_at(F.col("_s.means"), i + 1), F.element_at(F.col("_s.deviations"), i + 1)
+        gap = x.cast("double") - mean
+        return F.when(deviation == 0, gap * 0).otherwise(gap / F.nullif(deviation, F.lit(0.0)))
+
+    known = F.size(F.col("_s.means"))
+    checked = F.when(F.size(vector) > known, F.raise_error("vector longer than the fitted ones").cast("array<double>"))
+    return df.withColumn("_s", both).withColumn(name, checked.otherwise(F.transform(vector, scaled))).drop("_s")
 
 
 def hash_bucket(key: Column, seed: int, buckets: int = 100) -> Column:

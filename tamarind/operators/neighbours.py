@@ -1,177 +1,149 @@
-"""Exact k-nearest-neighbour classification.
+"""Exact k-nearest-neighbour classification against a bounded set of fitted rows.
 
-Training rows are grouped around pivots. The distance of a test row to a pivot and the radius of the pivot's group bound
-its distance to every member, so most groups can be ruled out without looking at their rows (triangle inequality). What
-remains is joined as pairs of blocks of bounded size; NumPy computes the distances of a pair of blocks and keeps only the
-k best per test row. No single rows are paired and no group is ever held whole.
+The labelled rows are the model: they are bounded by an argument, sent to every task as one matrix, and each test row is
+compared with all of them where it lies. There is no join and no shuffle, and the work is linear in the test rows.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarind.session import freeze
+#: Most labelled rows that are fitted (50 MB for 64 entries a row). More are reduced to those first by the hash of their id.
+MOST_FITTED = 100_000
+#: Numbers in a block of distances that a task computes at once.
+_BLOCK = 4_000_000
 
-#: Rows per block, and the most pivots ever used (the square root of the training rows up to that). Both are fixed, so
-#: what a task or the driver holds does not grow with the data.
-BLOCK_ROWS = 512
-MOST_PIVOTS = 512
 
+def fitted_rows(train: DataFrame, most: int = MOST_FITTED) -> dict[str, np.ndarray]:
+    """Ids, labels, folds and matrix of the labelled rows, ordered by id; ``most`` of them if there are more.
 
-def _kernels():
-    """Helpers of the tasks. Being local they travel with the task, so executors need not have this package installed."""
-
-    def matrix(rows) -> np.ndarray:
-        return np.array([np.asarray(r, dtype="float64") for r in rows])
-
-    def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-        """Minkowski distance of all rows of two small matrices, for p = 1 or 2."""
-        if p == 1:
-            return np.stack([np.abs(b - row).sum(axis=1) for row in a])
-        return np.stack([np.sqrt(np.square(b - row).sum(axis=1)) for row in a])
-
-    return matrix, distances
-
-
-def _with_home(train: DataFrame, pivots: np.ndarray, p: int) -> DataFrame:
-    """Training rows with their nearest pivot and the distance to it."""
-    matrix, distances = _kernels()
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                d = distances(matrix(batch["vec"]), pivots, p)
-                home = d.argmin(axis=1)
-                yield batch.assign(home=home.astype("int32"), gap=d[np.arange(len(d)), home])
-
-    return train.mapInPandas(place, "id long, label int, vec array<double>, home int, gap double")
+    Which ones is settled by the hash of the id, so the choice is the same in every run. Rows with a missing vector are
+    left out. ``fold`` may be absent.
+    """
+    fold = F.col("fold").cast("int") if "fold" in train.columns else F.lit(-1)
+    rows = train.filter(F.col("vec").isNotNull()).select(
+        "id", F.col("label").cast("int").alias("label"), F.col("vec").cast("array<double>").alias("vec"), fold.alias("fold")
+    )
+    picked = sorted(rows.orderBy(F.xxhash64("id"), "id").limit(most).collect(), key=lambda r: r.id)
+    return {
+        "id": np.array([r.id for r in picked], "int64"),
+        "label": np.array([r.label for r in picked], "int64"),
+        "fold": np.array([r.fold for r in picked], "int64"),
+        "vec": np.array([r.vec for r in picked], "float64").reshape(len(picked), -1),
+    }
 
 
-def _with_targets(test: DataFrame, pivots: np.ndarray, groups: pd.DataFrame, k: int, p: int) -> DataFrame:
-    """Test rows with every group that may hold one of their k nearest rows."""
-    matrix, distances = _kernels()
-    members = groups["n"].to_numpy()
-    radius = groups["radius"].to_numpy()
-    homes = groups["home"].to_numpy()
+def _nearest():
+    """The kernel of the tasks. Being local it travels with the task, so executors need not have this package installed."""
 
-    def aim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            d = distances(matrix(batch["vec"]), pivots[homes], p)
-            # k rows lie within `limit`: take groups by their farthest possible member until k members are reached.
-            farthest = d + radius
-            order = farthest.argsort(axis=1)
-            enough = members[order].cumsum(axis=1) >= k
-            stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(homes) - 1)
-            rows = np.arange(len(d))
-            limit = farthest[rows, order[rows, stop]]
-            # The margin covers rounding; it can only add groups.
-            hit = d - radius <= limit[:, None] * (1 + 1e-9) + 1e-12
-            yield batch.assign(home=[homes[h].astype("int32") for h in hit])
+    def nearest(vectors: np.ndarray, folds: np.ndarray | None, fitted: dict, k: int, p: int):
+        """Positions and distances of the k nearest fitted rows, equal distances by id; other folds only if folds are given."""
+        width = max(1, fitted["vec"].size)
+        step = max(1, _BLOCK // width)
+        for start in range(0, len(vectors), step):
+            gap = np.abs(vectors[start : start + step, None, :] - fitted["vec"][None, :, :])
+            d = gap.sum(axis=2) if p == 1 else np.sqrt(np.square(gap).sum(axis=2))
+            if folds is not None:
+                d[folds[start : start + step, None] == fitted["fold"][None, :]] = np.inf
+            # A stable sort of rows in id order leaves equal distances in id order.
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]
+            yield start, best, np.take_along_axis(d, best, axis=1)
 
-    return test.mapInPandas(aim, "id long, vec array<double>, home array<int>").withColumn("home", F.explode("home"))
+    return nearest
 
 
-def nearest_rows(train: DataFrame, test: DataFrame, k: int = 10, p: int = 2) -> DataFrame:
-    """The k nearest training rows of each test row: ``id, neighbour, label, distance, place``.
+def nearest_rows(train: DataFrame, test: DataFrame, k: int = 10, p: int = 2, most: int = MOST_FITTED) -> DataFrame:
+    """The k nearest fitted rows of each test row: ``id, neighbour, label, distance, place``.
 
     ``train``: id long, label int, vec array<double>; ``test``: id long, vec array<double>. Equal distances are ordered
-    by the id of the training row.
+    by the id of the fitted row. ``most`` bounds the labelled rows that are fitted.
     """
-    train = train.select("id", "label", F.col("vec").cast("array<double>").alias("vec"))
-    test = test.select("id", F.col("vec").cast("array<double>").alias("vec"))
-    # The pivots, spread by hash, are all that reaches the driver here; every row still takes part below.
-    wanted = min(MOST_PIVOTS, math.isqrt(train.count()) + 1)
-    spread = train.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
-    if not spread:
-        return test.select("id").limit(0).selectExpr(
-            "id", "id as neighbour", "0 as label", "0D as distance", "0 as place"
-        )
-    pivots = _kernels()[0](r.vec for r in spread)
-    homed = freeze(_with_home(train, pivots, p), "neighbours")
-    groups = (
-        homed.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).orderBy("home").toPandas()
-    )
-    aimed = _with_targets(test, pivots, groups, k, p)
-
-    blocks_of = F.create_map(*[F.lit(x) for r in groups.itertuples() for x in (int(r.home), -(-int(r.n) // BLOCK_ROWS))])
-    train_blocks = (
-        homed.withColumn("block", F.pmod(F.xxhash64("id"), blocks_of[F.col("home")]))
-        .groupBy("home", "block")
-        .agg(F.collect_list(F.struct("id", "label", "vec")).alias("m"))
-        .select("home", F.col("m.id").alias("m_id"), F.col("m.label").alias("m_label"), F.col("m.vec").alias("m_vec"))
-    )
-    chunks = max(1, -(-test.count() // BLOCK_ROWS))
-    test_blocks = (
-        aimed.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)))
-        .groupBy("home", "chunk")
-        .agg(F.collect_list(F.struct("id", "vec")).alias("a"))
-        .select("home", F.col("a.id").alias("a_id"), F.col("a.vec").alias("a_vec"))
-    )
-
-    matrix, distances = _kernels()
+    nearest, fitted = _nearest(), test.sparkSession.sparkContext.broadcast(fitted_rows(train, most))
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = fitted.value
         for batch in batches:
-            for a_id, a_vec, m_id, m_label, m_vec in batch.itertuples(index=False):
-                by_id = np.argsort(m_id)
-                ids, labels = np.asarray(m_id)[by_id], np.asarray(m_label)[by_id]
-                d = distances(matrix(a_vec), matrix(m_vec)[by_id], p)
-                # A stable sort of rows in id order leaves equal distances in id order.
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+            if not len(batch) or not len(known["id"]):
+                continue
+            ids, vectors = batch["id"].to_numpy(), np.stack(batch["vec"].to_list())
+            for start, best, distance in nearest(vectors, None, known, k, p):
+                n, m = best.shape
                 yield pd.DataFrame(
                     {
-                        "id": np.repeat(np.asarray(a_id), best.shape[1]),
-                        "neighbour": ids[best].ravel(),
-                        "label": labels[best].ravel(),
-                        "distance": np.take_along_axis(d, best, axis=1).ravel(),
+                        "id": np.repeat(ids[start : start + n], m),
+                        "neighbour": known["id"][best].ravel(),
+                        "label": known["label"][best].ravel().astype("int32"),
+                        "distance": distance.ravel(),
+                        "place": np.tile(np.arange(1, m + 1, dtype="int32"), n),
                     }
                 )
 
-    found = test_blocks.join(train_blocks, "home").drop("home").mapInPandas(
-        match, "id long, neighbour long, label int, distance double"
-    )
-    place = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
-    return found.withColumn("place", place).filter(F.col("place") <= k)
+    rows = test.filter(F.col("vec").isNotNull()).select("id", F.col("vec").cast("array<double>").alias("vec"))
+    return rows.mapInPandas(match, "id long, neighbour long, label int, distance double, place int")
+
 
+def _votes(rows: DataFrame, train: DataFrame, ks: Sequence[int], ps: Sequence[int], most: int, by_fold: bool) -> DataFrame:
+    """``id, label, fold, p, k, predicted`` of each row for all k and p in one pass over the rows."""
+    nearest, fitted = _nearest(), rows.sparkSession.sparkContext.broadcast(fitted_rows(train, most))
+    ks, ps = sorted(ks), tuple(ps)
 
-def vote(neighbours: DataFrame, ks: list[int]) -> DataFrame:
-    """Majority label among the first k neighbours, for every k at once; the smaller label wins a tie."""
-    wanted = F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("place"))
-    counted = (
-        neighbours.select("id", "label", F.explode(wanted).alias("k"))
-        .groupBy("id", "k", "label")
-        .agg(F.count(F.lit(1)).alias("votes"))
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = fitted.value
+        names, codes = np.unique(known["label"], return_inverse=True)
+        for batch in batches:
+            if not len(batch) or not len(names):
+                continue
+            vectors, folds = np.stack(batch["vec"].to_list()), batch["fold"].to_numpy()
+            for p in ps:
+                for start, best, distance in nearest(vectors, folds if by_fold else None, known, max(ks), p):
+                    one = np.eye(len(names), dtype="int32")[codes[best]] * np.isfinite(distance)[:, :, None]
+                    counts = one.cumsum(axis=1)  # votes among the first k, for every k
+                    part = batch.iloc[start : start + len(best)]
+                    for k in ks:
+                        # The first of equal maxima is the smaller label.
+                        chosen = names[counts[:, min(k, best.shape[1]) - 1].argmax(axis=1)]
+                        yield pd.DataFrame(
+                            {
+                                "id": part["id"], "label": part["label"], "fold": part["fold"], "p": np.int32(p),
+                                "k": np.int32(k), "predicted": chosen.astype("int32"),
+                            }
+                        )
+
+    fold = F.col("fold").cast("int") if by_fold else F.lit(-1)
+    label = F.col("label").cast("int") if "label" in rows.columns else F.lit(0)
+    asked = rows.filter(F.col("vec").isNotNull()).select(
+        "id", label.alias("label"), fold.alias("fold"), F.col("vec").cast("array<double>").alias("vec")
     )
-    return counted.groupBy("id", "k").agg(F.max_by("label", F.struct("votes", -F.col("label"))).alias("predicted"))
+    return asked.mapInPandas(vote, "id long, label int, fold int, p int, k int, predicted int")
 
 
-def cross_validate(rows: DataFrame, ks: list[int] | None = None, ps: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """Mean accuracy over the folds for each (p, k). ``rows``: id, label, vec and a fold number.
+def classify(
+    train: DataFrame,
+    test: DataFrame,
+    ks: Sequence[int] | None = None,
+    ps: Sequence[int] = (1, 2),
+    most: int = MOST_FITTED,
+) -> DataFrame:
+    """``id, k, predicted, p``: majority label of every test row for each (p, k); the smaller label wins a tie."""
+    return _votes(test, train, ks or range(1, 11), ps, most, by_fold=False).select("id", "k", "predicted", "p")
 
-    Per fold and p one neighbour search serves all k. The number of folds is that of the search, not of the data.
-    """
-    folds = sorted(r.fold for r in rows.select("fold").distinct().collect())
-    scores = []
-    for fold in folds:
-        held_out = rows.filter(F.col("fold") == fold)
-        predicted = classify(rows.filter(F.col("fold") != fold), held_out, ks, ps)
-        hit = (F.col("label") == F.col("predicted")).cast("double")
-        scores.append(predicted.join(held_out.select("id", "label"), "id").groupBy("p", "k").agg(F.avg(hit).alias("score")))
-    per_fold = reduce(DataFrame.unionByName, scores)
-    return per_fold.groupBy("p", "k").agg(F.avg("score").alias("cv_accuracy")).orderBy(F.desc("cv_accuracy"), "p", "k")
 
+def cross_validate(
+    rows: DataFrame, ks: Sequence[int] | None = None, ps: Sequence[int] = (1, 2), most: int = MOST_FITTED
+) -> DataFrame:
+    """Mean accuracy over the folds for each (p, k), best first. ``rows``: id, label, vec and a fold number.
 
-def classify(train: DataFrame, test: DataFrame, ks: list[int] | None = None, ps: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """Predicted label of every test row for each (p, k): one neighbour search per p serves all k."""
-    ks = ks or list(range(1, 11))
-    parts = [vote(nearest_rows(train, test, max(ks), p), ks).withColumn("p", F.lit(p)) for p in ps]
-    return reduce(DataFrame.unionByName, parts)
+    One pass: a row is compared with the fitted rows of all other folds, for all k and p at once.
+    """
+    hit = (F.col("label") == F.col("predicted")).cast("double")
+    per_fold = (
+        _votes(rows, rows, ks or range(1, 11), ps, most, by_fold=True)
+        .groupBy("p", "k", "fold")
+        .agg(F.avg(hit).alias("score"))
+    )
+    return per_fold.groupBy("p", "k").agg(F.avg("score").alias("cv_accuracy")).orderBy(F.desc("cv_accuracy"), "p", "k")

@@ -1,25 +1,28 @@
-"""Sentiment classes of comments: 0 negative, 1 positive, 2 neutral or not decidable."""
+"""Sentiment classes of comments: 0 negative, 1 positive, 2 neutral or not decidable.
+
+The default scorer is a naive Bayes model over words: counts per (word, class), one aggregation. A class is scored by a sum
+over the words of a text, so both training and scoring are joins and sums of linear cost, and texts of any length count.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions.text import clean_comment
 from tamarind.functions.vectors import argmax
+from tamarind.session import freeze
 
-# Order of the classes and the longest text, in tokens, that is scored.
+# Order of the classes.
 NEGATIVE, POSITIVE, NEUTRAL = 0, 1, 2
-MAX_TOKENS = 256
+CLASSES = (NEGATIVE, POSITIVE, NEUTRAL)
 
 
 class Scorer(Protocol):
@@ -28,46 +31,68 @@ class Scorer(Protocol):
     def __call__(self, texts: list[str]) -> np.ndarray: ...
 
 
+@dataclass
+class CommentModel:
+    """``words``: word and its log weight in each class (``w0 w1 w2``). ``priors``: log weight of each class."""
+
+    words: DataFrame
+    priors: tuple[float, float, float]
+
+
 def _words(text: str) -> Column:
     return F.split(clean_comment(F.col(text)), " ")
 
 
-def _scorable(tokens: Column, max_tokens: int) -> Column:
-    return tokens.isNotNull() & (F.size(tokens) <= max_tokens) & (F.get(tokens, F.lit(0)) != "")
+def train_comment_model(labelled: DataFrame, text: str = "text", label: str = "label", alpha: float = 1.0) -> CommentModel:
+    """Word weights ``ln((count + alpha) / (words of the class + alpha * vocabulary))`` from labelled comments.
+
+    Missing texts and labels are left out. Counts are frozen, so later steps do not clean the comments again.
+    """
+    rows = labelled.select(_words(text).alias("words"), F.col(label).alias("label")).na.drop()
+    sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect() if r.label in CLASSES}
+    counts = freeze(
+        rows.select("label", F.explode("words").alias("word"))
+        .filter("word <> ''")
+        .groupBy("word")
+        .agg(*[F.count(F.when(F.col("label") == c, 1)).alias(f"n{c}") for c in CLASSES]),
+        "comment-words",
+    )
+    *totals, vocabulary = counts.agg(*[F.coalesce(F.sum(f"n{c}"), F.lit(0)) for c in CLASSES], F.count(F.lit(1))).first()
+    weights = [
+        F.log((F.col(f"n{c}") + alpha) / (totals[c] + alpha * max(1, vocabulary))).alias(f"w{c}") for c in CLASSES
+    ]
+    every = sum(sizes.values())
+    priors = tuple(math.log((sizes.get(c, 0) + alpha) / (every + alpha * len(CLASSES))) for c in CLASSES)
+    return CommentModel(counts.select("word", *weights), priors)
+
 
+def class_weights(df: DataFrame, model: CommentModel, key: str, text: str = "text") -> DataFrame:
+    """``key, weights``: log weight of each class for every comment that holds a word the model knows.
 
-def train_comment_model(
-    labelled: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 16, max_iter: int = 20
-) -> PipelineModel:
-    """Bag-of-words classifier over the three classes, trained by Spark on labelled comments."""
-    pipeline = Pipeline(
-        stages=[
-            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-            IDF(inputCol="_counts", outputCol="_features"),
-            LogisticRegression(
-                featuresCol="_features", labelCol="_label", family="multinomial", maxIter=max_iter, regParam=0.01,
-                probabilityCol="_weights", rawPredictionCol="_raw", predictionCol="_predicted",
-            ),
-        ]
+    Words are counted inside a comment before they meet the model; a word that most comments hold is a join on a hot key,
+    which adaptive execution splits. Comments with one ``key`` count as one.
+    """
+    counted = (
+        df.select(F.col(key).alias("_key"), F.explode(_words(text)).alias("word"))
+        .groupBy("_key", "word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    summed = counted.join(model.words, "word").groupBy("_key").agg(
+        *[(F.sum(F.col("n") * F.col(f"w{c}")) + F.lit(model.priors[c])).alias(f"w{c}") for c in CLASSES]
     )
-    rows = labelled.select(_words(text).alias("_words"), F.col(label).cast("double").alias("_label")).na.drop()
-    # Every stage reads the words again, so they are cleaned once; what is lost with an executor is cleaned again.
-    rows.persist()
-    try:
-        return pipeline.fit(rows)
-    finally:
-        rows.unpersist()
+    return summed.select(F.col("_key").alias(key), F.array(*[f"w{c}" for c in CLASSES]).alias("weights"))
 
 
 def score_with_model(
-    df: DataFrame, model: PipelineModel, text: str = "text", name: str = "sentiment", max_tokens: int = MAX_TOKENS
+    df: DataFrame, model: CommentModel, key: str, text: str = "text", name: str = "sentiment"
 ) -> DataFrame:
-    """Class of each comment by a trained model. Missing, empty and over-long text is neutral and skips the model."""
-    all_words = F.col("_all_words")
-    guarded = F.when(_scorable(all_words, max_tokens), all_words).otherwise(F.array().cast("array<string>"))
-    scored = model.transform(df.withColumn("_all_words", _words(text)).withColumn("_words", guarded))
-    label = F.when(F.size("_words") > 0, argmax(vector_to_array("_weights"))).otherwise(F.lit(NEUTRAL))
-    return scored.withColumn(name, label).select(*df.columns, name)
+    """Class of each comment by a trained model; the lower class wins a tie. Comments without a known word are neutral."""
+    weights = class_weights(df, model, key, text).withColumnRenamed(key, "_scored")
+    # Sums of the same terms in another order differ in the last digits; rounding keeps ties ties.
+    rounded = F.transform("weights", lambda w: F.round(w, 6))
+    return df.join(weights, F.col(key) == F.col("_scored"), "left").withColumn(
+        name, F.coalesce(argmax(rounded), F.lit(NEUTRAL))
+    ).select(*df.columns, name)
 
 
 def score_with(
@@ -75,11 +100,12 @@ def score_with(
     load: Callable[[], Scorer],
     text: str = "text",
     name: str = "sentiment",
-    max_tokens: int = MAX_TOKENS,
+    max_tokens: int | None = None,
 ) -> DataFrame:
     """Class of each comment by any scorer. ``load`` runs once per task; texts arrive in Arrow batches.
 
-    The guards run as column expressions, so unscorable text never reaches the scorer.
+    The guards run as column expressions, so missing and empty text never reaches the scorer and is neutral. A scorer that
+    can't take long text says so by ``max_tokens``; longer texts are neutral then. By default there is no limit.
     """
 
     @F.pandas_udf("array<double>")
@@ -91,9 +117,24 @@ def score_with(
             yield pd.Series([[float(w) for w in next(weights)] if known else None for known in batch.notna()], dtype=object)
 
     clean = clean_comment(F.col(text))
-    guarded = F.when(_scorable(F.split(clean, " "), max_tokens), clean)
+    scorable = clean != ""
+    if max_tokens is not None:
+        scorable &= F.size(F.split(clean, " ")) <= max_tokens
     return (
-        df.withColumn("_weights", weigh(guarded))
+        df.withColumn("_weights", weigh(F.when(scorable, clean)))
         .withColumn(name, F.coalesce(argmax(F.col("_weights")), F.lit(NEUTRAL)))
         .drop("_weights")
     )
+
+
+def word_list_scorer(negative: set[str], positive: set[str]) -> Callable[[], Scorer]:
+    """A scorer that counts listed words; half a point for neutral, so one listed word decides."""
+
+    def load() -> Scorer:
+        def score(texts: list[str]) -> np.ndarray:
+            rows = [t.split(" ") for t in texts]
+            return np.array([[sum(w in negative for w in r), sum(w in positive for w in r), 0.5] for r in rows])
+
+        return score
+
+    return load

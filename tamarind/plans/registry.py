@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamarind.functions.text import clean_comment, object_id, standardize
+from tamarind.functions.text import clean_comment, first_capture, standardize
 from tamarind.functions.vectors import argmax, softmax
 from tamarind.operators import basket, features, missing, models, neighbours, places, rank, scoring, summary
 from tamarind.plans import customer_value, exploration, launches, loyalty, series, workforce
@@ -24,7 +24,6 @@ LEAVER, HIRE = "TERMINATED", "HIRED"
 FAMILIES = ("Specialist", "Head of Unit", "Collaborator", "Director")
 FAILURES = ("R F", "N F")
 LAUNCH_KEY = ["launch_id", "launch_seq", "part_key", "supp_key"]
-VECTOR_SIZE = 64
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -273,9 +272,9 @@ def hr_reason_share(t: Tables) -> DataFrame:
 # --- comments -----------------------------------------------------------------------------------------------------
 @query
 def text_extract_id(t: Tables) -> DataFrame:
-    key = F.concat(F.lit("{'$oid': '"), F.md5(F.col("doc_id").cast("string")), F.lit("'}"))
-    rows = t.raw("documents", "doc_id", "lang").withColumn("_id", F.when(F.col("lang") == "en", F.col("lang")).otherwise(key))
-    return rows.select("doc_id", object_id(F.col("_id")).alias("object_id"))
+    """The first e-mail address of a text; null without one."""
+    pattern = r"([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
+    return t.raw("documents", "doc_id", "text").select("doc_id", first_capture(F.col("text"), pattern).alias("object_id"))
 
 
 @query
@@ -298,16 +297,25 @@ def _labelled_comments(t: Tables) -> DataFrame:
 @query
 def sentiment_score(t: Tables) -> DataFrame:
     model = scoring.train_comment_model(_labelled_comments(t))
-    return scoring.score_with_model(t.raw("documents", "doc_id", "text"), model).select("doc_id", "sentiment")
+    return scoring.score_with_model(t.raw("documents", "doc_id", "text"), model, "doc_id").select("doc_id", "sentiment")
+
+
+@query
+def sentiment_word_list(t: Tables) -> DataFrame:
+    """Comments scored by a scorer that the user brings."""
+    scorer = scoring.word_list_scorer({"der", "die", "und", "of"}, {"the", "and", "la", "de"})
+    return scoring.score_with(t.raw("documents", "doc_id", "text"), scorer).select("doc_id", "sentiment")
 
 
 @query
 def sentiment_argmax(t: Tables) -> DataFrame:
-    logits = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
-    weights = t.raw("embeddings", "vec_id", "embedding").select("vec_id", softmax(logits).alias("w"))
+    """Weights of the comment model as shares, and the class with the largest one."""
+    model = scoring.train_comment_model(_labelled_comments(t))
+    logits = scoring.class_weights(t.raw("documents", "doc_id", "text"), model, "doc_id")
+    weights = logits.select("doc_id", softmax(F.transform("weights", lambda w: F.round(w, 6))).alias("w"))
     return weights.select(
-        "vec_id",
-        *[F.round(F.get("w", F.lit(i)), 6).alias(n) for i, n in enumerate(("negative", "positive", "neutral"))],
+        "doc_id",
+        *[F.round(F.get("w", F.lit(i)), 4).alias(n) for i, n in enumerate(("negative", "positive", "neutral"))],
         argmax(F.col("w")).alias("sentiment"),
     )
 
@@ -346,13 +354,13 @@ def launch_enrich_dims(t: Tables) -> DataFrame:
 
 @query
 def launch_renumber(t: Tables) -> DataFrame:
-    rows = t.launch().select("launch_date", *LAUNCH_KEY, "booster_version")
+    rows = t.launch("launch_date", *LAUNCH_KEY, "booster_version")
     return launches.renumber(rows, "Brand#1", ["launch_date", *LAUNCH_KEY])
 
 
 @query
 def launch_impute_mean(t: Tables) -> DataFrame:
-    return missing.impute_mean(t.launch().select(*LAUNCH_KEY, "payload_mass"), ["payload_mass"])
+    return missing.impute_mean(t.launch(*LAUNCH_KEY, "payload_mass"), ["payload_mass"])
 
 
 @query
@@ -362,18 +370,18 @@ def scraped_clean(t: Tables) -> DataFrame:
 
 @query
 def wr_value_counts(t: Tables) -> DataFrame:
-    return summary.value_counts_long(t.launch(), ["launch_site", "orbit", "outcome"])
+    return summary.value_counts_long(t.launch("launch_site", "orbit", "outcome"), ["launch_site", "orbit", "outcome"])
 
 
 @query
 def wr_outcome_label(t: Tables) -> DataFrame:
-    rows = t.launch().select(*LAUNCH_KEY, "outcome")
+    rows = t.launch(*LAUNCH_KEY, "outcome")
     return launches.label_outcomes(rows, FAILURES)
 
 
 @query
 def wr_success_rate(t: Tables) -> DataFrame:
-    return exploration.success_rate(launches.label_outcomes(t.launch().select("outcome"), FAILURES))
+    return exploration.success_rate(launches.label_outcomes(t.launch("outcome"), FAILURES))
 
 
 # --- profiles -----------------------------------------------------------------------------------------------------
@@ -403,7 +411,7 @@ def src_csv_roundtrip(t: Tables) -> DataFrame:
 # --- exploration --------------------------------------------------------------------------------------------------
 @query
 def eda_distinct_sites(t: Tables) -> DataFrame:
-    return exploration.distinct_sites(t.launch())
+    return exploration.distinct_sites(t.launch("launch_site"))
 
 
 @query
@@ -413,32 +421,32 @@ def eda_site_prefix(t: Tables) -> DataFrame:
 
 @query
 def eda_total_payload_customer(t: Tables) -> DataFrame:
-    return exploration.total_payload(t.launch(), F.col("launch_site") == "SITE_1")
+    return exploration.total_payload(t.launch("payload_mass", "customer"), F.col("customer") == "CUST_7")
 
 
 @query
 def eda_avg_payload_version(t: Tables) -> DataFrame:
-    return exploration.average_payload(t.launch(), "brand#12")
+    return exploration.average_payload(t.launch("payload_mass", "booster_version"), "brand#12")
 
 
 @query
 def eda_first_success_date(t: Tables) -> DataFrame:
-    return exploration.first_date(t.launch(), "a o")
+    return exploration.first_date(t.launch("launch_date", "outcome"), "a o")
 
 
 @query
 def eda_booster_payload_range(t: Tables) -> DataFrame:
-    return exploration.boosters_in_range(t.launch(), "A F", 20.0, 30.0)
+    return exploration.boosters_in_range(t.launch("booster_version", "outcome", "payload_mass"), "A F", 20.0, 30.0)
 
 
 @query
 def eda_outcome_counts(t: Tables) -> DataFrame:
-    return exploration.outcome_counts(exploration.with_date(t.launch()))
+    return exploration.outcome_counts(exploration.with_date(t.launch("launch_date", "outcome")))
 
 
 @query
 def eda_max_payload_boosters(t: Tables) -> DataFrame:
-    return exploration.heaviest(t.launch())
+    return exploration.heaviest(t.launch("booster_version", "payload_mass"))
 
 
 @query
@@ -448,7 +456,7 @@ def eda_failures_by_month(t: Tables) -> DataFrame:
 
 @query
 def eda_outcome_rank_period(t: Tables) -> DataFrame:
-    return exploration.outcome_rank(t.launch(), dt.date(1996, 6, 4), dt.date(1999, 3, 20))
+    return exploration.outcome_rank(t.launch("launch_date", "outcome"), dt.date(1996, 6, 4), dt.date(1999, 3, 20))
 
 
 @query
@@ -462,37 +470,42 @@ def eda_ctas_not_null(t: Tables) -> DataFrame:
 
 @query
 def viz_success_by_orbit(t: Tables) -> DataFrame:
-    return exploration.success_rate_by(t.launch(), "orbit", "orbit")
+    return exploration.success_rate_by(t.launch("orbit", "class"), "orbit", "orbit")
 
 
 @query
 def viz_success_by_year(t: Tables) -> DataFrame:
-    return exploration.success_rate_by(t.launch(), F.year("launch_date"), "launch_year")
+    return exploration.success_rate_by(t.launch("launch_date", "class"), F.year("launch_date"), "launch_year")
 
 
 @query
 def viz_scatter_bins(t: Tables) -> DataFrame:
-    return exploration.scatter_bins(t.launch(), "payload_mass", 5.0, "launch_site")
+    return exploration.scatter_bins(t.launch("payload_mass", "launch_site", "class"), "payload_mass", 5.0, "launch_site")
 
 
 @query
 def dash_payload_bounds(t: Tables) -> DataFrame:
-    return exploration.payload_bounds(t.launch())
+    return exploration.payload_bounds(t.launch("payload_mass"))
 
 
 @query
 def dash_success_by_site(t: Tables) -> DataFrame:
-    return exploration.success_pie(t.launch())
+    return exploration.success_pie(t.launch("launch_site", "class"))
 
 
 @query
 def dash_site_outcomes(t: Tables) -> DataFrame:
-    return exploration.success_pie(t.launch(), "SITE_2")
+    return exploration.success_pie(t.launch("launch_site", "class"), "SITE_2")
+
+
+@query
+def dash_payload_scatter_all(t: Tables) -> DataFrame:
+    return exploration.payload_scatter(t.launch("launch_site", "payload_mass", "class", "booster_version"), 10.0, 40.0)
 
 
 @query
 def dash_payload_scatter(t: Tables) -> DataFrame:
-    return exploration.payload_scatter(t.launch(), 10.0, 40.0, "SITE_2")
+    return exploration.payload_scatter(t.launch("launch_site", "payload_mass", "class", "booster_version"), 10.0, 40.0, "SITE_2")
 
 
 # --- maps ---------------------------------------------------------------------------------------------------------
@@ -531,6 +544,11 @@ def html_table_rows(t: Tables) -> DataFrame:
 
 @query
 def revenue_clean(t: Tables) -> DataFrame:
+    return series.clean_revenue(t.revenue_text())
+
+
+@query
+def revenue_last_rows(t: Tables) -> DataFrame:
     return series.last_rows(series.clean_revenue(t.revenue_text()), ["d", "row_id"], 5)
 
 
@@ -543,13 +561,13 @@ def series_price_revenue(t: Tables) -> DataFrame:
 # --- features and models ------------------------------------------------------------------------------------------
 @query
 def features_one_hot(t: Tables) -> DataFrame:
-    rows = t.launch().select(*LAUNCH_KEY, "payload_mass", "class", "orbit", "launch_site")
+    rows = t.launch(*LAUNCH_KEY, "payload_mass", "class", "orbit", "launch_site")
     return features.as_doubles(features.one_hot(rows, ["orbit", "launch_site"]), "payload_mass", "class")
 
 
 @query
 def features_standardize(t: Tables) -> DataFrame:
-    scaled = features.standardize_vector(t.raw("embeddings"), "embedding", VECTOR_SIZE)
+    scaled = features.standardize_vector(t.raw("embeddings"), "embedding")
     return scaled.select("vec_id", F.posexplode("standardized").alias("entry", "z")).withColumn("z", F.round("z", 6))
 
 
@@ -572,7 +590,7 @@ def ml_knn_classify(t: Tables) -> DataFrame:
 @query
 def ml_cv_knn(t: Tables) -> DataFrame:
     train, _ = features.train_test_split(_vectors(t), "id")
-    scores = neighbours.cross_validate(train.withColumn("fold", features.hash_bucket(F.col("id"), 3, 3)))
+    scores = neighbours.cross_validate(train.withColumn("fold", features.hash_bucket(F.col("id"), 3, models.FOLDS)))
     return scores.withColumn("cv_accuracy", F.round("cv_accuracy", 9))
 
 
@@ -589,7 +607,7 @@ def _binary_rows(t: Tables, folds: int) -> tuple[DataFrame, DataFrame]:
     train, test = features.train_test_split(rows, "id")
     return tuple(
         models.as_training_rows(
-            features.standardize_vector(part, "vec", VECTOR_SIZE, "vec", fit_on=train), "id", "vec", "label", folds
+            features.standardize_vector(part, "vec", "vec", fit_on=train), "id", "vec", "label", folds
         )
         for part in (train, test)
     )

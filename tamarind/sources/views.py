@@ -161,28 +161,39 @@ class Tables:
         )
 
     # --- launches -------------------------------------------------------------------------------------------------
-    def launch(self) -> DataFrame:
-        lines = self.raw("lineitem")
-        parts = self.raw("part", "p_partkey", "p_type", "p_brand")
-        suppliers = self.raw("supplier", "s_suppkey", "s_nationkey")
+    def launch(self, *columns: str) -> DataFrame:
+        """Launch records. With ``columns``, only these, and only the dimensions they need are joined.
+
+        Orbit and version come from the part, the site from the supplier, the customer from the order; without any of
+        them the fact table is read on its own. Records whose dimension is missing stay, so all widths have the same rows.
+        """
         flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-        return (
-            lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .select(
-                F.col("l_orderkey").alias("launch_id"),
-                F.col("l_linenumber").alias("launch_seq"),
-                F.col("l_partkey").alias("part_key"),
-                F.col("l_suppkey").alias("supp_key"),
-                F.col("l_shipdate").cast("date").alias("launch_date"),
-                F.when(F.col("l_partkey") % 20 != 0, F.col("l_quantity")).alias("payload_mass"),
-                F.col("p_type").alias("orbit"),
-                F.col("p_brand").alias("booster_version"),
-                F.concat(F.lit("SITE_"), (F.col("s_nationkey") % 4).cast("string")).alias("launch_site"),
-                F.concat_ws(" ", flag, status).alias("outcome"),
-                F.when(F.concat(flag, status).isin("RF", "NF"), 0).otherwise(1).alias("class"),
-            )
-        )
+        known = {
+            "launch_id": F.col("l_orderkey"),
+            "launch_seq": F.col("l_linenumber"),
+            "part_key": F.col("l_partkey"),
+            "supp_key": F.col("l_suppkey"),
+            "launch_date": F.col("l_shipdate").cast("date"),
+            "payload_mass": F.when(F.col("l_partkey") % 20 != 0, F.col("l_quantity")),
+            "orbit": F.col("p_type"),
+            "booster_version": F.col("p_brand"),
+            "launch_site": F.concat(F.lit("SITE_"), (F.col("s_nationkey") % 4).cast("string")),
+            "outcome": F.concat_ws(" ", flag, status),
+            "class": F.when(F.concat(flag, status).isin("RF", "NF"), 0).otherwise(1),
+            "customer": F.concat(F.lit("CUST_"), (F.col("o_custkey") % 50).cast("string")),
+        }
+        wanted = columns or [c for c in known if c != "customer"]
+        rows = self.raw("lineitem")
+        if {"orbit", "booster_version"} & set(wanted):
+            parts = self.raw("part", "p_partkey", "p_type", "p_brand")
+            rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        if "launch_site" in wanted:
+            suppliers = self.raw("supplier", "s_suppkey", "s_nationkey")
+            rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        if "customer" in wanted:
+            orders = self.raw("orders", "o_orderkey", "o_custkey")
+            rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        return rows.select(*[known[c].alias(c) for c in wanted])
 
     def launch_ids(self) -> DataFrame:
         """Launch records that hold only ids; every fifth core id is missing and some pads do not exist."""
@@ -278,8 +289,8 @@ class Tables:
 
     def launch_points(self) -> DataFrame:
         """Launch records with the coordinates of their site."""
-        sites = self.site_geo()
-        return self.launch().join(sites, F.col("supp_key") == F.col("site_id")).select(
+        records = self.launch("launch_id", "launch_seq", "part_key", "supp_key", "class")
+        return records.join(self.site_geo(), F.col("supp_key") == F.col("site_id")).select(
             "launch_id", "launch_seq", "part_key", "supp_key", "site_name", "lat", "lon", "class"
         )
 

@@ -301,9 +301,11 @@ def test_trained_scorer_and_guards(spark):
         [("very good film", 1), ("good good", 1), ("bad film", 0), ("bad bad", 0), ("film at nine", 2), ("nine", 2)] * 3,
         "text string, label int",
     )
-    model = scoring.train_comment_model(train, features=64)
-    got = dict(rows(scoring.score_with_model(spark.createDataFrame(COMMENTS, "id int, text string"), model, max_tokens=4).select("id", "sentiment")))
-    assert got[1] == 1 and got[2] == 0 and [got[i] for i in (4, 5, 6, 7)] == [2, 2, 2, 2]
+    model = scoring.train_comment_model(train)
+    got = dict(rows(scoring.score_with_model(spark.createDataFrame(COMMENTS, "id int, text string"), model, "id").select("id", "sentiment")))
+    assert got[1] == 1 and got[2] == 0 and [got[i] for i in (4, 5, 6, 7)] == [2, 1, 2, 2]
+    long = spark.createDataFrame([(1, "so " * 2000 + "bad")], "id int, text string")
+    assert scoring.score_with_model(long, model, "id").first().sentiment == 0
 
 
 # --- money, mass, missing data ------------------------------------------------------------------------------------
@@ -384,16 +386,23 @@ def test_one_hot(spark):
     hot = features.one_hot(df, ["c"])
     assert hot.columns == ["id", "flag", "c_a", "c_b"]
     assert rows(features.as_doubles(hot), "id") == [(1.0, 1.0, 0.0, 1.0), (2.0, 0.0, 0.0, 0.0), (3.0, None, 1.0, 0.0)]
-    with pytest.raises(ValueError):
-        features.one_hot(df, ["c"], most=1)
+    many = features.one_hot(spark.range(1500).withColumn("v", F.col("id").cast("string")), ["v"])
+    assert len(many.columns) == 1501
     assert rows(features.one_hot_indexed(df, "c").select("id", "c_index"), "id") == [(1, 1), (2, None), (3, 0)]
 
 
 def test_scaler(spark):
     df = spark.createDataFrame([([5.0, 1.0],), ([5.0, 3.0],)], "v array<double>")
-    assert sorted(r.s for r in features.standardize_vector(df, "v", 2, "s").select("s").collect()) == [[0.0, -1.0], [0.0, 1.0]]
+    assert sorted(r.s for r in features.standardize_vector(df, "v", "s").select("s").collect()) == [[0.0, -1.0], [0.0, 1.0]]
     other = spark.createDataFrame([([0.0, 0.0],), ([2.0, 4.0],)], "v array<double>")
-    assert [r.s for r in features.standardize_vector(df.limit(1), "v", 2, "s", fit_on=other).select("s").collect()] == [[4.0, -0.5]]
+    assert [r.s for r in features.standardize_vector(df.limit(1), "v", "s", fit_on=other).select("s").collect()] == [[4.0, -0.5]]
+    holes = spark.createDataFrame([([1.0, 2.0, 5.0],), ([3.0, None, 9.0],), (None,)], "v array<double>")
+    scaled = sorted(str(r.s) for r in features.standardize_vector(holes, "v", "s").select("s").collect())
+    assert scaled == ["None", "[-1.0, 0.0, -1.0]", "[1.0, None, 1.0]"]
+    with pytest.raises(ValueError):
+        features.standardize_vector(df.union(holes), "v")
+    with pytest.raises(Exception, match="longer"):
+        features.standardize_vector(holes, "v", fit_on=df).collect()
 
 
 def test_split_depends_on_the_key_only(spark):
