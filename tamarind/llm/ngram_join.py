@@ -4,8 +4,8 @@
    shingles, chosen by hash and therefore alike in all documents, shows most documents to have more: they have no partner.
    The bound is exact; nothing is estimated. Shingles known to be common count as held by others without being looked up.
 2. Documents left with the same set form a class; one stands for it. Shingles are counted over the classes, and each class
-   takes its rarest ``n - ceil(0.8 n) + 1``. Two similar sets share one of these, so classes that do form a cluster and no
-   link crosses two. Common passages rank last and bring nobody together.
+   takes its rarest ``n - ceil(0.8 n) + 1``, those known to be common last. Two similar sets share one of these, so classes
+   that do form a cluster and no link crosses two. Common passages rank last and bring nobody together.
 3. Each cluster is searched by a signature tree. A cluster too large for a task is cut into blocks that also hold the same
    few seeds; what this leaves outside the largest group of its cluster meets all blocks again, in pairs of blocks.
 4. Links are closed to components, and members follow their class.
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.llm.components import components
@@ -63,9 +63,14 @@ def shingle_levels(rows: DataFrame) -> np.ndarray:
     return np.floor(np.log2(1 + over)).astype(np.uint8)
 
 
-def prefix_length(n: Column) -> Column:
-    """Shingles of a set of n of which a similar set holds at least one: n - ceil(4 n / 5) + 1."""
-    return n - F.call_function("div", n * 4 + 4, F.lit(5)) + 1
+def prefix_length(n: int) -> int:
+    """Shingles of a set of n of which a similar set holds at least one, in any common order."""
+    return n - (4 * n + 4) // 5 + 1
+
+
+def _short(shingles: np.ndarray) -> np.ndarray:
+    """The upper 40 bits. Shuffled rows carry these; two shingles that agree in them only bring more candidates."""
+    return (shingles >> np.uint64(24)).view(np.int64)
 
 
 def _samples(levels):
@@ -94,8 +99,8 @@ def _samples(levels):
                 first.append(d[0])
                 second.append(d[1])
                 needs.append(len(kept) - n // 5)
-                parts[0].append(kept.view(np.int64))
-                parts[1].append(s[mine:sent][cold[mine:]].view(np.int64))
+                parts[0].append(_short(kept))
+                parts[1].append(_short(s[mine:sent][cold[mine:]]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
@@ -112,11 +117,32 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    powers = Powers()
-    for batch in batches:
-        sets = [shingle_set(t, WORDS, powers).view(np.int64) for t in _texts(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets)], ["doc_id", "shingles"])
+def _prefixes(levels):
+    """``doc_id, quota, cold, hot`` of each text, for prefixes in the order: cold before hot, rare before frequent.
+
+    ``cold`` are all shingles not known to be common. ``hot`` are those common ones that stand in the prefix whatever the
+    frequencies of the others, by level. Of the cold ones that others hold too, ``quota`` plus their number stand in it,
+    because those that nobody else holds come first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, level = Powers(), levels.value
+        for batch in batches:
+            quotas, cold, hot = [], [], []
+            for text in _texts(batch):
+                s = shingle_set(text, WORDS, powers)
+                at = level[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                rare, common = s[at == 0], s[at > 0]
+                left = prefix_length(len(s)) - len(rare)
+                quotas.append(left)
+                cold.append(_short(rare))
+                hot.append(_short(common[np.argsort(at[at > 0], kind="stable")[: max(0, left)]]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(quotas, pa.int32()), _lists(cold), _lists(hot)],
+                ["doc_id", "quota", "cold", "hot"],
+            )
+
+    return run
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +231,7 @@ def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         "classes",
     )
     texts = _class_texts(rows, classes)
-    clusters = _clusters(texts)
+    clusters = _clusters(texts, levels)
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
     sized = clusters.join(sizes, "cluster").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     placed = sized.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn(
@@ -241,19 +267,22 @@ def _class_texts(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return freeze(possible.join(ids, "doc_id", "left_semi").distinct(), "texts")
 
 
-def _clusters(texts: DataFrame) -> DataFrame:
-    """``doc_id, cluster`` of the classes that share one of their rarest shingles with another class, frozen."""
-    held = texts.mapInArrow(_shingles, "doc_id bigint, shingles array<bigint>").select(
-        "doc_id", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("t")
+def _clusters(texts: DataFrame, levels) -> DataFrame:
+    """``doc_id, cluster`` of the classes that share a shingle of their prefixes with another class, frozen."""
+    prefixes = freeze(
+        texts.mapInArrow(_prefixes(levels), "doc_id bigint, quota int, cold array<bigint>, hot array<bigint>"), "prefixes"
     )
-    shared = held.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    own = Window.partitionBy("doc_id", "n")  # texts that share an id only take a few more
-    ranked = held.join(shared, "t").withColumns(
+    # Common shingles are not among these, so that no key is large.
+    cold = prefixes.select("doc_id", "quota", F.explode("cold").alias("t"))
+    shared = cold.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("t"))).filter("df > 1")
+    own = Window.partitionBy("doc_id", "quota")  # texts that share an id only take a few more
+    ranked = shared.withColumns(
         {"held": F.count(F.lit(1)).over(own), "rank": F.row_number().over(own.orderBy("df", "t"))}
     )
-    # The n - held shingles that nobody else holds are the rarest of all and fill the prefix first.
     heads = freeze(
-        ranked.filter(F.col("rank") <= prefix_length(F.col("n")) - (F.col("n") - F.col("held"))).select("doc_id", "t"),
+        ranked.filter(F.col("rank") <= F.col("quota") + F.col("held"))
+        .select("doc_id", "t")
+        .unionByName(prefixes.select("doc_id", F.explode("hot").alias("t"))),
         "heads",
     )
     hubs = heads.groupBy("t").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
