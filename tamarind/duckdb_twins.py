@@ -5,6 +5,9 @@ Results use plain types only: integers, doubles, text (dates as ISO text) and bo
 
 from __future__ import annotations
 
+from tamarind.functions.text import ABBREVIATIONS
+from tamarind.sources.html import ENTITIES
+
 VIEWS = {
     "customer_transaction": """
         select o_custkey as customer_id, cast(o_orderdate as date) as purchase_date,
@@ -190,10 +193,7 @@ _PLAIN = (
 
 
 def _abbreviations(text: str) -> str:
-    for pattern, replacement in (
-        ("ko", "không "), ("k ", "không "), ("ad", "admin "), ("[dđ]c", "được "), ("thúi", "thối "),
-        ("chuong trinh", "chương trình "), ("qua", "quá "), ("vn", "việt nam"), ("roi", "rồi"),
-    ):
+    for pattern, replacement in ABBREVIATIONS:
         text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
     return text
 
@@ -207,7 +207,7 @@ _PROFILE = """
     select '{c}' as column_name, '{t}' as data_type, count(*) as row_count,
            count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as n_distinct,
            count(*) - count({c}) as null_count,
-           case when count(distinct {c}) + max(case when {c} is null then 1 else 0 end) < 50
+           case when count(distinct {c}) + max(case when {c} is null then 1 else 0 end) < {most}
                 then string_agg(distinct cast({c} as varchar), '|' order by cast({c} as varchar)) end as value_list
     from employee_statement"""
 _STATEMENT_COLUMNS = (
@@ -226,7 +226,8 @@ _LINKS = "regexp_extract_all(regexp_extract(html, '(?is)<ul(?:\\s[^>]*)?>(.*?)</
 
 def _text_of(html: str) -> str:
     text = f"regexp_replace({html}, '(?s)<[^>]*>', '', 'g')"
-    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    for entity, sign in ENTITIES:
+        sign = sign.replace("'", "''")
         text = f"replace({text}, '{entity}', '{sign}')"
     return f"regexp_replace({text}, '^[\\s\\v\\p{{Z}}]+|[\\s\\v\\p{{Z}}]+$', '', 'g')"
 
@@ -255,7 +256,17 @@ VIEWS |= {
                round(sum(w2) + any_value(p2), 6) as w2
         from comment_words join comment_weights using (word), comment_priors group by doc_id""",
 }
+VIEWS["fold_scores"] = """
+    select p, k, round(avg(score), 9) as cv_accuracy
+    from (select p, k, fold, avg(case when label = vote then 1.0::double else 0 end) as score
+          from (select * from (select id, fold, any_value(label) as label, p, cast(k as int) as k, vote, count(*) as n
+                               from fold_places cross join range(1, 11) t(k) where place <= k
+                               group by id, fold, p, k, vote)
+                qualify row_number() over (partition by id, p, k order by n desc, vote) = 1)
+          group by p, k, fold)
+    group by p, k"""
 _DEPENDS |= {
+    "fold_scores": ["fold_places"],
     "comment_counts": ["comment_words", "comment_labels"],
     "comment_weights": ["comment_counts"],
     "comment_priors": ["comment_labels"],
@@ -553,7 +564,21 @@ ORACLE_SQL: dict[str, str] = {
         "employee_statement",
     ),
     "profile_columns": _with(
-        " union all ".join(_PROFILE.format(c=c, t=t) for c, t in _STATEMENT_COLUMNS), "employee_statement"
+        " union all ".join(_PROFILE.format(c=c, t=t, most=50) for c, t in _STATEMENT_COLUMNS), "employee_statement"
+    ),
+    "profile_columns_wide": _with(
+        " union all ".join(_PROFILE.format(c=c, t=t, most=150) for c, t in _STATEMENT_COLUMNS if t == "string"),
+        "employee_statement",
+    ),
+    "values_numbered": _with(
+        """select outcome, count(*) as total, row_number() over (order by count(*) desc, outcome) - 1 as position
+           from launch group by outcome""",
+        "launch",
+    ),
+    "sql_outcomes_by_site": _with(
+        """select launch_site, outcome, count(*) as launches, sum(payload_mass) as payload_kg from launch
+           where payload_mass is not null group by 1, 2""",
+        "launch",
     ),
     "drop_all_null_columns": _with(_MESSY, "employee_statement"),
     "src_csv_roundtrip": """
@@ -693,18 +718,18 @@ ORACLE_SQL: dict[str, str] = {
         "select vec_id, label, case when is_test then 'test' else 'train' end as part from split", "split"
     ),
     "ml_knn_classify": _with("select id, p, k, label, predicted from predictions", "predictions"),
-    "ml_cv_knn": _with(
-        """select p, k, round(avg(score), 9) as cv_accuracy
-           from (select p, k, fold, avg(case when label = vote then 1.0::double else 0 end) as score
-                 from (select * from (select id, fold, any_value(label) as label, p, cast(k as int) as k, vote, count(*) as n
-                                      from fold_places cross join range(1, 11) t(k) where place <= k
-                                      group by id, fold, p, k, vote)
-                       qualify row_number() over (partition by id, p, k order by n desc, vote) = 1)
-                 group by p, k, fold)
-           group by p, k""",
-        "fold_places",
-    ),
+    "ml_cv_knn": _with("select p, k, cv_accuracy from fold_scores", "fold_scores"),
     "ml_confusion": _with(
-        "select label, predicted, count(*) as n from predictions where p = 2 and k = 5 group by 1, 2", "predictions"
+        """select label, predicted, count(*) as n from predictions
+           where (p, k) in (select (p, k) from fold_scores order by cv_accuracy desc, p, k limit 1) group by 1, 2""",
+        "predictions",
+        "fold_scores",
+    ),
+    "ml_best_neighbours": _with(
+        """select p * 100 + k as position, 'p=' || p || ' k=' || k as model, score
+           from (select p, k, round(avg(case when label = predicted then 1.0::double else 0 end), 9) as score
+                 from predictions group by p, k)
+           order by score desc, position limit 1""",
+        "predictions",
     ),
 }

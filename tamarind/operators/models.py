@@ -49,24 +49,34 @@ def _search(rows: DataFrame, estimator: Estimator, grid: list, folds: int, paral
         rows.unpersist()
 
 
-def tune_logistic(
-    rows: DataFrame, cs: Sequence[float] = LOGISTIC_C, folds: int = FOLDS, parallelism: int = 4
+def _tune_penalty(
+    rows: DataFrame, model: Estimator, cs: Sequence[float], folds: int, parallelism: int
 ) -> CrossValidatorModel:
-    """Ridge-penalised logistic regression. A weight C on the loss sum is a penalty 1/(C n) on the loss mean."""
+    """Search over C. A weight C on the loss sum of n rows is a penalty 1 / (C n) on the loss mean.
+
+    Inside the folds a model sees (folds - 1) / folds of the rows, so the penalty there is that of so many rows; the best C
+    is then fitted once more on all rows with theirs.
+    """
     n = rows.count()
-    model = LogisticRegression(elasticNetParam=0.0, standardization=False)
-    grid = ParamGridBuilder().addGrid(model.regParam, [1.0 / (c * n) for c in cs]).build()
-    return _search(rows, model, grid, folds, parallelism)
+    grid = ParamGridBuilder().addGrid(model.regParam, [folds / (c * n * (folds - 1)) for c in cs]).build()
+    fitted = _search(rows, model, grid, folds, parallelism)
+    best = max(range(len(cs)), key=lambda i: (fitted.avgMetrics[i], -i))
+    fitted.bestModel = model.fit(rows, {model.regParam: 1.0 / (cs[best] * n)})
+    return fitted
+
+
+def tune_logistic(
+    rows: DataFrame, cs: Sequence[float] = LOGISTIC_C, folds: int = FOLDS, parallelism: int = 8
+) -> CrossValidatorModel:
+    """Ridge-penalised logistic regression over C."""
+    return _tune_penalty(rows, LogisticRegression(elasticNetParam=0.0, standardization=False), cs, folds, parallelism)
 
 
 def tune_linear_svm(
-    rows: DataFrame, cs: Sequence[float] = SVM_C, folds: int = FOLDS, parallelism: int = 4, max_iter: int = 100
+    rows: DataFrame, cs: Sequence[float] = SVM_C, folds: int = FOLDS, parallelism: int = 8, max_iter: int = 100
 ) -> CrossValidatorModel:
     """Linear support-vector machine over C."""
-    n = rows.count()
-    model = LinearSVC(standardization=False, maxIter=max_iter)
-    grid = ParamGridBuilder().addGrid(model.regParam, [1.0 / (c * n) for c in cs]).build()
-    return _search(rows, model, grid, folds, parallelism)
+    return _tune_penalty(rows, LinearSVC(standardization=False, maxIter=max_iter), cs, folds, parallelism)
 
 
 def tune_tree(
@@ -75,7 +85,7 @@ def tune_tree(
     depths: Sequence[int] = TREE_DEPTH,
     leaves: Sequence[int] = TREE_LEAF,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 8,
     random_features: bool = False,
 ) -> CrossValidatorModel:
     """Decision tree over impurity, depth and leaf size; optionally with a random subset of features per split."""
@@ -124,6 +134,11 @@ def confusion_matrix(predictions: DataFrame, labels: Sequence, label: str = "lab
     return predictions.groupBy(label).pivot(prediction, list(labels)).count().na.fill(0).orderBy(label)
 
 
+def best_of(board: DataFrame) -> DataFrame:
+    """The first row of a leaderboard; the earlier position wins a tie."""
+    return leaderboard(board).limit(1)
+
+
 def leaderboard(scores: DataFrame) -> DataFrame:
     """Rows ``position, model, score`` with the best score first; the earlier position wins a tie."""
     return scores.orderBy(F.desc("score"), "position")

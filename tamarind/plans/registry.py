@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -395,6 +397,18 @@ def profile_columns(t: Tables) -> DataFrame:
     return summary.column_profile(t.employee_statement())
 
 
+@query
+def profile_columns_wide(t: Tables) -> DataFrame:
+    """The profile with value lists of up to 149 values, over the text columns."""
+    rows = t.employee_statement()
+    return summary.column_profile(rows.select(*summary.columns_of_type(rows, text=True)), list_below=150)
+
+
+@query
+def values_numbered(t: Tables) -> DataFrame:
+    return summary.numbered_values(t.launch("outcome"), "outcome")
+
+
 @query
 def drop_all_null_columns(t: Tables) -> DataFrame:
     return missing.drop_empty_columns(t.employee_statement_text())
@@ -461,11 +475,20 @@ def eda_outcome_rank_period(t: Tables) -> DataFrame:
 
 @query
 def eda_ctas_not_null(t: Tables) -> DataFrame:
-    """A stored copy without rows that miss the first working day."""
-    source = t.employee_statement().filter(F.col("employee_work_date").isNotNull())
-    path = scratch_path(t.spark, "not-null")
-    source.write.parquet(path)
-    return t.spark.read.schema(source.schema).parquet(path)
+    """A stored table without rows that miss the first working day."""
+    name = f"not_null_{uuid.uuid4().hex}"
+    t.employee_statement().filter(F.col("employee_work_date").isNotNull()).write.saveAsTable(name)
+    return t.spark.table(name)
+
+
+@query
+def sql_outcomes_by_site(t: Tables) -> DataFrame:
+    """A report in SQL over the published views."""
+    t.publish()
+    return t.spark.sql(
+        "select launch_site, outcome, count(*) as launches, sum(payload_mass) as payload_kg from launch "
+        "where payload_mass is not null group by launch_site, outcome"
+    )
 
 
 @query
@@ -594,66 +617,79 @@ def ml_cv_knn(t: Tables) -> DataFrame:
     return scores.withColumn("cv_accuracy", F.round("cv_accuracy", 9))
 
 
+def _best_neighbours(train: DataFrame) -> tuple[int, int]:
+    """The tuned (p, k): best accuracy over the folds, then smaller p, then smaller k."""
+    scores = neighbours.cross_validate(train.withColumn("fold", features.hash_bucket(F.col("id"), 3, models.FOLDS)))
+    best = scores.select("p", "k", F.round("cv_accuracy", 9).alias("a")).orderBy(F.desc("a"), "p", "k").first()
+    return best.p, best.k
+
+
+def _tuned_neighbours(train: DataFrame, test: DataFrame) -> DataFrame:
+    p, k = _best_neighbours(train)
+    return neighbours.classify(train, test, ks=[k], ps=(p,)).join(test.select("id", "label"), "id")
+
+
 @query
 def ml_confusion(t: Tables) -> DataFrame:
-    train, test = features.train_test_split(_vectors(t), "id")
-    predicted = neighbours.classify(train, test, ks=[5], ps=(2,)).join(test.select("id", "label"), "id")
-    return models.confusion(predicted)
+    """Confusion counts of the tuned neighbour model on the test rows."""
+    return models.confusion(_tuned_neighbours(*features.train_test_split(_vectors(t), "id")))
+
 
+def _binary_vectors(t: Tables) -> DataFrame:
+    return _vectors(t).withColumn("label", (F.col("label") >= 5).cast("int"))
 
-def _binary_rows(t: Tables, folds: int) -> tuple[DataFrame, DataFrame]:
+
+def _binary_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Training and test rows with standardised features; statistics come from the training rows."""
-    rows = _vectors(t).withColumn("label", (F.col("label") >= 5).cast("int"))
-    train, test = features.train_test_split(rows, "id")
+    train, test = features.train_test_split(_binary_vectors(t), "id")
     return tuple(
-        models.as_training_rows(
-            features.standardize_vector(part, "vec", "vec", fit_on=train), "id", "vec", "label", folds
-        )
+        models.as_training_rows(features.standardize_vector(part, "vec", "vec", fit_on=train), "id", "vec", "label")
         for part in (train, test)
     )
 
 
 @query
 def ml_cv_logistic(t: Tables) -> DataFrame:
-    train, _ = _binary_rows(t, folds=3)
-    return models.grid_report(t.spark, models.tune_logistic(train, folds=3))
+    return models.grid_report(t.spark, models.tune_logistic(_binary_rows(t)[0]))
 
 
 @query
 def ml_cv_linear_svm(t: Tables) -> DataFrame:
-    train, _ = _binary_rows(t, folds=3)
-    return models.grid_report(t.spark, models.tune_linear_svm(train, cs=(0.001, 1.0), folds=3, max_iter=30))
+    return models.grid_report(t.spark, models.tune_linear_svm(_binary_rows(t)[0]))
 
 
 @query
 def ml_cv_tree(t: Tables) -> DataFrame:
-    train, _ = _binary_rows(t, folds=3)
-    return models.grid_report(t.spark, models.tune_tree(train, depths=(2, 6), leaves=(1,), folds=3))
+    return models.grid_report(t.spark, models.tune_tree(_binary_rows(t)[0]))
 
 
 @query
 def ml_leaderboard(t: Tables) -> DataFrame:
-    train, test = _binary_rows(t, folds=3)
-    fitted = [
-        ("Logistic Regression", models.tune_logistic(train, cs=(0.1,), folds=3)),
-        ("Support Vector Machine", models.tune_linear_svm(train, cs=(0.001,), folds=3, max_iter=30)),
-        ("Decision Tree", models.tune_tree(train, impurities=("gini",), depths=(4,), leaves=(1,), folds=3)),
+    """Accuracy of the four tuned models on the test rows, best first."""
+    train, test = _binary_rows(t)
+    tuned = [
+        ("Logistic Regression", models.tune_logistic(train)),
+        ("Support Vector Machine", models.tune_linear_svm(train)),
+        ("Decision Tree", models.tune_tree(train)),
     ]
-    scores = [
-        models.accuracy(models.predict(model.bestModel, test)).select(
-            F.lit(i).alias("position"), F.lit(name).alias("model"), "score"
-        )
-        for i, (name, model) in enumerate(fitted)
+    scored = [(name, models.accuracy(models.predict(model.bestModel, test))) for name, model in tuned]
+    near = _tuned_neighbours(*features.train_test_split(_binary_vectors(t), "id"))
+    scored.append(("K-Nearest Neighbors", models.accuracy(near, "label", "predicted")))
+    rows = [
+        score.select(F.lit(i).alias("position"), F.lit(name).alias("model"), "score")
+        for i, (name, score) in enumerate(scored)
     ]
-    rows = _vectors(t).withColumn("label", (F.col("label") >= 5).cast("int"))
-    knn_train, knn_test = features.train_test_split(rows, "id")
-    knn = neighbours.classify(knn_train, knn_test, ks=[5], ps=(2,)).join(knn_test.select("id", "label"), "id")
-    scores.append(
-        models.accuracy(knn, "label", "predicted").select(
-            F.lit(3).alias("position"), F.lit("K-Nearest Neighbors").alias("model"), "score"
-        )
+    return models.leaderboard(reduce(DataFrame.unionByName, rows))
+
+
+@query
+def ml_best_neighbours(t: Tables) -> DataFrame:
+    """The best of a board over all (p, k): accuracy on the test rows, first one wins."""
+    train, test = features.train_test_split(_vectors(t), "id")
+    predicted = neighbours.classify(train, test).join(test.select("id", "label"), "id")
+    hit = (F.col("label") == F.col("predicted")).cast("double")
+    board = predicted.groupBy("p", "k").agg(F.round(F.avg(hit), 9).alias("score"))
+    named = board.select(
+        (F.col("p") * 100 + F.col("k")).alias("position"), F.format_string("p=%d k=%d", "p", "k").alias("model"), "score"
     )
-    board = scores[0]
-    for row in scores[1:]:
-        board = board.unionByName(row)
-    return models.leaderboard(board)
+    return models.best_of(named)

@@ -8,16 +8,42 @@ from pyspark.sql import functions as F
 from tamarind.functions.text import strip
 
 # Character entities that are decoded; the ampersand has to come last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
+    ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"),
+    ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"),
+    ("&raquo;", "»"), ("&euro;", "€"), ("&pound;", "£"), ("&deg;", "°"), ("&times;", "×"), ("&amp;", "&"),
+)
+# Blocks whose content is no text of the page.
+_SILENT = r"(?is)<!--.*?-->|<(script|style)(?:\s[^>]*)?>.*?</\1\s*>"
 
 
 def _inner(tag: str) -> Column:
     return F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>")
 
 
+def _numeric(text: Column) -> Column:
+    """Numeric entities, decimal or hexadecimal, as characters; numbers that name none stay as they are."""
+
+    def decoded(piece: Column, i: Column) -> Column:
+        digits = F.regexp_extract(piece, r"^(?:#([0-9]{1,7})|#[xX]([0-9A-Fa-f]{1,6}));", 1)
+        hexed = F.regexp_extract(piece, r"^(?:#([0-9]{1,7})|#[xX]([0-9A-Fa-f]{1,6}));", 2)
+        code = F.when(digits != "", digits.cast("bigint")).when(hexed != "", F.conv(hexed, 16, 10).cast("bigint"))
+        known = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        # The code point as four big-endian bytes is its UTF-32 form.
+        sign = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
+        return F.when(i == 0, piece).when(known, F.concat(sign, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+    return F.when(
+        F.contains(text, F.lit("&#")), F.array_join(F.transform(F.split(text, "&"), decoded), "")
+    ).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
-    """Markup removed, common entities decoded, outer blanks trimmed."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    """Scripts, styles, comments and markup removed, entities decoded, outer blanks trimmed."""
+    text = F.regexp_replace(F.regexp_replace(html, _SILENT, ""), r"(?s)<[^>]*>", "")
+    text = _numeric(text)
     for entity, sign in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(sign))
     return strip(text)

@@ -114,3 +114,11 @@ def test_text_cleaning_runs_on_a_stream(spark, tmp_path):
     )
     job.awaitTermination(60)
     assert sorted(r.clean for r in spark.read.parquet(str(sink)).collect()) == ["hay", "không"]
+
+
+def test_entities_scripts_and_comments(spark):
+    from tamarind.sources.html import plain_text
+
+    page = "<style>a{}</style>A&#38;B &#x20AC; &copy; &middot; &amp;#65; &#0; &bogus; <!-- <b>no</b> --><script>var t='<p>';</script>z"
+    row = spark.createDataFrame([(page,), (None,)], "html string").select(plain_text(F.col("html")).alias("t")).collect()
+    assert [r.t for r in row] == ["A&B € © · &#65; &#0; &bogus; z", None]
