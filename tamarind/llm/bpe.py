@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from tamarind.llm.texts import let
-from tamarind.session import freeze
+from tamarind.llm.scratch import freeze, release
 
 #: Most pieces that are merged by Spark and sent to every task.
 FREQUENT = 32768
@@ -183,6 +183,7 @@ def frequent_pieces(
     table = rank_literal(ranks)
     # One literal for all pieces, found by name inside the fold.
     ids = top.select("piece", let(table, lambda t: folded(F.col("piece").cast("binary"), t)).alias("ids")).toArrow()
+    release(counts)
     return dict(zip(ids.column("piece").to_pylist(), ids.column("ids").to_pylist()))
 
 

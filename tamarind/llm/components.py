@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarind.session import freeze
+from tamarind.llm.scratch import freeze, release
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -29,6 +29,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = freeze(
             lower.join(further, "next").select("x", "label", F.least("next", "beyond").alias("next")), "labels"
         )
-        if moved.filter("label <> next").isEmpty():
-            return labels.select(F.col("x").alias("node"), F.col("label").alias("component"))
+        settled = moved.filter("label <> next").isEmpty()
+        release(labels)
         labels = moved.select("x", F.col("next").alias("label"))
+        if settled:
+            release(both)
+            return labels.select(F.col("x").alias("node"), F.col("label").alias("component"))

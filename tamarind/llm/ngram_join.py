@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tamarind.llm.components import components
 from tamarind.llm.shingles import Powers, set_digest, shingle_set
 from tamarind.llm.signature_tree import link_groups
-from tamarind.session import freeze
+from tamarind.llm.scratch import freeze, release
 
 WORDS = 5
 #: Counters for the order of shingles; the table has this many rows at most and is sent to every task (2 MB).
@@ -211,7 +211,7 @@ def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         ),
         "samples",
     )
-    members = seen.select("doc_id", "n", "d1", "d2")
+    members = freeze(seen.select("doc_id", "n", "d1", "d2"), "members")
     named = seen.filter("doc_id is not null and n > 0")
     asked = named.select("doc_id", F.explode("own").alias("t"), F.lit(True).alias("own")).unionByName(
         named.select("doc_id", F.explode("other").alias("t"), F.lit(False).alias("own"))
@@ -230,6 +230,7 @@ def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         .agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n")),
         "classes",
     )
+    release(seen)
     texts = _class_texts(rows, classes)
     clusters = _clusters(texts, levels)
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
@@ -241,7 +242,9 @@ def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     links = _links(placed.select("cluster", "block", "doc_id", "known"), texts)
     if not large.isEmpty():
         links = _large_links(links, large, texts, block)
-    joined = components(freeze(links.filter("a <> b"), "links"))
+    found = freeze(links.filter("a <> b"), "links")
+    release(texts, clusters, large)
+    joined = components(found)
     known = classes.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "d1", "d2", F.coalesce("component", "class_id").alias("component")
     )
@@ -257,14 +260,15 @@ def similar_documents(documents: DataFrame, block: int = BLOCK) -> DataFrame:
 def _class_texts(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Texts of the rows that stand for classes. The bit table keeps most others from moving; the join is exact."""
     word = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    ids = classes.select(F.col("class_id").alias("doc_id"))
+    ids = classes.select(F.col("class_id").alias("doc_id")).distinct()
     possible = (
         rows.withColumns({"w": F.shiftright(word, 6), "i": F.pmod(word, F.lit(64))})
         .join(F.broadcast(_bit_table(ids)), "w")
         .filter(F.getbit("bits", F.col("i")) == 1)
         .select("doc_id", "text")
     )
-    return freeze(possible.join(ids, "doc_id", "left_semi").distinct(), "texts")
+    # An inner join: the optimiser would move a semi-join in front of the filter, and all texts with it.
+    return freeze(possible.join(ids, "doc_id").distinct(), "texts")
 
 
 def _clusters(texts: DataFrame, levels) -> DataFrame:
@@ -287,10 +291,11 @@ def _clusters(texts: DataFrame, levels) -> DataFrame:
     )
     hubs = heads.groupBy("t").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
     near = heads.join(hubs.select("t", "hub"), "t").filter("doc_id <> hub").select("doc_id", "hub").distinct()
-    return freeze(
-        components(near, "doc_id", "hub").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")),
-        "clusters",
-    )
+    labels = components(near, "doc_id", "hub")
+    release(prefixes, heads)
+    clusters = freeze(labels.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "clusters")
+    release(labels)
+    return clusters
 
 
 def _large_links(links: DataFrame, large: DataFrame, texts: DataFrame, block: int) -> DataFrame:
