@@ -21,6 +21,8 @@ TREE_IMPURITY = ("gini", "entropy")
 TREE_DEPTH = tuple(range(2, 20, 2))
 TREE_LEAF = (1, 2, 4)
 FOLDS = 10
+#: Rows in a partition of a search. Fits on few rows are many short jobs; spread over many tasks they would mostly wait.
+SEARCH_ROWS = 50_000
 
 
 def as_training_rows(df: DataFrame, key: str, vector: str, label: str, folds: int = FOLDS, seed: int = 2) -> DataFrame:
@@ -42,7 +44,8 @@ def _search(rows: DataFrame, estimator: Estimator, grid: list, folds: int, paral
         estimator=estimator, estimatorParamMaps=grid, evaluator=_accuracy(), numFolds=folds, foldCol="fold",
         parallelism=parallelism,
     )
-    rows.persist()  # each fold and the final fit read the same rows
+    # Each fold and the final fit read the same rows.
+    rows = rows.coalesce(-(-rows.count() // SEARCH_ROWS) or 1).persist()
     try:
         return search.fit(rows)
     finally:

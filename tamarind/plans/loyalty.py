@@ -19,6 +19,16 @@ def _with_menu(sales: DataFrame, menu: DataFrame) -> DataFrame:
     return sales.join(menu, "product_id", "left")
 
 
+def _per_product(sales: DataFrame) -> DataFrame:
+    """Purchases reduced to (customer, product) with their number ``n`` and first and last day.
+
+    The menu is joined to these few rows, not to the sales, so a product that everybody buys is no hot key there.
+    """
+    return sales.groupBy("customer_id", "product_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")
+    )
+
+
 def _as_member(sales: DataFrame, members: DataFrame, when: Column) -> DataFrame:
     """Purchases of members for which a condition on order_date and join_date holds."""
     return sales.join(members, "customer_id").filter(when)
@@ -35,9 +45,9 @@ def _before_joining() -> Column:
 def total_spent(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Amount per customer, highest first."""
     return (
-        _with_menu(sales, menu)
+        _with_menu(_per_product(sales), menu)
         .groupBy("customer_id")
-        .agg(F.sum("price").alias("total_spent"))
+        .agg(F.sum(F.col("price") * F.col("n")).alias("total_spent"))
         .orderBy(F.desc("total_spent"), "customer_id")
     )
 
@@ -53,9 +63,11 @@ def _items_of_edge_day(purchases: DataFrame, menu: DataFrame, last: bool) -> Dat
     An item was bought on the first day exactly when its own first day is the customer's first day. So one row per
     (customer, item) is enough, which a hot customer spreads over all tasks and every task combines beforehand.
     """
-    edge = F.max if last else F.min
+    edge, day = (F.max, "last_day") if last else (F.min, "first_day")
     per_item = (
-        _with_menu(purchases, menu).groupBy("customer_id", "product_name").agg(edge("order_date").alias("order_date"))
+        _with_menu(_per_product(purchases), menu)
+        .groupBy("customer_id", "product_name")
+        .agg(edge(day).alias("order_date"))
     )
     order = F.desc_nulls_last("order_date") if last else F.asc_nulls_last("order_date")
     return (
@@ -85,7 +97,7 @@ def top_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Most bought item(s) of each customer."""
     per_item = (
-        _with_menu(sales, menu).groupBy("customer_id", "product_name").agg(F.count(F.lit(1)).alias("total_orders"))
+        _with_menu(_per_product(sales), menu).groupBy("customer_id", "product_name").agg(F.sum("n").alias("total_orders"))
     )
     return best_per_group(per_item, ["customer_id"], F.desc("total_orders"))
 
@@ -117,9 +129,9 @@ def before_join(sales: DataFrame, menu: DataFrame, members: DataFrame, last: boo
 def pre_member_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Number of items and amount before joining."""
     return (
-        _with_menu(_as_member(sales, members, _before_joining()), menu)
+        _with_menu(_per_product(_as_member(sales, members, _before_joining())), menu)
         .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("total_items"), F.sum("price").alias("amount_spent"))
+        .agg(F.sum("n").alias("total_items"), F.sum(F.col("price") * F.col("n")).alias("amount_spent"))
         .orderBy("customer_id")
     )
 
@@ -133,9 +145,9 @@ def points(sales: DataFrame, menu: DataFrame, double_product: str) -> DataFrame:
     """Points per customer with one product counting twice."""
     earned = _points(F.col("product_name") == double_product)
     return (
-        _with_menu(sales, menu)
+        _with_menu(_per_product(sales), menu)
         .groupBy("customer_id")
-        .agg(F.sum(earned).alias("customer_points"))
+        .agg(F.sum(earned * F.col("n")).alias("customer_points"))
         .orderBy("customer_id")
     )
 

@@ -232,6 +232,25 @@ def test_large_dimensions_are_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+@needs_tables
+def test_launch_reports_join_only_what_they_read(spark):
+    joins = {
+        0: ("eda_outcome_counts", "eda_outcome_rank_period", "eda_first_success_date", "dash_payload_bounds",
+            "wr_outcome_label", "wr_success_rate", "viz_success_by_year"),
+        1: ("eda_avg_payload_version", "eda_booster_payload_range", "viz_success_by_orbit", "viz_scatter_bins",
+            "dash_site_outcomes", "launch_renumber", "geo_sites", "geo_marker_colors",
+            "geo_marker_clusters", "eda_total_payload_customer"),
+    }
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, names in joins.items():
+            for name in names:
+                assert plan_of(QUERIES[name](spark, FOLDER)).count("SortMergeJoin") <= most, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @needs_tables
 def test_share_report_groups_once(spark):
     df = QUERIES["hr_reason_share"](spark, FOLDER)
