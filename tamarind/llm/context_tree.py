@@ -2,9 +2,13 @@
 
 A context is the string of the bytes before, up to ``depth`` of them. At every context each of the 255 nodes of the binary
 byte tree has a Krichevsky-Trofimov estimate; estimates of all depths are mixed with the weights of context-tree weighting,
-``Pw = Pe / 2 + prod(Pw of the longer contexts) / 2``. Contexts seen in less than 1 / ``contexts`` of all places have no node
-of their own: those that extend one context share a leaf, the rest of that context. So there are at most
-``depth * contexts + 1`` nodes, however much text was counted, and the model may be sent to every task.
+``Pw = Pe / 2 + prod(Pw of the longer contexts) / 2``. Every context that was seen has a node, however rare it is, so the
+model grows with the text and is never held in one place: a gram (a context of full depth and its byte) has one score, and
+grams are scored where all that share their last ``TOP + 1`` context bytes lie. Only the contexts of up to ``TOP`` bytes,
+whose number is bounded, meet in one place (``Top``). A byte decision that a context never saw is even from there on.
+
+``build`` makes the same model in memory from any set of contexts; what extends a context without a node of its own shares
+a leaf, the rest of that context.
 
 A text is a sequence of its UTF-8 bytes with A-Z lower-cased and a zero byte at its end; zeros stand before its start.
 """
@@ -16,7 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 
 DEPTH = 5
-CONTEXTS = 32768
+#: Longest contexts that meet in one place: 65,793 of them at most.
+TOP = 2
+#: Grams that are worked on at a time.
+CHUNK = 200_000
 
 
 def grams(text: bytes, depth: int) -> np.ndarray:
@@ -54,6 +61,125 @@ def _estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
+@dataclass
+class Level:
+    """Decisions of the contexts of one length, by the sorted keys ``context << 8 | node of the byte tree``.
+
+    ``leaf`` is the weight of the own estimate ``one`` against longer contexts, ``up`` the place in the level above.
+    """
+
+    keys: np.ndarray
+    leaf: np.ndarray
+    one: np.ndarray
+    up: np.ndarray
+
+
+def _sums(at: np.ndarray, size: int, *columns: np.ndarray) -> list[np.ndarray]:
+    return [np.bincount(at, weights=c, minlength=size) for c in columns]
+
+
+def _decided(found: np.ndarray, n: np.ndarray, depth: int) -> tuple:
+    """Decisions of grams at their contexts of full depth: sorted keys, zeros, ones, and the key's place by gram and bit."""
+    symbol, steps = found & 255, np.arange(8)
+    node = (1 << steps) | (symbol[:, None] >> (8 - steps))
+    key = (((found >> 8) & ((1 << 8 * depth) - 1)) << 8)[:, None] | node
+    keys, at = np.unique(key, return_inverse=True)
+    at = at.reshape(key.shape)
+    bit = (symbol[:, None] >> (7 - steps)) & 1
+    zeros, ones = _sums(at.ravel(), len(keys), (n[:, None] * (1 - bit)).ravel(), (n[:, None] * bit).ravel())
+    return keys, zeros, ones, at, bit
+
+
+def _shorter(keys: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the contexts cut to ``length`` bytes."""
+    return ((keys >> 8) & ((1 << 8 * length) - 1)) << 8 | keys & 255
+
+
+def _climb(keys, zeros, ones, longer, high: int, low: int, depth: int) -> tuple[list[Level], tuple]:
+    """Levels from length ``high`` down to ``low``, and what they hand on: keys, zeros, ones, longer of the next level."""
+    levels = []
+    for d in range(high, low - 1, -1):
+        own = _estimate(zeros, ones)
+        if d == depth:
+            weighted, leaf = own, np.ones(len(keys))
+        else:
+            weighted = np.logaddexp(own, longer) - np.log(2)
+            leaf = np.exp(own - np.log(2) - weighted)
+        above, up = np.unique(_shorter(keys, d - 1), return_inverse=True) if d else (keys, np.arange(len(keys)))
+        levels.append(Level(keys, leaf, (ones + 0.5) / (zeros + ones + 1.0), up))
+        if d:
+            keys = above
+            zeros, ones, longer = _sums(up, len(above), zeros, ones, weighted)
+    return levels, (keys, zeros, ones, longer)
+
+
+def _descend(levels: list[Level], mixed: np.ndarray, still: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixture and open share at the longest contexts of ``levels``, from those of the level above them."""
+    for level in reversed(levels):
+        mixed, share = mixed[level.up], still[level.up]
+        mixed, still = mixed + share * level.leaf * level.one, share * (1 - level.leaf)
+    return mixed, still
+
+
+def _chunks(found: np.ndarray, n: np.ndarray, depth: int):
+    """Grams and counts in pieces that keep the longer contexts of a context of ``TOP + 1`` bytes together."""
+    group = (found >> 8) & ((1 << 8 * min(depth, TOP + 1)) - 1)
+    order = np.argsort(group, kind="stable")
+    found, n, group = found[order], n[order], group[order]
+    at = 0
+    while at < len(found):
+        end = int(np.searchsorted(group, group[min(at + CHUNK, len(found)) - 1], "right"))
+        yield found[at:end], n[at:end]
+        at = end
+
+
+def reduced(found: np.ndarray, n: np.ndarray, depth: int) -> tuple:
+    """What grams contribute to the contexts of ``min(depth, TOP)`` bytes: keys, zeros, ones, longer; keys may repeat.
+
+    All grams that agree in their last ``TOP + 1`` context bytes have to come in one call.
+    """
+    parts = []
+    for some, counts in _chunks(found, n, depth):
+        keys, zeros, ones, *_ = _decided(some, counts, depth)
+        longer = np.zeros(len(keys))
+        if depth > TOP:
+            _, (keys, zeros, ones, longer) = _climb(keys, zeros, ones, longer, depth, TOP + 1, depth)
+        parts.append((keys, zeros, ones, longer))
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64), *[np.zeros(0)] * 3)
+
+
+@dataclass
+class Top:
+    """Mixture and open share of the contexts of ``min(depth, TOP)`` bytes, by sorted keys."""
+
+    depth: int
+    keys: np.ndarray
+    mixed: np.ndarray
+    still: np.ndarray
+
+    @classmethod
+    def of(cls, depth: int, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, longer: np.ndarray) -> Top:
+        """From the sums of ``reduced`` by key."""
+        order = np.argsort(keys)
+        keys, zeros, ones, longer = keys[order], zeros[order], ones[order], longer[order]
+        levels, (root, *_) = _climb(keys, zeros, ones, longer, min(depth, TOP), 0, depth)
+        return cls(depth, keys, *_descend(levels, np.zeros(len(root)), np.ones(len(root))))
+
+    def scores(self, found: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Grams in another order and the log10 probability of each. To be called with the grams as ``reduced`` is."""
+        out = [(np.zeros(0, np.int64), np.zeros(0))]
+        for some, counts in _chunks(found, n, self.depth):
+            keys, zeros, ones, at, bit = _decided(some, counts, self.depth)
+            levels, last = [], keys
+            if self.depth > TOP:
+                levels, (last, *_) = _climb(keys, zeros, ones, np.zeros(len(keys)), self.depth, TOP + 1, self.depth)
+            place = np.searchsorted(self.keys, last)
+            mixed, still = _descend(levels, self.mixed[place], self.still[place])
+            one = np.clip(mixed + 0.5 * still, 1e-12, 1 - 1e-12)[at]
+            out.append((some, np.log10(np.where(bit == 1, one, 1 - one)).sum(axis=1)))
+        return np.concatenate([g for g, _ in out]), np.concatenate([p for _, p in out])
+
+
 @dataclass
 class Model:
     """``child[node, byte]``: the node of the context one byte longer (0: none). Node 1 is the empty context.

@@ -2,7 +2,8 @@
 
 Counting and scoring are one pass each over the texts. Words are counted in each task before they are shuffled. Words that
 make up at least 1 / FREQUENT of all tokens, of which there can be no more than FREQUENT, travel to the scoring tasks; the
-counts of all others are joined by shuffle, so no word is hot there and none is left out.
+counts of all others are joined by shuffle, so no word is hot there and none is left out. It is the same with the scores of
+grams, a context and its byte each: those that make up at least 1 / CONTEXTS of all places travel, the others are joined.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarind.llm.context_tree import CONTEXTS, DEPTH, Model, build, grams
+from tamarind.llm.context_tree import DEPTH, TOP, Top, grams, reduced
 from tamarind.llm.shingles import LOWER_BYTES
 from tamarind.session import freeze
 
 #: Most words whose counts are sent to every task.
 FREQUENT = 65536
+#: Most contexts, with their byte, whose scores are sent to every task: 32 MB. No bound on the model.
+CONTEXTS = 1 << 21
 #: Additive smoothing of the base.
 ALPHA = 0.1
 #: A document is held out of training if crc32 of its id as text leaves this remainder by FOLDS.
@@ -45,35 +48,37 @@ def _lowered(batch: pa.RecordBatch) -> list[bytes]:
 
 def _count(depth: int):
     def rows(words: Counter, merged: list) -> pa.RecordBatch:
-        keys, ns = _merge(merged)
+        keys, ns, places = _merge(merged)
         names = list(words)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([None] * len(names) + keys.tolist(), pa.int64()),
                 pa.array(names + [None] * len(keys), pa.binary()),
                 pa.array(list(words.values()) + ns.tolist(), pa.int64()),
+                pa.array([None] * len(names) + places.tolist(), pa.int64()),
             ],
-            ["gram", "word", "n"],
+            ["gram", "word", "n", "places"],
         )
 
+    def distinct(waiting: list, trained: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, places = np.unique(np.concatenate(waiting), return_counts=True)
+        return keys, places if trained else np.zeros_like(places), places
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, merged = Counter(), []
         for batch in batches:
-            texts = [
-                t for d, t in zip(batch.column("doc_id").to_pylist(), _lowered(batch)) if not held_out(d)
-            ]
-            waiting, size = [], 0
-            for t in texts:
-                words.update(t.split())
-                waiting.append(grams(t, depth))
-                size += len(t)
-                if size > 8_000_000:
-                    merged.append(np.unique(np.concatenate(waiting), return_counts=True))
-                    waiting, size = [], 0
-            if waiting:
-                merged.append(np.unique(np.concatenate(waiting), return_counts=True))
-            if texts:
-                words[END] += len(texts)
+            waiting, size = {True: [], False: []}, {True: 0, False: 0}
+            for d, t in zip(batch.column("doc_id").to_pylist(), _lowered(batch)):
+                trained = not held_out(d)
+                if trained:
+                    words.update(t.split())
+                    words[END] += 1
+                waiting[trained].append(grams(t, depth))
+                size[trained] += len(t)
+                if size[trained] > 8_000_000:
+                    merged.append(distinct(waiting[trained], trained))
+                    waiting[trained], size[trained] = [], 0
+            merged += [distinct(w, trained) for trained, w in waiting.items() if w]
             merged = [_merge(merged)] if merged else []
             if len(words) > FLUSH or (merged and len(merged[0][0]) > FLUSH):
                 yield rows(words, merged)
@@ -83,66 +88,78 @@ def _count(depth: int):
     return run
 
 
-def _merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
+def _merge(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     if len(parts) == 1:
         return parts[0]
-    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(at, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return keys, *[
+        np.bincount(at, weights=np.concatenate([p[k] for p in parts])).astype(np.int64) for k in (1, 2)
+    ]
 
 
 def count(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Counts of the training documents, frozen: ``word, n`` (the end as a line feed) and ``gram, n`` in one table."""
-    rows = documents.select("doc_id", "text").mapInArrow(_count(depth), "gram bigint, word binary, n bigint")
-    return freeze(rows.groupBy("gram", "word").agg(F.sum("n").alias("n")), "counts")
-
-
-def context_model(counts: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS) -> Model:
-    """Context-tree model of frozen counts. What reaches the driver is bounded by depth, contexts and the 256 bytes."""
-    levels = counts.filter("gram is not null").select(
-        "n",
-        F.col("gram").bitwiseAND(F.lit(255)).alias("symbol"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(d).alias("depth"),
-                        F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("context"),
-                    )
-                    for d in range(depth + 1)
-                ]
-            )
-        ).alias("c"),
-    ).select("c.depth", "c.context", "symbol", "n")
-    total = counts.filter("gram is not null").agg(F.sum("n")).first()[0] or 0
-    kept = (
-        levels.groupBy("depth", "context")
-        .agg(F.sum("n").alias("m"))
-        .filter((F.col("depth") == 0) | (F.col("m") >= F.lit(-(-total // contexts))))
-        .select("depth", "context")
+    """Counts, frozen: ``word, n`` (the end as a line feed) and ``gram, n, places`` in one table.
+
+    ``n`` counts in the training documents, ``places`` in all. Grams of other documents only are there with an n of 0.
+    """
+    rows = documents.select("doc_id", "text").mapInArrow(_count(depth), "gram bigint, word binary, n bigint, places bigint")
+    return freeze(
+        rows.groupBy("gram", "word").agg(F.sum("n").alias("n"), F.sum("places").alias("places")), "counts"
     )
-    table = (
-        levels.join(F.broadcast(kept), ["depth", "context"])
-        .groupBy("depth", "context", "symbol")
-        .agg(F.sum("n").alias("n"))
+
+
+def _columns(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    parts = [(b.column("gram").to_numpy(), b.column("n").to_numpy()) for b in batches]
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
+
+
+def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``gram, logp`` of all grams of frozen counts, by the context tree with a node for every context seen.
+
+    Grams are dealt by the last ``TOP + 1`` bytes of their context, so the longer contexts of each lie in one task. The
+    driver sees the sums of the contexts of up to ``TOP`` bytes only.
+    """
+    spark = counts.sparkSession
+    last = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * min(depth, TOP + 1)) - 1))
+    dealt = counts.filter("gram is not null").select("gram", "n").repartition(last)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = reduced(*_columns(batches), depth)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "zeros", "ones", "longer"])
+
+    sums = (
+        dealt.mapInArrow(reduce, "key bigint, zeros double, ones double, longer double")
+        .groupBy("key")
+        .agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "longer")])
         .toArrow()
     )
-    return build(depth, *[table.column(c).to_numpy() for c in ("depth", "context", "symbol", "n")])
+    shared = spark.sparkContext.broadcast(Top.of(depth, *[sums.column(c).to_numpy() for c in sums.column_names]))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, logp = shared.value.scores(*_columns(batches))
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(logp)], ["gram", "logp"])
+
+    return freeze(dealt.mapInArrow(score, "gram bigint, logp double"), "grams")
 
 
 _SCORED = (
-    "doc_id bigint, row_key bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, bits double, "
-    "word binary, n bigint"
+    "doc_id bigint, row_key bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
+    "n_bytes bigint, word binary, gram bigint, n bigint"
 )
 
 
-def _score(shared):
+_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
+
+
+def _score(shared, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent = shared.value
+        keys, logps, frequent = shared.value
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), _lowered(batch)
             heads, rare_keys, rare_words, rare_n = [], [], [], []
+            gram_keys, gram_found, gram_n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for doc_id, text in zip(ids, texts):
                 tokens = text.split()
                 tokens.append(END)
@@ -159,21 +176,35 @@ def _score(shared):
                     else:
                         known += n
                         base += n * value
-                score = model.score(text)
-                bits = -score / math.log10(2) / (len(text) + 1)
-                heads.append((doc_id, key, held_out(doc_id), len(tokens), known, base, score, bits))
+                found = grams(text, depth)
+                at = np.searchsorted(keys, found)
+                hit = keys[at] == found
+                score = float(logps[at[hit]].sum())
+                if not hit.all():
+                    others, n = np.unique(found[~hit], return_counts=True)
+                    gram_keys.append(np.full(len(others), key))
+                    gram_found.append(others)
+                    gram_n.append(n)
+                heads.append((doc_id, key, held_out(doc_id), len(tokens), known, base, score, len(text) + 1))
             columns = [list(c) for c in zip(*heads)] if heads else [[] for _ in range(8)]
             columns[1] += rare_keys
             gap = len(rare_keys)
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), *[pa.float64()] * 3)
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
             arrays = [
                 pa.array(c if i == 1 else c + [None] * gap, kind) for i, (c, kind) in enumerate(zip(columns, kinds))
             ]
             arrays.append(pa.array([None] * len(heads) + rare_words, pa.binary()))
+            arrays.append(pa.nulls(len(heads) + gap, pa.int64()))
             arrays.append(pa.array([None] * len(heads) + rare_n, pa.int64()))
+            yield pa.RecordBatch.from_arrays(arrays, _NAMES)
+            rest = {"row_key": gram_keys, "gram": gram_found, "n": gram_n}
+            size = sum(map(len, gram_found))
             yield pa.RecordBatch.from_arrays(
-                arrays,
-                ["doc_id", "row_key", "held_out", "n_tokens", "n_known", "base", "score", "bits", "word", "n"],
+                [
+                    pa.array(np.concatenate(rest[a.name]), a.type) if a.name in rest else pa.nulls(size, a.type)
+                    for a in pa.schema([(name, x.type) for name, x in zip(_NAMES, arrays)])
+                ],
+                _NAMES,
             )
 
     return run
@@ -200,9 +231,17 @@ def score_documents(
     known = {
         w: math.log10(n + ALPHA) - floor for w, n in zip(top.column("word").to_pylist(), top.column("n").to_pylist())
     }
-    shared = spark.sparkContext.broadcast((context_model(counts, depth, contexts), known))
-    scored = freeze(rows.mapInArrow(_score(shared), _SCORED), "scored")
-    heads = scored.filter("word is null").drop("word", "n")
+    scores = gram_scores(counts, depth)
+    seen = counts.filter("gram is not null")
+    places = seen.agg(F.sum("places")).first()[0] or 0
+    often = seen.filter(F.col("places") >= max(1, -(-places // contexts))).select("gram")
+    sent = scores.join(often, "gram").toArrow()
+    order = np.argsort(sent.column("gram").to_numpy())
+    # A last key above all grams, so that every search ends at a key.
+    keys = np.append(sent.column("gram").to_numpy()[order], np.iinfo(np.int64).max)
+    shared = spark.sparkContext.broadcast((keys, sent.column("logp").to_numpy()[order], known))
+    scored = freeze(rows.mapInArrow(_score(shared, depth), _SCORED), "scored")
+    heads = scored.filter("word is null and gram is null").drop("word", "gram", "n")
     rare = (
         scored.filter("word is not null")
         .select("row_key", "word", "n")
@@ -220,13 +259,23 @@ def score_documents(
         F.call_function("div", F.col("rare_known"), F.col("copies")).alias("rare_known"),
         (F.col("rare_base") / F.col("copies")).alias("rare_base"),
     )
-    return heads.join(rare, "row_key", "left").select(
+    rare_grams = (
+        scored.filter("gram is not null")
+        .select("row_key", "gram", "n")
+        .join(scores, "gram")
+        .groupBy("row_key")
+        .agg(F.sum(F.col("n") * F.col("logp")).alias("rare_score"))
+        .join(copies, "row_key")
+        .select("row_key", (F.col("rare_score") / F.col("copies")).alias("rare_score"))
+    )
+    score = F.col("score") + F.coalesce("rare_score", F.lit(0.0))
+    return heads.join(rare, "row_key", "left").join(rare_grams, "row_key", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        "score",
-        F.col("bits").alias("bits_per_byte"),
+        score.alias("score"),
+        (-score / F.lit(math.log10(2)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

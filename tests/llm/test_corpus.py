@@ -340,6 +340,27 @@ def test_scores_without_training_rows(spark):
     assert lm_scoring.score_documents(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("depth, contexts", [(0, 8), (2, 8), (4, 8), (5, 64), (5, 1 << 21)])
+def test_every_context_counts_at_any_size(spark, monkeypatch, depth, contexts):
+    """A filler text must not take rare contexts out of the model: scores equal those of the whole tree in memory."""
+    monkeypatch.setattr(context_tree, "CHUNK", 50)
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("a bb abc cab é".split()) for _ in range(rng.randint(0, 30))) for _ in range(60)] + ["zz " * 40_000]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
+    out = lm_scoring.score_documents(spark.createDataFrame(rows, DOCS), depth=depth, contexts=contexts).collect()
+    assert len(out) == len(rows)
+    counts = Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 10:
+            for g in context_tree.grams(t.encode(), depth).tolist():
+                counts.update((d, (g >> 8) & ((1 << 8 * d) - 1), g & 255) for d in range(depth + 1))
+    model = context_tree.build(depth, *(np.array(c) for c in zip(*counts)), np.array(list(counts.values())))
+    for r in out:
+        expected = model.score(texts[r.doc_id].encode())
+        assert r.score == pytest.approx(expected, rel=1e-5)
+        assert r.bits_per_byte == pytest.approx(-expected / math.log10(2) / (len(texts[r.doc_id].encode()) + 1), rel=1e-5)
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are missing")
 def test_held_out_texts_are_coded_well(spark):
     df = spark.read.parquet(f"{FOLDER}/documents.parquet")
