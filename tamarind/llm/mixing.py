@@ -2,64 +2,78 @@
 
 A source is cut into blocks of rows. Block i (from 1) of a source of weight w may start at slot floor((i - 1) / w) and has
 to be placed before slot ceil(i / w); each slot takes the released block with the earliest deadline. At every slot each
-source is then less than one block from its share. With weights that are whole multiples of 1 / PERIOD the schedule repeats
-after PERIOD slots, so one period is worked out and every block's slot follows from arithmetic.
+source is then less than one block from its share. Weights are taken as exact fractions, so the error does not add up.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.llm.numbering import number_rows
 from tamarind.session import freeze
 
-#: Slots after which a schedule repeats, and so the finest weight: 1 / PERIOD. Also the most sources a mix may have.
+#: The most sources a mix may have.
 PERIOD = 16384
 #: Rows in a block.
 BLOCK_ROWS = 64
 
 
 def whole_shares(weights: Mapping[object, float], period: int = PERIOD) -> dict:
-    """Slots of a period for each source, at least one each, summing to ``period``; largest remainders get the rest."""
+    """The weights as whole numbers in exactly their proportions."""
     if len(weights) > period:
-        raise ValueError(f"{len(weights)} sources do not fit into a period of {period} slots")
+        raise ValueError(f"{len(weights)} sources are more than {period}")
     if any(not w > 0 for w in weights.values()):
         raise ValueError("weights have to be above 0")
-    total = sum(weights.values())
-    spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
-    order = sorted(weights, key=lambda s: (int(exact[s]) - exact[s], s is None, str(s)))
-    for s in order[: period - sum(shares.values())]:
-        shares[s] += 1
-    return shares
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*[w.denominator for w in exact.values()])
+    return {s: int(w * scale) for s, w in exact.items()}
 
 
-def one_period(shares: Mapping[object, int]) -> list:
-    """The source of every slot of one period: earliest deadline first among released blocks.
+def _ranked(shares: Mapping[object, int]) -> list:
+    return sorted(shares, key=lambda s: (-shares[s], s is None, str(s)))
+
+
+def schedule(shares: Mapping[object, int], blocks: Mapping[object, int]) -> tuple[list[tuple[int, int, int]], int]:
+    """(rank of the source, block, slot) of every block in slot order, and the first slot that misses a block.
 
-    Ties go to the larger share, then by name. Every block meets its deadline, since the shares fill the period.
+    Earliest deadline first among released blocks; ties go to the larger share, then by name. Every block meets its
+    deadline, since the shares sum to the total. Sources rank by share, then by name. A source that has run out takes no
+    part any more; slots where no block of the others is released stay empty.
     """
-    period = sum(shares.values())
-    waiting: list[list] = [[] for _ in range(period)]
-    ranked = sorted(shares, key=lambda s: (-shares[s], s is None, str(s)))
-    for rank, s in enumerate(ranked):
-        for i in range(shares[s]):
-            release = i * period // shares[s]
-            waiting[release].append((-(-(i + 1) * period // shares[s]), rank))
-    ready: list[tuple[int, int]] = []
-    out = []
-    for slot in range(period):
-        for block in waiting[slot]:
-            heapq.heappush(ready, block)
-        deadline, rank = heapq.heappop(ready)
+    total, ranked = sum(shares.values()), _ranked(shares)
+    sizes, counts = [shares[s] for s in ranked], [blocks[s] for s in ranked]
+    waiting = [(0, rank, 0) for rank in range(len(ranked))]
+    ready: list[tuple[int, int, int]] = []
+    out, slot, end = [], 0, None
+    while waiting or ready:
+        while waiting and waiting[0][0] <= slot:
+            _, rank, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(i + 1) * total // sizes[rank]), rank, i))
+        if not ready:
+            slot = waiting[0][0]
+            continue
+        deadline, rank, i = heapq.heappop(ready)
+        if i >= counts[rank]:
+            end = slot if end is None else end
+            continue
         assert deadline > slot
-        out.append(ranked[rank])
-    return out
+        out.append((rank, i, slot))
+        heapq.heappush(waiting, ((i + 1) * total // sizes[rank], rank, i + 1))
+        slot += 1
+    return out, end or 0
+
+
+def one_period(shares: Mapping[object, int]) -> list:
+    """The source of every slot until all shares are used up and the schedule would repeat."""
+    ranked = _ranked(shares)
+    return [ranked[rank] for rank, _, _ in schedule(shares, shares)[0]]
 
 
 def temperature_weights(sizes: Mapping[object, int], power: float) -> dict:
@@ -80,9 +94,9 @@ def mix(
     """Place every row once: ``id_cols, source_col, block, slot, offset, weight`` and ``in_target``.
 
     ``block`` counts a source's blocks from 0, ``slot`` is its slot in the schedule and ``offset`` the row's place in the
-    block; rows in the order of (slot, offset) are the mix. A source that runs out leaves its slots empty, so no row is
-    dropped or repeated; ``in_target`` is true up to the first slot that misses a block, where every prefix is less
-    than one block off its targets. A last block may be short.
+    block; rows in the order of (slot, offset) are the mix. No row is dropped or repeated; a source that runs out takes
+    no more slots. ``in_target`` is true up to the first slot that misses a block, where every prefix is less than one
+    block off the exact weights. A last block may be short. The driver works out one slot for every ``block_rows`` rows.
 
     Without ``weights`` they are the source sizes to ``power``. A source without a weight raises an error. A null source
     is a source. Rows that agree in ``id_cols`` and source are interchangeable. The order in a source is a hash of the
@@ -103,45 +117,32 @@ def mix(
     if missing:
         raise ValueError(f"no weight for {missing[:5]}")
     shares = whole_shares({s: w for s, w in weights.items() if s in sizes}, period) if sizes else {}
-    schedule = one_period(shares)
-    seen: dict = {}
-    pattern = []
-    for slot, s in enumerate(schedule):
-        pattern.append((s, seen.get(s, 0), slot, shares[s]))
-        seen[s] = seen.get(s, 0) + 1
-    kind = dict(slim.dtypes)["_source"]
-    slots = spark.createDataFrame(pattern, f"_s {kind}, _nth bigint, _at bigint, _share bigint")
     blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
-    where: dict = {}
-    for s, nth, slot, _ in pattern:
-        where.setdefault(s, []).append(slot)
-    end = min(
-        ((blocks[s] // shares[s]) * period + where[s][blocks[s] % shares[s]] for s in blocks), default=0
+    order, end = schedule(shares, blocks)
+    ranks, nths, ats = zip(*order) if order else ((), (), ())
+    slots = spark.createDataFrame(
+        pa.table({k: pa.array(c, pa.int64()) for k, c in (("_r", ranks), ("_nth", nths), ("slot", ats))})
     )
+    kind, total = dict(slim.dtypes)["_source"], sum(shares.values())
+    named = [(s, rank, float(Fraction(shares[s], total))) for rank, s in enumerate(_ranked(shares))]
+    sources = spark.createDataFrame(named, f"_s {kind}, _rank bigint, weight double")
     numbered = number_rows(counted, list(id_cols), group=["_source"], weight=F.col("_copies"), name="_first")
     single = numbered.select(
         "_source", *id_cols, F.explode(F.sequence("_first", F.col("_first") + F.col("_copies") - 1)).alias("_number")
     )
-    lengths = F.broadcast(slots.select("_s", "_share").distinct())  # one row per source, ``period`` at most
-    cut = (
-        single.join(lengths, F.col("_source").eqNullSafe(F.col("_s")))
-        .withColumn("block", F.call_function("div", "_number", F.lit(block_rows)))
-        .withColumns(
-            {"_cycle": F.call_function("div", "block", "_share"), "_in_cycle": F.pmod("block", F.col("_share"))}
-        )
-        .drop("_s")
+    # One row per source, ``period`` at most.
+    cut = single.join(F.broadcast(sources), F.col("_source").eqNullSafe(F.col("_s"))).withColumn(
+        "block", F.call_function("div", "_number", F.lit(block_rows))
     )
-    placed = cut.join(
-        F.broadcast(slots.drop("_share")),
-        F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_in_cycle") == F.col("_nth")),
-    ).withColumn("slot", F.col("_cycle") * period + F.col("_at"))
+    # A (source, block) has ``block_rows`` rows at most, so no key is hot.
+    placed = cut.join(slots, (F.col("_rank") == F.col("_r")) & (F.col("block") == F.col("_nth")))
     return placed.select(
         *id_cols,
         F.col("_source").alias(source_col),
         "block",
         "slot",
         F.pmod("_number", F.lit(block_rows)).alias("offset"),
-        (F.col("_share") / F.lit(float(period))).alias("weight"),
+        "weight",
         (F.col("slot") < end).alias("in_target"),
     )
 

@@ -9,6 +9,7 @@ import struct
 import uuid
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -141,6 +142,28 @@ def test_period_meets_all_deadlines(shares):
     assert done == Counter(shares)
 
 
+def test_mix_follows_the_asked_weights(spark):
+    """Weights that are no multiples of 1 / PERIOD: each prefix is less than a block off them, also after many slots."""
+    rng = random.Random(3)
+    weights = {f"s{i:03d}": math.sqrt(rng.randint(100, 9000)) for i in range(300)} | {"hot": 3000.0, None: 0.7}
+    total = sum(map(Fraction, weights.values()))
+    blocks = {s: 1 + int(Fraction(w) / total * 40_000) for s, w in weights.items()}
+    order, end = mixing.schedule(mixing.whole_shares(weights), blocks)
+    names = mixing._ranked(mixing.whole_shares(weights))
+    assert Counter(names[rank] for rank, _, _ in order) == blocks and end > 35_000
+    shares = [float(Fraction(weights[s]) / total) for s in names]
+    done = np.zeros(len(names))
+    for k, (rank, block, slot) in enumerate(order[:end]):
+        assert slot == k and block == done[rank]
+        done[rank] += 1
+        if k % 97 == 0 or k == end - 1:
+            assert np.abs(done - np.array(shares) * (k + 1)).max() < 1
+    rows = [(i, "a" if i % 3 else "b") for i in range(1500)]
+    asked = {"a": 2.0**0.5, "b": 0.5}
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), asked, block_rows=2, period=4).collect()
+    check_mix(out, {s: w / sum(asked.values()) for s, w in asked.items()}, 1500)
+
+
 # --- shingle join -------------------------------------------------------------------------------------------------
 def shingles(text):
     words = (text or "").encode().translate(LOWER).split()
