@@ -9,12 +9,17 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tamarind.llm import bpe, digests, mixing, ngram_join, quality
 from tamarind.session import freeze
 from tamarind.sources.tables import read_table
 
 
+#: Sources are mixed by their size to this power.
+MIX_POWER = 0.5
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut out lines that fail a rule; documents that fail the base rules or lose too much text go."""
     return quality.clean(docs)
@@ -32,12 +37,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in an order that gives each source its target weight (the square root of its size)."""
-    return mixing.in_mix_order(docs, power=0.5)
+    return mixing.in_mix_order(docs, power=MIX_POWER)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded texts."""
-    return bpe.document_tokens(docs)
+    """Token counts and digests of ids and decoded texts, with each document's place in the mix.
+
+    Files do not keep an order when they are read again; the places follow from the documents. Deduplication has left one
+    row for an id and a text.
+    """
+    tokens = bpe.document_tokens(docs)
+    places = mixing.mix_places(docs, power=MIX_POWER).withColumnRenamed("doc_id", "_id")
+    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("decoded_sha256") == F.col("text_sha256"))
+    return tokens.join(places, met).select(*tokens.columns, "mix_slot", "mix_offset")
 
 
 STAGES = [

@@ -152,26 +152,47 @@ def document_mix(documents: DataFrame) -> DataFrame:
     return mix(documents)
 
 
-def in_mix_order(rows: DataFrame, weights: Mapping[object, float] | None = None, **options) -> DataFrame:
-    """All rows with their columns, dealt to partitions and sorted in the order of the mix (see ``mix``).
-
-    Written out, the files read in the order of their names are the mix. Rows that share id and source take each other's
-    places in the order of their hash.
-    """
+def _with_places(
+    rows: DataFrame, columns: tuple, weights: Mapping[object, float] | None = None, **options
+) -> DataFrame:
+    """``columns`` of all rows as ``_row``, with ``mix_slot`` and ``mix_offset`` (see ``mix``)."""
     ids, source = options.get("id_cols", ("doc_id",)), options.get("source_col", "source")
     placed = mix(rows, weights, **options)
     keys = [*ids, source]
     hashed = F.xxhash64(*[c for c in rows.columns])
-    left = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(hashed)))
+    left = rows.select(
+        *[F.col(c).alias(f"_row_{c}") for c in keys],
+        F.row_number().over(Window.partitionBy(*keys).orderBy(hashed)).alias("_nth"),
+        F.struct(*columns).alias("_row"),
+    )
     right = placed.select(
         *[F.col(c).alias(f"_mix_{c}") for c in keys],
         F.row_number().over(Window.partitionBy(*keys).orderBy("slot", "offset")).alias("_mix_nth"),
-        F.col("slot").alias("_mix_slot"),
-        F.col("offset").alias("_mix_offset"),
+        F.col("slot").alias("mix_slot"),
+        F.col("offset").alias("mix_offset"),
     )
     match = F.col("_nth") == F.col("_mix_nth")
     for c in keys:
-        match &= F.col(c).eqNullSafe(F.col(f"_mix_{c}"))
-    met = left.join(right, match)
-    order = [F.col("_mix_slot"), F.col("_mix_offset")]
-    return met.repartitionByRange(*order).sortWithinPartitions(*order).select(*rows.columns)
+        match &= F.col(f"_row_{c}").eqNullSafe(F.col(f"_mix_{c}"))
+    return left.join(right, match).select("_row", "mix_slot", "mix_offset")
+
+
+def in_mix_order(rows: DataFrame, weights: Mapping[object, float] | None = None, **options) -> DataFrame:
+    """All rows with their columns, dealt to partitions and sorted in the order of the mix (see ``mix``).
+
+    Written out, the files read in the order of their names are the mix. Rows that share id and source take each other's
+    places in the order of their hash.
+    """
+    met = _with_places(rows, tuple(rows.columns), weights, **options)
+    order = [F.col("mix_slot"), F.col("mix_offset")]
+    return met.repartitionByRange(*order).sortWithinPartitions(*order).select("_row.*")
+
+
+def mix_places(rows: DataFrame, weights: Mapping[object, float] | None = None, **options) -> DataFrame:
+    """``doc_id, text_sha256, mix_slot, mix_offset`` of all rows: the places ``in_mix_order`` gives to the same rows.
+
+    They hang on the rows only and not on files or partitions. The digest is that of the text in UTF-8, null as empty.
+    """
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("text_sha256")
+    met = _with_places(rows, (F.col("doc_id"), digest), weights, **options)
+    return met.select("_row.*", "mix_slot", "mix_offset")

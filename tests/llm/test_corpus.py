@@ -393,6 +393,46 @@ def test_held_out_texts_are_coded_well(spark):
     assert sum(r.score for r in rows) > sum(r.score for r in order_0)
 
 
+def check_places(docs, tokens):
+    """Places of the last stage against blocks of documents scheduled by brute force, slot by slot."""
+    sizes = Counter(d.source for d in docs)
+    root = {s: Fraction(float(n) ** 0.5) for s, n in sizes.items()}
+    total, source = sum(root.values()), {d.doc_id: d.source for d in docs}
+    blocks = {s: -(-n // mixing.BLOCK_ROWS) for s, n in sizes.items()}
+    done, slots, slot = Counter(), {}, 0
+    while sum(done.values()) < sum(blocks.values()):
+        free = [s for s in root if done[s] < blocks[s] and math.floor(done[s] * total / root[s]) <= slot]
+        if free:
+            s = min(free, key=lambda s: (math.ceil((done[s] + 1) * total / root[s]), -root[s], s is None, str(s)))
+            slots[slot] = s
+            done[s] += 1
+        slot += 1
+    got = sorted((r.mix_slot, r.mix_offset, source[r.doc_id]) for r in tokens)
+    assert len({p[:2] for p in got}) == len(docs) == len(tokens)
+    # Up to the first source that runs out the schedules are the same, block for block.
+    ends, left = [], Counter(blocks)
+    for k, s in sorted(slots.items()):
+        left[s] -= 1
+        ends += [k] if not left[s] else []
+    assert {(k, s) for k, _, s in got if k <= ends[0]} == {(k, s) for k, s in slots.items() if k <= ends[0]}
+    for k, s in {(k, s) for k, _, s in got}:
+        offsets = [o for at, o, _ in got if at == k]
+        assert offsets == list(range(len(offsets))) and len(offsets) <= mixing.BLOCK_ROWS
+
+
+def test_the_mix_reaches_the_result(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"Text {i}.", "a" if i % 3 else ("b" if i % 2 else None)) for i in range(1500)] + [(None, "x", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    place = lambda df: sorted((r.mix_slot, r.mix_offset, r.doc_id or -1) for r in corpus_pipeline.byte_bpe(spark, df, "").collect())
+    got = place(docs.repartition(5))
+    assert len(got) == 1501 and got == place(docs.orderBy(F.desc("doc_id")))
+    check_places(docs.collect(), corpus_pipeline.byte_bpe(spark, docs, "").collect())
+    mixed = [r.doc_id or -1 for r in mixing.in_mix_order(docs, power=0.5).collect()]
+    assert [i for *_, i in got] == mixed
+
+
 # --- pipeline -----------------------------------------------------------------------------------------------------
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are missing")
 def test_pipeline_against_brute_force(spark, reference_tokens):
@@ -424,5 +464,6 @@ def test_pipeline_against_brute_force(spark, reference_tokens):
             assert len(rows) == len(old)
             assert all(r.n_tokens == len(library.encode_ordinary(old[r.doc_id])) for r in rows)
     assert len(seen) == 5
+    check_places(before.collect(), rows)
     final = corpus_pipeline.run(spark, FOLDER).collect()
     assert sorted(final) == sorted(docs.collect())
