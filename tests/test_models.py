@@ -1,10 +1,16 @@
 """Searches over model settings on data where the right answer is known."""
 
+import os
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tamarind.operators import features, models, neighbours
+from tamarind.plans import registry
+
+FOLDER = os.environ.get("TAMARIND_TEST_TABLES", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +43,25 @@ def test_searches_find_the_two_clusters(spark, vectors, tune):
     assert models.accuracy(held_out).first().score > 0.9
 
 
+@pytest.mark.parametrize("name, sizes", [("ml_cv_linear_svm", [5]), ("ml_cv_tree", [54]), ("ml_leaderboard", [3, 5, 54])])
+def test_registered_searches_cover_the_whole_grids(spark, monkeypatch, name, sizes):
+    seen = []
+
+    def search(rows, estimator, grid, folds, parallelism):
+        iterative = estimator.hasParam("maxIter")
+        seen.append((len(grid), folds, estimator.getMaxIter() if iterative else 100))
+        best = None if iterative else estimator.fit(rows)  # the penalty search fits its own
+        return SimpleNamespace(avgMetrics=[0.5] * len(grid), bestModel=best, getEstimatorParamMaps=lambda: grid)
+
+    def near(train, test):
+        return test.select("label", F.col("label").alias("predicted"))
+
+    monkeypatch.setattr(models, "_search", search)
+    monkeypatch.setattr(registry, "_tuned_neighbours", near)
+    registry.QUERIES[name](spark, FOLDER)
+    assert seen == [(n, models.FOLDS, 100) for n in sizes]
+
+
 def test_neighbour_search_over_k_and_p(vectors):
     rows = vectors.withColumn("fold", (F.col("id") % 3).cast("int"))
     scores = neighbours.cross_validate(rows, ks=[1, 5]).collect()
