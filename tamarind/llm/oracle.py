@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamarind.llm import quality, urls
+from tamarind.llm import fill_in_middle, line_dedup, quality, turn_trie, urls
 from tamarind.llm.chat import END, TEXT, TRAINED_ROLE, TURN
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -159,10 +159,122 @@ select d.doc_id, coalesce(n, 0)::bigint as n_shingles,
 from documents d left join sizes using (doc_id)
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lines() -> str:
+    blanks = " || ".join(f"chr({ord(c)})" for c in line_dedup.BLANKS)
+    return rf"""
+with texts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+lines as (select doc_id, unnest(range(len(ls))) as place, unnest(ls) as line from texts),
+keyed as (select *, translate(trim(line, {blanks}), '{_UPPER}', '{_LOWER}') as k from lines),
+shared as (
+    select k, max(doc_id) as keep from keyed where length(k) >= {line_dedup.LEAST_CHARS}
+    group by k having count(distinct doc_id) >= {line_dedup.LEAST_DOCS}
+),
+judged as (select doc_id, place, line, keep is not null and keep <> doc_id as gone from keyed left join shared using (k))
+select doc_id, count(*)::bigint as n_lines, (count(*) filter (gone))::bigint as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by place) filter (not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
+def _middles() -> str:
+    f = fill_in_middle
+    draws = ", ".join(f"('0x' || substr(h, {1 + 8 * i}, 8))::bigint as h{i + 1}" for i in range(4))
+    marked = " or ".join(f"contains(text, '{m}')" for m in (f.PREFIX, f.SUFFIX, f.MIDDLE))
+    return rf"""
+with texts as (
+    select doc_id, coalesce(text, '') as text, sha256('{f.SEED}:' || doc_id) as h,
+        regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') as units
+    from documents
+),
+drawn as (select *, len(units) as n, {draws} from texts),
+cut as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+        case when text = '' or {marked} or h3 % 100 >= {f.FIM_PERCENT} then 'plain'
+            when h4 % 100 < {f.SUFFIX_FIRST_PERCENT} then 'spm' else 'psm' end as form
+    from drawn
+),
+parts as (
+    select *, coalesce(array_to_string(units[1 : low], ''), '') as p,
+        coalesce(array_to_string(units[low + 1 : high], ''), '') as m,
+        coalesce(array_to_string(units[high + 1 : n], ''), '') as s
+    from cut
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+    case when form <> 'plain' then length(m)::bigint end as middle_chars,
+    sha256(case form when 'plain' then text
+        when 'psm' then '{f.PREFIX}' || p || '{f.SUFFIX}' || s || '{f.MIDDLE}' || m
+        else '{f.SUFFIX}' || s || '{f.PREFIX}' || p || '{f.MIDDLE}' || m end) as output_sha256,
+    sha256(text) as restored_sha256
+from parts
+"""
+
+
+def _trie() -> str:
+    t = turn_trie
+    return rf"""
+with recursive turns as (
+    select conv_id, turn, length(coalesce(text, ''))::bigint as chars,
+        md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as k
+    from conversations where conv_id is not null
+),
+told as (
+    select conv_id, list({{'k': k, 'chars': chars}} order by turn nulls first, k) as ts from turns group by conv_id
+),
+crc_step(b, c, i) as (
+    select b, b::bigint, 0 from range(256) r(b)
+    union all
+    select b, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i + 1 from crc_step where i < 8
+),
+crc_table as (select list(c order by b) as t from crc_step where i = 8),
+mixed as (
+    select conv_id, ts, xor(4294967295, list_reduce(
+        list_prepend(4294967295::bigint, [ascii(x)::bigint for x in string_split(conv_id::varchar, '')]),
+        lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) % {t.SHARED} as h
+    from told, crc_table
+),
+rebuilt as (
+    select m.conv_id, coalesce(b.ts[1 : h], []) || m.ts[h + 1 : len(m.ts)] as ts
+    from mixed m left join told b on b.conv_id = m.conv_id - m.conv_id % {t.BLOCK}
+),
+members as (
+    select conv_id, d as depth, len(ts) = d as ends, [x.k for x in ts[1 : d]] as path,
+        case when d > 0 then ts[d].chars else 0 end as chars
+    from (select conv_id, ts, unnest(range(0, len(ts) + 1)) as d from rebuilt)
+),
+nodes as (
+    select path, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(chars) as chars,
+        sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+    from members group by path
+),
+linked as (
+    select n.*, p.conv_id as parent_conv_id from nodes n left join nodes p on n.depth > 0 and p.path = n.path[1 : n.depth - 1]
+),
+counted as (
+    select l.*, coalesce(c.n, 0) as n_children
+    from linked l
+    left join (select path[1 : depth - 1] as up, count(*) as n from nodes where depth > 0 group by up) c on c.up = l.path
+),
+above as (
+    select path[1 : unnest(range(0, depth + 1))] as top, (n_children = 0)::bigint as leaf, (n_convs - 1) * chars as saved
+    from counted
+),
+below as (select top, sum(leaf) as n_leaves, sum(saved) as saved_tokens from above group by top)
+select conv_id, depth::bigint as depth, parent_conv_id, n_convs::bigint as n_convs, n_children::bigint as n_children,
+    n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256
+from counted join below on top = path
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": _quality(),
     "op3_exact_dedup": _DEDUP,
     "op4_chat_formatting": _chat(),
     "op9_url_filters": _urls(),
     "op10_ngram_jaccard_join": _NGRAMS,
+    "op11_line_dedup": _lines(),
+    "op12_fill_in_middle": _middles(),
+    "op13_prefix_trie": _trie(),
 }

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import bpe, chat, digests, lm_scoring, mixing, ngram_join, personal, quality, sharding, urls
+from tamarind.llm import (
+    bpe, chat, digests, fill_in_middle, line_dedup, lm_scoring, mixing, ngram_join, personal, quality, sharding, turn_trie,
+    urls,
+)
 from tamarind.sources.tables import read_table
 
 
@@ -52,6 +55,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(read_table(spark, folder, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.document_lines(read_table(spark, folder, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.document_fim(read_table(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_trie.conversation_trie(read_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -65,5 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_url_filters,
         op10_ngram_jaccard_join,
+        op11_line_dedup,
+        op12_fill_in_middle,
+        op13_prefix_trie,
     )
 }
