@@ -717,6 +717,29 @@ ORACLE_SQL: dict[str, str] = {
     "ml_train_test_split": _with(
         "select vec_id, label, case when is_test then 'test' else 'train' end as part from split", "split"
     ),
+    "ml_linear_figures": """
+        with v as (
+            select vec_id, embedding::double[] as x, case when label >= 5 then 1.0::double else -1.0::double end as y,
+                   cast('0x' || substr(md5('3:' || cast(vec_id as varchar)), 1, 8) as bigint) % 10 as fold,
+                   list_dot_product(embedding::double[], [((7 * i) % 11 - 5) / 10.0::double for i in range(64)]) + 0.1::double as margin
+            from embeddings),
+        each as (
+            select loss, held, x, y, margin, y * margin as z, fold <> held as outside
+            from v, (values ('hinge'), ('logistic')) l(loss), range(10) r(held)),
+        sloped as (
+            select *, case when loss = 'hinge' then greatest(0.0::double, 1 - z)
+                           else greatest(0.0::double, -z) + ln(1 + exp(-abs(z))) end as part,
+                   -y * case when loss = 'hinge' then (z < 1)::int::double else 1 / (1 + exp(z)) end as slope
+            from each),
+        figures as (
+            select loss, held, 'loss' as figure, sum(part) filter (outside) as value from sloped group by all
+            union all select loss, held, 'rows', count(*) filter (outside) from sloped group by all
+            union all select loss, held, 'hits', count(*) filter (not outside and (margin > 0) = (y > 0)) from sloped group by all
+            union all select loss, held, 'offset', sum(slope) filter (outside) from sloped group by all
+            union all
+            select loss, held, 'w' || (e - 1), sum(slope * xi) filter (outside)
+            from (select loss, held, outside, slope, unnest(x) as xi, generate_subscripts(x, 1) as e from sloped) group by all)
+        select loss, cast(held as int) as fold, figure, round(coalesce(value, 0)::double, 6) as value from figures""",
     "ml_knn_classify": _with("select id, p, k, label, predicted from predictions", "predictions"),
     "ml_cv_knn": _with("select p, k, cv_accuracy from fold_scores", "fold_scores"),
     "ml_confusion": _with(

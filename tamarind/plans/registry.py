@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from tamarind.functions.text import clean_comment, first_capture, standardize
 from tamarind.functions.vectors import argmax, softmax
-from tamarind.operators import basket, features, missing, models, neighbours, places, rank, scoring, summary
+from tamarind.operators import basket, features, linear, missing, models, neighbours, places, rank, scoring, summary
 from tamarind.plans import customer_value, exploration, launches, loyalty, series, workforce
-from tamarind.session import apply_options, scratch_path
+from tamarind.session import apply_options, freeze, scratch_path
 from tamarind.sources import files, html
 from tamarind.sources.views import Tables
 
@@ -642,10 +642,19 @@ def _binary_vectors(t: Tables) -> DataFrame:
 def _binary_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Training and test rows with standardised features; statistics come from the training rows."""
     train, test = features.train_test_split(_binary_vectors(t), "id")
-    return tuple(
-        models.as_training_rows(features.standardize_vector(part, "vec", "vec", fit_on=train), "id", "vec", "label")
-        for part in (train, test)
-    )
+    scaled = features.standardize_vector(_binary_vectors(t), "vec", "vec", fit_on=train)
+    # A search reads its rows many times; they are standardised once.
+    parts = features.train_test_split(freeze(scaled, "standardised"), "id")
+    return tuple(models.as_training_rows(part, "id", "vec", "label") for part in parts)
+
+
+@query
+def ml_linear_figures(t: Tables) -> DataFrame:
+    """Losses, gradients and hits of a fixed linear model for every held-out fold: one pass of the linear searches."""
+    rows = models.as_training_rows(_binary_vectors(t), "id", "vec", "label")
+    settings = [linear.Setting(loss, 1.0, fold) for loss in (linear.HINGE, linear.LOGISTIC) for fold in range(models.FOLDS)]
+    weights = [((7 * i) % 11 - 5) / 10 for i in range(64)] + [0.1]
+    return linear.figures(rows, weights, settings).withColumn("value", F.round("value", 6))
 
 
 @query
@@ -667,9 +676,10 @@ def ml_cv_tree(t: Tables) -> DataFrame:
 def ml_leaderboard(t: Tables) -> DataFrame:
     """Accuracy of the four tuned models on the test rows, best first."""
     train, test = _binary_rows(t)
+    both = models.tune_linear(train, {linear.LOGISTIC: models.LOGISTIC_C, linear.HINGE: models.SVM_C})
     tuned = [
-        ("Logistic Regression", models.tune_logistic(train)),
-        ("Support Vector Machine", models.tune_linear_svm(train)),
+        ("Logistic Regression", both[linear.LOGISTIC]),
+        ("Support Vector Machine", both[linear.HINGE]),
         ("Decision Tree", models.tune_tree(train)),
     ]
     scored = [(name, models.accuracy(models.predict(model.bestModel, test))) for name, model in tuned]
