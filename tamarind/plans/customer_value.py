@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarind.functions.dates import whole_years
 from tamarind.functions.numbers import ratio_or_null
-from tamarind.operators.rank import bucket_of_rank, rank_measures
+from tamarind.operators.selection import bucket_scores
 
 
 def rfm_metrics(transactions: DataFrame, registered: DataFrame, report_date: dt.date) -> DataFrame:
@@ -43,15 +43,11 @@ def rfm_scores(metrics: DataFrame, buckets: int = 5) -> DataFrame:
 
     Long absence ranks first on recency; small values and missing values rank first on the other two.
     """
-    ranked = rank_measures(metrics, "customer_id", [("recency", True), ("frequency", False), ("monetary", False)])
-    scores = {
-        f"{axis}_score": bucket_of_rank(F.col(f"{axis}_rank"), F.col("total"), buckets)
-        for axis in ("recency", "frequency", "monetary")
-    }
-    return (
-        ranked.withColumns(scores)
-        .withColumn("rfm_score", F.concat(*[F.col(s).cast("string") for s in scores]))
-        .select("customer_id", *scores, "rfm_score")
+    axes = ("recency", "frequency", "monetary")
+    scored = bucket_scores(metrics, "customer_id", [(axis, axis == "recency") for axis in axes], buckets)
+    scores = [f"{axis}_score" for axis in axes]
+    return scored.select(
+        "customer_id", *scores, F.concat(*[F.col(s).cast("string") for s in scores]).alias("rfm_score")
     )
 
 

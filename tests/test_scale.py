@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tamarind.functions.geo import haversine_km
-from tamarind.operators import basket, features, neighbours, places, rank
+from tamarind.operators import basket, features, neighbours, places, rank, selection
 from tamarind.plans import loyalty
 from tamarind.plans.registry import QUERIES
 from tamarind.session import freeze, shared_folder
@@ -61,6 +61,37 @@ def test_bucket_rule(spark, n, buckets):
         assert r.b == next(k for k in range(1, buckets + 1) if k == buckets or r.id * buckets <= k * n)
 
 
+@pytest.mark.parametrize("bins", [16, 1024])
+@pytest.mark.parametrize("shape", ["ties", "heavy", "odd", "wide keys", "few"])
+def test_selected_thresholds_give_the_scores_of_the_ranks(spark, monkeypatch, bins, shape):
+    monkeypatch.setattr(selection, "BINS", bins)
+    rng = np.random.default_rng(len(shape))
+    n = {"few": 3}.get(shape, 700)
+    keys = rng.choice(10**6, n, replace=False) - 500_000
+    if shape == "wide keys":
+        keys = rng.choice(2**62, n, replace=False) * 2 * rng.choice([-1, 1], n) + 1
+    values = {
+        "ties": lambda: [None if u < 0.2 else 7.0 if u < 0.6 else float(rng.integers(0, 9)) for u in rng.random(n)],
+        "heavy": lambda: [float(s * 10.0**e) for s, e in zip(rng.choice([-1, 1], n), rng.uniform(-300, 300, n))],
+        "odd": lambda: [float(rng.choice([np.inf, -np.inf, np.nan, 0.0, -0.0, 1e308, -1e308, 5e-324])) for _ in range(n)],
+        "wide keys": lambda: [1.5] * n,
+        "few": lambda: [None, 2.0, 1.0],
+    }[shape]()
+    df = spark.createDataFrame(list(zip(map(int, keys), values, values)), "k long, up double, down double").repartition(4)
+    measures = [("up", False), ("down", True)]
+    got = {r.k: (r.up_score, r.down_score) for r in selection.bucket_scores(df, "k", measures).collect()}
+    ranked = rank.rank_measures(df, "k", measures)
+    expected = ranked.select("k", *[rank.bucket_of_rank(F.col(f"{m}_rank"), F.col("total")).alias(m) for m, _ in measures])
+    assert got == {r.k: (r.up, r.down) for r in expected.collect()}
+
+
+def test_scores_neither_sort_nor_store_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("v"))
+    plan = plan_of(selection.bucket_scores(df, "k", [("v", False)]))
+    assert "Exchange" not in plan and "Sort" not in plan and "Join" not in plan
+    assert selection.bucket_scores(df.limit(0), "k", [("v", False)]).collect() == []
+
+
 def test_frozen_rows_do_not_change(spark):
     frozen = freeze(spark.range(1000).withColumn("x", F.rand()), "random")
     assert frozen.agg(F.sum("x")).first() == frozen.agg(F.sum("x")).first()
