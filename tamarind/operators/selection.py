@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Bins of one bracket. The driver sees so many rows a pass for every (measure, rank) that is still open.
 BINS = 1024
+#: A bracket with no more rows is read as it is, and its ranks are looked up.
+FEW = 4096
 _NUMBER = 2
 
 
@@ -29,6 +31,7 @@ class Bracket:
     high: float
     first: int
     last: int
+    rows: int
 
     def settled(self) -> bool:
         return self.low == self.high and self.first == self.last
@@ -82,13 +85,17 @@ def order_statistics(
         *[c.alias(f"{what}{i}") for i, pair in enumerate(ordered) for what, c in zip(("kind", "value"), pair)],
     )
 
-    def count(brackets: Sequence[tuple[int, Column, Column, Column]]) -> dict[int, list]:
-        """Per bracket its bins in order. A bracket: number, condition, bin, value."""
+    def spread(brackets: Sequence[tuple[int, Column, Column, Column]]) -> DataFrame:
+        """``key, n, bin, value`` of the rows of each bracket: number, condition, bin, value."""
         hits = [
             F.when(inside, F.struct(F.lit(n).alias("n"), bin_.cast("bigint").alias("bin"), value.alias("value")))
             for n, inside, bin_, value in brackets
         ]
-        rows = picked.select("key", F.inline(F.array(*hits))).filter(F.col("n").isNotNull())
+        return picked.select("key", F.inline(F.array(*hits))).filter(F.col("n").isNotNull())
+
+    def count(brackets: Sequence[tuple[int, Column, Column, Column]]) -> dict[int, list]:
+        """Per bracket its bins in order."""
+        rows = spread(brackets)
         bins = rows.groupBy("n", "bin").agg(
             F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"),
             F.min("key").alias("first"), F.max("key").alias("last"),
@@ -111,22 +118,31 @@ def order_statistics(
             if ranks[target] <= r.rows:
                 break
             ranks[target] -= r.rows
-        new = Bracket(target[0], r.bin if old is None else old.kind, r.low, r.high, r.first, r.last)
+        new = Bracket(target[0], r.bin if old is None else old.kind, r.low, r.high, r.first, r.last, r.rows)
         places[target] = new if old is None or old.low < old.high else replace(new, low=old.low, high=old.high)
 
     for target, rank in list(ranks.items()):
         if rank:
             narrow(target, kinds[target[0]], None)
     while open_ := sorted({b for b in places.values() if not b.settled()}, key=lambda b: (b.measure, b.kind, b.low, b.first)):
-        asked = []
+        few, many = [], []
         for i, b in enumerate(open_):
             kind, value = columns(b.measure)
             inside = (kind == b.kind) & value.between(b.low, b.high) & F.col("key").between(b.first, b.last)
-            asked.append((i, inside, _bin(value, F.col("key"), b), value))
-        found = count(asked)
+            (few if b.rows <= FEW else many).append((i, inside, _bin(value, F.col("key"), b), value))
+        found = count(many) if many else {}
+        rows: dict[int, list] = {}
+        for r in spread(few).collect() if few else []:
+            rows.setdefault(r.n, []).append((r.value, r.key))
         for target, old in list(places.items()):
-            if not old.settled():
-                narrow(target, found[open_.index(old)], old)
+            if old.settled():
+                continue
+            i = open_.index(old)
+            if i in found:
+                narrow(target, found[i], old)
+            else:
+                value, at = sorted(rows[i])[ranks[target] - 1]
+                places[target] = replace(old, low=value, high=value, first=at, last=at, rows=1)
     return n, places
 
 

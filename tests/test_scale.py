@@ -61,10 +61,11 @@ def test_bucket_rule(spark, n, buckets):
         assert r.b == next(k for k in range(1, buckets + 1) if k == buckets or r.id * buckets <= k * n)
 
 
-@pytest.mark.parametrize("bins", [16, 1024])
+@pytest.mark.parametrize("bins, few", [(16, 0), (16, 30), (1024, 4096)])
 @pytest.mark.parametrize("shape", ["ties", "heavy", "odd", "wide keys", "few"])
-def test_selected_thresholds_give_the_scores_of_the_ranks(spark, monkeypatch, bins, shape):
+def test_selected_thresholds_give_the_scores_of_the_ranks(spark, monkeypatch, bins, few, shape):
     monkeypatch.setattr(selection, "BINS", bins)
+    monkeypatch.setattr(selection, "FEW", few)
     rng = np.random.default_rng(len(shape))
     n = {"few": 3}.get(shape, 700)
     keys = rng.choice(10**6, n, replace=False) - 500_000
