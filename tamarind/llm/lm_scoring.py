@@ -3,7 +3,9 @@
 Counting and scoring are one pass each over the texts. Words are counted in each task before they are shuffled. Words that
 make up at least 1 / FREQUENT of all tokens, of which there can be no more than FREQUENT, travel to the scoring tasks; the
 counts of all others are joined by shuffle, so no word is hot there and none is left out. It is the same with the scores of
-grams, a context and its byte each: those that make up at least 1 / CONTEXTS of all places travel, the others are joined.
+grams, a context and its byte each: those that make up at least 1 / CONTEXTS of all places travel. The others of a few
+documents, a slice, are dealt as one sorted array for each part of the grams; where the scores of a part lie, they are
+looked up and added up by document, so that nothing but sums comes back.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +39,12 @@ FOLDS, HELD_OUT = 10, 0
 END = b"\n"
 #: Distinct words or grams a counting task keeps before it hands them on.
 FLUSH = 1_000_000
+#: Places whose grams are brought together at a time, and documents that are read at a time.
+PLACES, READ = 2_000_000, 256
+#: Distinct grams in a part of them, on average; a task that looks up holds the scores of one part.
+PART_GRAMS = 100_000
+#: Sums a task keeps before it hands them on.
+SUMS = 2_000_000
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -46,6 +56,14 @@ def _lowered(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or b"").translate(LOWER_BYTES) for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
+def _read(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts of a few documents at a time, however many a batch has."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            part = batch.slice(at, rows)
+            yield part.column("doc_id").to_pylist(), _lowered(part)
+
+
 def _count(depth: int):
     def rows(words: Counter, merged: list) -> pa.RecordBatch:
         keys, ns, places = _merge(merged)
@@ -66,16 +84,16 @@ def _count(depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, merged = Counter(), []
-        for batch in batches:
+        for ids, texts in _read(batches, READ):
             waiting, size = {True: [], False: []}, {True: 0, False: 0}
-            for d, t in zip(batch.column("doc_id").to_pylist(), _lowered(batch)):
+            for d, t in zip(ids, texts):
                 trained = not held_out(d)
                 if trained:
                     words.update(t.split())
                     words[END] += 1
                 waiting[trained].append(grams(t, depth))
                 size[trained] += len(t)
-                if size[trained] > 8_000_000:
+                if size[trained] > PLACES:
                     merged.append(distinct(waiting[trained], trained))
                     waiting[trained], size[trained] = [], 0
             merged += [distinct(w, trained) for trained, w in waiting.items() if w]
@@ -144,23 +162,81 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return freeze(dealt.mapInArrow(score, "gram bigint, logp double"), "grams")
 
 
-_SCORED = (
+_HEAD = (
     "doc_id bigint, row_key bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-    "n_bytes bigint, word binary, gram bigint, n bigint"
+    "n_bytes bigint, word binary, n bigint"
 )
+#: ``kind`` says what a row is: SCORES of a part (grams in ``x``, scores in ``y``), a SLICE's grams in a part (``x``, with
+#: their counts in ``y``), SUMS by document of a slice (``x``), or a document or word that is handed through.
+_DEALT = "part bigint, kind int, slice bigint, x binary, y binary, place bigint, " + _HEAD
+SCORES, SLICE, SUMS_OF, HEAD, WORD = range(5)
+
+
+def _table(kind: int, size: int, **columns) -> pa.RecordBatch:
+    """Rows of one kind; columns that are not given are null."""
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+    fields = [c.split() for c in _DEALT.split(", ")]
+    columns["kind"] = np.full(size, kind, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[c], kinds[t]) if c in columns else pa.nulls(size, kinds[t]) for c, t in fields],
+        [c for c, _ in fields],
+    )
+
+
+def _part(found: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each gram: a multiplicative hash, so that parts are of one size."""
+    return ((found.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
+
+
+def _runs(part: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by part that keeps the order inside, and (part, start, end) of each in it."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    return order, list(zip(part[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(part)]))
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, all lowest bytes first: sorted ones compress well this way."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
-def _score(shared, depth: int):
+def _slice_bits(depth: int) -> int:
+    """Bits for the place in a slice that a gram of ``depth + 1`` bytes leaves free, 8 at most."""
+    return min(8, 63 - 8 * (depth + 1))
+
+
+def _deal_scores(parts: int):
+    """Sorted grams and their scores, one row for each part."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logps, frequent = shared.value
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), _lowered(batch)
-            heads, rare_keys, rare_words, rare_n = [], [], [], []
-            gram_keys, gram_found, gram_n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for doc_id, text in zip(ids, texts):
+            found, logp = (batch.column(c).to_numpy() for c in ("gram", "logp"))
+            order, runs = _runs(_part(found, parts))
+            found, logp = found[order], logp[order]
+            yield _table(
+                SCORES, len(runs), part=[p for p, _, _ in runs], x=[found[a:b].tobytes() for _, a, b in runs],
+                y=[logp[a:b].tobytes() for _, a, b in runs],
+            )
+
+    return run
+
+
+def _score(shared, depth: int, parts: int):
+    bits = _slice_bits(depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, logps, frequent = shared.value
+        # Numbers of slices are those of a task and its rows, which are the same when it runs again.
+        number = TaskContext.get().partitionId() << 32
+        for ids, texts in _read(batches, 1 << bits):
+            number += 1
+            heads, rare_keys, rare_words, rare_n, rest = [], [], [], [], [np.zeros(0, np.int64)]
+            for place, (doc_id, text) in enumerate(zip(ids, texts)):
                 tokens = text.split()
                 tokens.append(END)
                 key = int.from_bytes(
@@ -176,40 +252,90 @@ def _score(shared, depth: int):
                     else:
                         known += n
                         base += n * value
+                score = 0.0
                 found = grams(text, depth)
-                at = np.searchsorted(keys, found)
-                hit = keys[at] == found
-                score = float(logps[at[hit]].sum())
-                if not hit.all():
-                    others, n = np.unique(found[~hit], return_counts=True)
-                    gram_keys.append(np.full(len(others), key))
-                    gram_found.append(others)
-                    gram_n.append(n)
+                for start in range(0, len(found), PLACES):
+                    some = found[start : start + PLACES]
+                    at = np.searchsorted(keys, some)
+                    hit = keys[at] == some
+                    score += float(logps[at[hit]].sum())
+                    rest.append(some[~hit] << bits | place)
                 heads.append((doc_id, key, held_out(doc_id), len(tokens), known, base, score, len(text) + 1))
-            columns = [list(c) for c in zip(*heads)] if heads else [[] for _ in range(8)]
-            columns[1] += rare_keys
-            gap = len(rare_keys)
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-            arrays = [
-                pa.array(c if i == 1 else c + [None] * gap, kind) for i, (c, kind) in enumerate(zip(columns, kinds))
-            ]
-            arrays.append(pa.array([None] * len(heads) + rare_words, pa.binary()))
-            arrays.append(pa.nulls(len(heads) + gap, pa.int64()))
-            arrays.append(pa.array([None] * len(heads) + rare_n, pa.int64()))
-            yield pa.RecordBatch.from_arrays(arrays, _NAMES)
-            rest = {"row_key": gram_keys, "gram": gram_found, "n": gram_n}
-            size = sum(map(len, gram_found))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(rest[a.name]), a.type) if a.name in rest else pa.nulls(size, a.type)
-                    for a in pa.schema([(name, x.type) for name, x in zip(_NAMES, arrays)])
-                ],
-                _NAMES,
+            names = ("doc_id", "row_key", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes")
+            yield _table(
+                HEAD, len(heads), part=[number % parts] * len(heads), slice=[number] * len(heads), place=range(len(heads)),
+                **dict(zip(names, zip(*heads))),
+            )
+            yield _table(WORD, len(rare_keys), part=[number % parts] * len(rare_keys), row_key=rare_keys, word=rare_words, n=rare_n)
+            others, n = np.unique(np.concatenate(rest), return_counts=True)
+            order, runs = _runs(_part(others >> bits, parts))
+            others, n = others[order], n[order]
+            yield _table(
+                SLICE, len(runs), part=[p for p, _, _ in runs], slice=[number] * len(runs),
+                x=[_planes(others[a:b]) for _, a, b in runs], y=[_planes(n[a:b]) for _, a, b in runs],
             )
 
     return run
 
 
+def _look_up(depth: int):
+    """Rows of a part in the order of their kinds: its scores first, then the slices that ask for them."""
+    bits = _slice_bits(depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        part, keys, logps = None, [], []
+
+        def summed() -> pa.RecordBatch:
+            return _table(SUMS_OF, len(sums), slice=list(sums), x=[v.tobytes() for v in sums.values()])
+
+        for batch in batches:
+            through = pa.compute.greater(batch.column("kind"), SLICE)
+            yield batch.filter(through)
+            asked = batch.filter(pa.compute.invert(through))
+            for here, kind, number, x, y in zip(*(asked.column(c).to_pylist() for c in ("part", "kind", "slice", "x", "y"))):
+                if here != part:
+                    part, keys, logps = here, [], []
+                if kind == SCORES:
+                    keys.append(np.frombuffer(x, np.int64))
+                    logps.append(np.frombuffer(y))
+                    continue
+                if isinstance(keys, list):
+                    keys, logps = np.concatenate(keys), np.concatenate(logps)
+                    order = np.argsort(keys)
+                    keys, logps = keys[order], logps[order]
+                asks, n = _values(x), _values(y)
+                found = logps[np.searchsorted(keys, asks >> bits)] * n
+                if number not in sums:
+                    sums[number] = np.zeros(1 << bits)
+                sums[number] += np.bincount(asks & ((1 << bits) - 1), weights=found, minlength=1 << bits)
+            if len(sums) << bits > SUMS:
+                yield summed()
+                sums = {}
+        yield summed()
+
+    return run
+
+
+def _bring_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a slice in the order of their kinds: sums first, then the documents they belong to."""
+    number, total = None, None
+    for batch in batches:
+        score = batch.column("score").to_numpy(zero_copy_only=False).copy()
+        heads = []
+        for i, (kind, here, x, place) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("kind", "slice", "x", "place")))):
+            if here != number:
+                number, total = here, 0.0
+            if kind == SUMS_OF:
+                total = total + np.frombuffer(x)
+            else:
+                score[i] += total[place] if isinstance(total, np.ndarray) else 0.0
+                heads.append(i)
+        names = [c.split()[0] for c in _HEAD.split(", ")]
+        whole = batch.set_column(batch.schema.get_field_index("score"), "score", pa.array(score))
+        yield whole.take(pa.array(heads, pa.int64())).select(names)
+
+
 def score_documents(
     documents: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS, frequent: int = FREQUENT
 ) -> DataFrame:
@@ -218,7 +344,8 @@ def score_documents(
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``. The score is the log10
     probability that the context tree gives the text and its end; ``bits_per_byte`` is its code length by the bytes of
     the text and the end. A null text counts as empty: one token, the end. Without training documents the base knows no token and all bytes are
-    equally likely. Repeated rows get the same scores each. Columns beside ``doc_id`` and ``text`` are not read.
+    equally likely. Repeated rows get the same scores each. Columns beside ``doc_id`` and ``text`` are not read. The rows are
+    read twice and numbered as they come, so they have to lie in storage or be frozen there.
     """
     spark = documents.sparkSession
     rows = documents.select("doc_id", "text")
@@ -240,10 +367,20 @@ def score_documents(
     # A last key above all grams, so that every search ends at a key.
     keys = np.append(sent.column("gram").to_numpy()[order], np.iinfo(np.int64).max)
     shared = spark.sparkContext.broadcast((keys, sent.column("logp").to_numpy()[order], known))
-    scored = freeze(rows.mapInArrow(_score(shared, depth), _SCORED), "scored")
-    heads = scored.filter("word is null and gram is null").drop("word", "gram", "n")
+    parts = max(1, -(-seen.count() // PART_GRAMS))
+    dealt = scores.mapInArrow(_deal_scores(parts), _DEALT).unionByName(rows.mapInArrow(_score(shared, depth, parts), _DEALT))
+    scored = freeze(
+        dealt.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(_look_up(depth), _DEALT), "scored"
+    )
+    heads = (
+        scored.filter(F.col("kind").isin(SUMS_OF, HEAD))
+        .repartition("slice")
+        .sortWithinPartitions("slice", "kind")
+        .mapInArrow(_bring_back, _HEAD)
+        .drop("word", "n")
+    )
     rare = (
-        scored.filter("word is not null")
+        scored.filter(F.col("kind") == WORD)
         .select("row_key", "word", "n")
         .join(words.filter(F.col("n") < least).withColumnRenamed("n", "c"), "word", "left")
         .groupBy("row_key")
@@ -253,23 +390,14 @@ def score_documents(
         )
     )
     # Rows that agree in id and text share a key, so that their rare words were summed as often as they occur.
-    copies = heads.groupBy("row_key").agg(F.count(F.lit(1)).alias("copies"))
+    copies = scored.filter(F.col("kind") == HEAD).groupBy("row_key").agg(F.count(F.lit(1)).alias("copies"))
     rare = rare.join(copies, "row_key").select(
         "row_key",
         F.call_function("div", F.col("rare_known"), F.col("copies")).alias("rare_known"),
         (F.col("rare_base") / F.col("copies")).alias("rare_base"),
     )
-    rare_grams = (
-        scored.filter("gram is not null")
-        .select("row_key", "gram", "n")
-        .join(scores, "gram")
-        .groupBy("row_key")
-        .agg(F.sum(F.col("n") * F.col("logp")).alias("rare_score"))
-        .join(copies, "row_key")
-        .select("row_key", (F.col("rare_score") / F.col("copies")).alias("rare_score"))
-    )
-    score = F.col("score") + F.coalesce("rare_score", F.lit(0.0))
-    return heads.join(rare, "row_key", "left").join(rare_grams, "row_key", "left").select(
+    score = F.col("score")
+    return heads.join(rare, "row_key", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
