@@ -1,16 +1,14 @@
 """Language-model scores of whole texts: context-tree weighting over bytes, beside a word-unigram base.
 
 Counting and scoring are one pass each over the texts. Words are counted in each task before they are shuffled. Words that
-make up at least 1 / FREQUENT of all tokens, of which there can be no more than FREQUENT, travel to the scoring tasks; the
-counts of all others are joined by shuffle, so no word is hot there and none is left out. It is the same with the scores of
-grams, a context and its byte each: those that make up at least 1 / CONTEXTS of all places travel. The others of a few
-documents, a slice, are dealt as one sorted array for each part of the grams; where the scores of a part lie, they are
-looked up and added up by document, so that nothing but sums comes back.
+make up at least 1 / FREQUENT of all tokens, of which there can be no more than FREQUENT, travel to the scoring tasks. It is
+the same with the scores of grams, a context and its byte each: those that make up at least 1 / CONTEXTS of all places travel.
+The other words and grams of a few documents, a slice, are dealt as one array for each part of all words and grams; where
+the counts and scores of a part lie, they are looked up and added up by document, so that nothing but sums comes back.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import zlib
 from collections import Counter
@@ -45,6 +43,8 @@ PLACES, READ = 2_000_000, 256
 PART_GRAMS = 100_000
 #: Sums a task keeps before it hands them on.
 SUMS = 2_000_000
+#: Most bytes that Spark hands to a task at a time; its rows are arrays here, and a number of rows bounds nothing.
+BATCH_BYTES = 16 << 20
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -163,13 +163,13 @@ def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 _HEAD = (
-    "doc_id bigint, row_key bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-    "n_bytes bigint, word binary, n bigint"
+    "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, n_bytes bigint"
 )
-#: ``kind`` says what a row is: SCORES of a part (grams in ``x``, scores in ``y``), a SLICE's grams in a part (``x``, with
-#: their counts in ``y``), SUMS by document of a slice (``x``), or a document or word that is handed through.
+#: ``kind`` says what a row is: the scores of a part (grams in ``x``, scores in ``y``), its counts (words, counts), a slice's
+#: grams in a part and a slice's words in a part (with places and numbers in ``y``), sums by document of a slice (``x``), or
+#: a document that is handed through.
 _DEALT = "part bigint, kind int, slice bigint, x binary, y binary, place bigint, " + _HEAD
-SCORES, SLICE, SUMS_OF, HEAD, WORD = range(5)
+SCORES, COUNTS, GRAMS, WORDS, SUMS_OF, HEAD = range(6)
 
 
 def _table(kind: int, size: int, **columns) -> pa.RecordBatch:
@@ -226,6 +226,25 @@ def _deal_scores(parts: int):
     return run
 
 
+def _deal_counts(parts: int):
+    """Words and their counts, one row for each part. No word holds a line feed but the end, which is a line feed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[int, tuple[list, list]] = {}
+            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                if word != END:
+                    names, counts = found.setdefault(zlib.crc32(word) % parts, ([], []))
+                    names.append(word)
+                    counts.append(n)
+            yield _table(
+                COUNTS, len(found), part=list(found), x=[END.join(names) for names, _ in found.values()],
+                y=[np.array(counts, np.int64).tobytes() for _, counts in found.values()],
+            )
+
+    return run
+
+
 def _score(shared, depth: int, parts: int):
     bits = _slice_bits(depth)
 
@@ -235,23 +254,22 @@ def _score(shared, depth: int, parts: int):
         number = TaskContext.get().partitionId() << 32
         for ids, texts in _read(batches, 1 << bits):
             number += 1
-            heads, rare_keys, rare_words, rare_n, rest = [], [], [], [], [np.zeros(0, np.int64)]
+            heads, rest = [], [np.zeros(0, np.int64)]
+            words: dict[int, tuple[list, list]] = {}
             for place, (doc_id, text) in enumerate(zip(ids, texts)):
                 tokens = text.split()
                 tokens.append(END)
-                key = int.from_bytes(
-                    hashlib.blake2b(repr(doc_id).encode() + b" " + text, digest_size=8).digest(), "big", signed=True
-                )
                 known, base = 0, 0.0
                 for word, n in Counter(tokens).items():
                     value = frequent.get(word)
-                    if value is None:
-                        rare_keys.append(key)
-                        rare_words.append(word)
-                        rare_n.append(n)
-                    else:
+                    if value is not None:
                         known += n
                         base += n * value
+                    else:
+                        # The end that no training document has is counted as a word that nobody knows.
+                        names, numbers = words.setdefault(zlib.crc32(word) % parts, ([], []))
+                        names.append(word if word != END else b"")
+                        numbers.append(n << bits | place)
                 score = 0.0
                 found = grams(text, depth)
                 for start in range(0, len(found), PLACES):
@@ -260,56 +278,76 @@ def _score(shared, depth: int, parts: int):
                     hit = keys[at] == some
                     score += float(logps[at[hit]].sum())
                     rest.append(some[~hit] << bits | place)
-                heads.append((doc_id, key, held_out(doc_id), len(tokens), known, base, score, len(text) + 1))
-            names = ("doc_id", "row_key", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes")
+                heads.append((doc_id, held_out(doc_id), len(tokens), known, base, score, len(text) + 1))
+            names = ("doc_id", "held_out", "n_tokens", "n_known", "base", "score", "n_bytes")
             yield _table(
                 HEAD, len(heads), part=[number % parts] * len(heads), slice=[number] * len(heads), place=range(len(heads)),
                 **dict(zip(names, zip(*heads))),
             )
-            yield _table(WORD, len(rare_keys), part=[number % parts] * len(rare_keys), row_key=rare_keys, word=rare_words, n=rare_n)
+            yield _table(
+                WORDS, len(words), part=list(words), slice=[number] * len(words),
+                x=[END.join(asked) for asked, _ in words.values()],
+                y=[_planes(np.array(numbers, np.int64)) for _, numbers in words.values()],
+            )
             others, n = np.unique(np.concatenate(rest), return_counts=True)
             order, runs = _runs(_part(others >> bits, parts))
             others, n = others[order], n[order]
             yield _table(
-                SLICE, len(runs), part=[p for p, _, _ in runs], slice=[number] * len(runs),
+                GRAMS, len(runs), part=[p for p, _, _ in runs], slice=[number] * len(runs),
                 x=[_planes(others[a:b]) for _, a, b in runs], y=[_planes(n[a:b]) for _, a, b in runs],
             )
 
     return run
 
 
-def _look_up(depth: int):
-    """Rows of a part in the order of their kinds: its scores first, then the slices that ask for them."""
+def _look_up(depth: int, floor: float):
+    """Rows of a part in the order of their kinds: its scores and counts first, then the slices that ask for them.
+
+    Sums are three numbers a document: score, known tokens, base.
+    """
     bits = _slice_bits(depth)
+    room, unknown = 1 << bits, math.log10(ALPHA) - floor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        part, keys, logps = None, [], []
+        part, keys, logps, counts = None, [], [], {}
 
         def summed() -> pa.RecordBatch:
             return _table(SUMS_OF, len(sums), slice=list(sums), x=[v.tobytes() for v in sums.values()])
 
         for batch in batches:
-            through = pa.compute.greater(batch.column("kind"), SLICE)
+            through = pa.compute.equal(batch.column("kind"), HEAD)
             yield batch.filter(through)
             asked = batch.filter(pa.compute.invert(through))
-            for here, kind, number, x, y in zip(*(asked.column(c).to_pylist() for c in ("part", "kind", "slice", "x", "y"))):
+            rows = zip(asked.column("kind").to_pylist(), asked.column("part").to_pylist(), asked.column("slice").to_pylist())
+            for i, (kind, here, number) in enumerate(rows):
+                x, y = asked.column("x")[i].as_py(), asked.column("y")[i].as_py()
                 if here != part:
-                    part, keys, logps = here, [], []
+                    part, keys, logps, counts = here, [], [], {}
                 if kind == SCORES:
                     keys.append(np.frombuffer(x, np.int64))
                     logps.append(np.frombuffer(y))
                     continue
-                if isinstance(keys, list):
-                    keys, logps = np.concatenate(keys), np.concatenate(logps)
-                    order = np.argsort(keys)
-                    keys, logps = keys[order], logps[order]
-                asks, n = _values(x), _values(y)
-                found = logps[np.searchsorted(keys, asks >> bits)] * n
+                if kind == COUNTS:
+                    counts.update(zip(x.split(END), np.frombuffer(y, np.int64).tolist()))
+                    continue
                 if number not in sums:
-                    sums[number] = np.zeros(1 << bits)
-                sums[number] += np.bincount(asks & ((1 << bits) - 1), weights=found, minlength=1 << bits)
-            if len(sums) << bits > SUMS:
+                    sums[number] = np.zeros((3, room))
+                total = sums[number]
+                if kind == GRAMS:
+                    if isinstance(keys, list):
+                        keys, logps = np.concatenate(keys), np.concatenate(logps)
+                        order = np.argsort(keys)
+                        keys, logps = keys[order], logps[order]
+                    asks = _values(x)
+                    found = logps[np.searchsorted(keys, asks >> bits)] * _values(y)
+                    total[0] += np.bincount(asks & (room - 1), weights=found, minlength=room)
+                    continue
+                numbers, c = _values(y), np.array([counts.get(w, 0) for w in x.split(END)], np.float64)
+                n, place = numbers >> bits, numbers & (room - 1)
+                total[1] += np.bincount(place, weights=n * (c > 0), minlength=room)
+                total[2] += np.bincount(place, weights=n * np.where(c > 0, np.log10(c + ALPHA) - floor, unknown), minlength=room)
+            if 3 * room * len(sums) > SUMS:
                 yield summed()
                 sums = {}
         yield summed()
@@ -319,21 +357,27 @@ def _look_up(depth: int):
 
 def _bring_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a slice in the order of their kinds: sums first, then the documents they belong to."""
+    names = [c.split()[0] for c in _HEAD.split(", ")]
     number, total = None, None
     for batch in batches:
-        score = batch.column("score").to_numpy(zero_copy_only=False).copy()
+        own = {c: batch.column(c).to_numpy(zero_copy_only=False).astype("float64") for c in ("score", "n_known", "base")}
         heads = []
         for i, (kind, here, x, place) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("kind", "slice", "x", "place")))):
             if here != number:
-                number, total = here, 0.0
+                number, total = here, None
             if kind == SUMS_OF:
-                total = total + np.frombuffer(x)
-            else:
-                score[i] += total[place] if isinstance(total, np.ndarray) else 0.0
-                heads.append(i)
-        names = [c.split()[0] for c in _HEAD.split(", ")]
-        whole = batch.set_column(batch.schema.get_field_index("score"), "score", pa.array(score))
-        yield whole.take(pa.array(heads, pa.int64())).select(names)
+                sums = np.frombuffer(x).reshape(3, -1)
+                total = sums if total is None else total + sums
+                continue
+            heads.append(i)
+            if total is not None:
+                for k, c in enumerate(("score", "n_known", "base")):
+                    own[c][i] += total[k, place]
+        for c, values in own.items():
+            field = batch.schema.get_field_index(c)
+            whole = values if c != "n_known" else np.nan_to_num(values).astype("int64")
+            batch = batch.set_column(field, c, pa.array(whole))
+        yield batch.take(pa.array(heads, pa.int64())).select(names)
 
 
 def score_documents(
@@ -348,13 +392,14 @@ def score_documents(
     read twice and numbered as they come, so they have to lie in storage or be frozen there.
     """
     spark = documents.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = documents.select("doc_id", "text")
     counts = count(rows, depth)
     words = counts.filter("word is not null").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + ALPHA * (distinct + 1))
     least = max(1, -(-total // frequent))
-    top = words.filter(F.col("n") >= least).toArrow()
+    top = words.filter((F.col("n") >= least) | (F.col("word") == F.lit(bytes(END)))).toArrow()  # the end always travels
     known = {
         w: math.log10(n + ALPHA) - floor for w, n in zip(top.column("word").to_pylist(), top.column("n").to_pylist())
     }
@@ -367,43 +412,24 @@ def score_documents(
     # A last key above all grams, so that every search ends at a key.
     keys = np.append(sent.column("gram").to_numpy()[order], np.iinfo(np.int64).max)
     shared = spark.sparkContext.broadcast((keys, sent.column("logp").to_numpy()[order], known))
-    parts = max(1, -(-seen.count() // PART_GRAMS))
-    dealt = scores.mapInArrow(_deal_scores(parts), _DEALT).unionByName(rows.mapInArrow(_score(shared, depth, parts), _DEALT))
-    scored = freeze(
-        dealt.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(_look_up(depth), _DEALT), "scored"
-    )
-    heads = (
-        scored.filter(F.col("kind").isin(SUMS_OF, HEAD))
-        .repartition("slice")
-        .sortWithinPartitions("slice", "kind")
-        .mapInArrow(_bring_back, _HEAD)
-        .drop("word", "n")
+    parts = max(1, -(-max(seen.count(), distinct) // PART_GRAMS))
+    dealt = (
+        scores.mapInArrow(_deal_scores(parts), _DEALT)
+        .unionByName(words.filter(F.col("n") < least).mapInArrow(_deal_counts(parts), _DEALT))
+        .unionByName(rows.mapInArrow(_score(shared, depth, parts), _DEALT))
     )
-    rare = (
-        scored.filter(F.col("kind") == WORD)
-        .select("row_key", "word", "n")
-        .join(words.filter(F.col("n") < least).withColumnRenamed("n", "c"), "word", "left")
-        .groupBy("row_key")
-        .agg(
-            F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("rare_known"),
-            F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) - F.lit(floor))).alias("rare_base"),
-        )
-    )
-    # Rows that agree in id and text share a key, so that their rare words were summed as often as they occur.
-    copies = scored.filter(F.col("kind") == HEAD).groupBy("row_key").agg(F.count(F.lit(1)).alias("copies"))
-    rare = rare.join(copies, "row_key").select(
-        "row_key",
-        F.call_function("div", F.col("rare_known"), F.col("copies")).alias("rare_known"),
-        (F.col("rare_base") / F.col("copies")).alias("rare_base"),
+    scored = freeze(
+        dealt.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(_look_up(depth, floor), _DEALT), "scored"
     )
+    heads = scored.repartition("slice").sortWithinPartitions("slice", "kind").mapInArrow(_bring_back, _HEAD)
     score = F.col("score")
-    return heads.join(rare, "row_key", "left").select(
+    return heads.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        "n_known",
         F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        score.alias("score"),
+        F.col("base").alias("base_score"),
+        "score",
         (-score / F.lit(math.log10(2)) / F.col("n_bytes")).alias("bits_per_byte"),
     )
