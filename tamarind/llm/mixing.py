@@ -152,10 +152,8 @@ def document_mix(documents: DataFrame) -> DataFrame:
     return mix(documents)
 
 
-def _with_places(
-    rows: DataFrame, columns: tuple, weights: Mapping[object, float] | None = None, **options
-) -> DataFrame:
-    """``columns`` of all rows as ``_row``, with ``mix_slot`` and ``mix_offset`` (see ``mix``)."""
+def _with_places(rows: DataFrame, weights: Mapping[object, float] | None = None, **options) -> DataFrame:
+    """All rows as ``_row``, with ``mix_slot`` and ``mix_offset`` (see ``mix``)."""
     ids, source = options.get("id_cols", ("doc_id",)), options.get("source_col", "source")
     placed = mix(rows, weights, **options)
     keys = [*ids, source]
@@ -163,7 +161,7 @@ def _with_places(
     left = rows.select(
         *[F.col(c).alias(f"_row_{c}") for c in keys],
         F.row_number().over(Window.partitionBy(*keys).orderBy(hashed)).alias("_nth"),
-        F.struct(*columns).alias("_row"),
+        F.struct(*rows.columns).alias("_row"),
     )
     right = placed.select(
         *[F.col(c).alias(f"_mix_{c}") for c in keys],
@@ -183,16 +181,23 @@ def in_mix_order(rows: DataFrame, weights: Mapping[object, float] | None = None,
     Written out, the files read in the order of their names are the mix. Rows that share id and source take each other's
     places in the order of their hash.
     """
-    met = _with_places(rows, tuple(rows.columns), weights, **options)
+    met = _with_places(rows, weights, **options)
     order = [F.col("mix_slot"), F.col("mix_offset")]
     return met.repartitionByRange(*order).sortWithinPartitions(*order).select("_row.*")
 
 
-def mix_places(rows: DataFrame, weights: Mapping[object, float] | None = None, **options) -> DataFrame:
-    """``doc_id, text_sha256, mix_slot, mix_offset`` of all rows: the places ``in_mix_order`` gives to the same rows.
+def stored_places(rows: DataFrame) -> DataFrame:
+    """``doc_id, text_sha256, mix_place`` of the rows of a stored table: their place in its files, from 0, without a gap.
 
-    They hang on the rows only and not on files or partitions. The digest is that of the text in UTF-8, null as empty.
+    Files count in the order of their names and rows in the order inside them, so for what ``in_mix_order`` has written
+    this is the mix. The digest is that of the text in UTF-8, null as empty. ``rows`` has to be read from Parquet files as
+    it is. What meets in one place is one row a file.
     """
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("text_sha256")
-    met = _with_places(rows, (F.col("doc_id"), digest), weights, **options)
-    return met.select("_row.*", "mix_slot", "mix_offset")
+    found = rows.select(
+        "doc_id", digest, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")
+    )
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.select(F.col("_metadata.file_path").alias("_of")).groupBy("_of").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = sizes.withColumnRenamed("_of", "_file").select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return found.join(F.broadcast(starts), "_file").select("doc_id", "text_sha256", (F.col("_start") + F.col("_at")).alias("mix_place"))

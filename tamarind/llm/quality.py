@@ -22,13 +22,15 @@ STUTTER_WORDS = 10
 #: Separators that make a line a navigation line, if there is one for every NAVIGATION_WORDS words.
 SEPARATORS = "|›»·•"
 NAVIGATION_WORDS = 6
-#: Phrases of boilerplate, as a pattern on the lower-cased line, for lines of at most BOILERPLATE_WORDS words.
+#: Phrases of boilerplate, as a pattern on the lower-cased line, for lines of at most BOILERPLATE_WORDS words. No letter
+#: may touch them: "design in" does not hold "sign in".
 BOILERPLATE = (
-    r"all rights reserved|cookie policy|privacy policy|terms of (?:use|service)|licensed under|enable javascript"
-    r"|click here|sign (?:in|up)|log ?in|subscribe|share (?:this|on)|read more|skip to (?:main )?content|lorem ipsum"
+    r"(?:^|[^\p{L}])(?:all rights reserved|cookie policy|privacy policy|terms of (?:use|service)|licensed under|enable javascript"
+    r"|click here|sign (?:in|up)|log ?in|subscribe|share (?:this|on)|read more|skip to (?:main )?content|lorem ipsum)(?:[^\p{L}]|$)"
 )
 BOILERPLATE_WORDS = 30
-SENTENCE_MARK = r"[.!?…。！？]"
+#: Marks that end a sentence: Latin, CJK, Arabic and Urdu, Armenian, Devanagari, Ethiopic, Myanmar, Khmer, Tibetan.
+SENTENCE_MARK = r"[.!?…。｡！？؟۔։।॥።፧၊။។៕།]"
 
 
 def symbol_count(text: Column) -> Column:
@@ -175,7 +177,10 @@ def clean(documents: DataFrame, text_col: str = "text", length_col: str | None =
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     inside = documents.select(F.struct(*documents.columns).alias("_row"), text.alias("_text"))
-    kept = judge(inside, "_text").filter("kept")
+    judged = judge(inside, "_text")
+    # A filter would be pushed below and judge every row once more; rows that are exploded from their verdict are not.
+    one = F.array(F.struct(F.col("_row"), F.col("cleaned_text")))
+    kept = judged.select(F.inline(F.when(F.col("kept"), one)))
     columns = []
     for name in documents.columns:
         if name == text_col:

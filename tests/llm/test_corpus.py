@@ -17,6 +17,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from tamarind.session import freeze
 from tamarind.llm import bpe, context_tree, digests, lm_scoring, mixing, ngram_join, sharding
 from tamarind.llm.components import components
 from tamarind.llm.signature_tree import link_groups
@@ -407,17 +408,18 @@ def check_places(docs, tokens):
             slots[slot] = s
             done[s] += 1
         slot += 1
-    got = sorted((r.mix_slot, r.mix_offset, source[r.doc_id]) for r in tokens)
-    assert len({p[:2] for p in got}) == len(docs) == len(tokens)
+    got = sorted((r.mix_place, source[r.doc_id]) for r in tokens)
+    assert [p for p, _ in got] == list(range(len(docs)))
     # Up to the first source that runs out the schedules are the same, block for block.
-    ends, left = [], Counter(blocks)
-    for k, s in sorted(slots.items()):
+    expected, left, rows = [], Counter(blocks), Counter(sizes)
+    for _, s in sorted(slots.items()):
+        n = min(rows[s], mixing.BLOCK_ROWS)
+        expected += [s] * n
+        rows[s] -= n
         left[s] -= 1
-        ends += [k] if not left[s] else []
-    assert {(k, s) for k, _, s in got if k <= ends[0]} == {(k, s) for k, s in slots.items() if k <= ends[0]}
-    for k, s in {(k, s) for k, _, s in got}:
-        offsets = [o for at, o, _ in got if at == k]
-        assert offsets == list(range(len(offsets))) and len(offsets) <= mixing.BLOCK_ROWS
+        if not left[s]:
+            break
+    assert [s for _, s in got][: len(expected)] == expected
 
 
 def test_the_mix_reaches_the_result(spark):
@@ -425,12 +427,18 @@ def test_the_mix_reaches_the_result(spark):
 
     rows = [(i, f"Text {i}.", "a" if i % 3 else ("b" if i % 2 else None)) for i in range(1500)] + [(None, "x", "a")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    place = lambda df: sorted((r.mix_slot, r.mix_offset, r.doc_id or -1) for r in corpus_pipeline.byte_bpe(spark, df, "").collect())
-    got = place(docs.repartition(5))
-    assert len(got) == 1501 and got == place(docs.orderBy(F.desc("doc_id")))
-    check_places(docs.collect(), corpus_pipeline.byte_bpe(spark, docs, "").collect())
-    mixed = [r.doc_id or -1 for r in mixing.in_mix_order(docs, power=0.5).collect()]
-    assert [i for *_, i in got] == mixed
+
+    def placed(df):
+        mixed = freeze(corpus_pipeline.source_mixing(spark, df, ""), "mixed")
+        return corpus_pipeline.byte_bpe(spark, mixed, "").collect()
+
+    got, again = placed(docs.repartition(5)), placed(docs.orderBy(F.desc("doc_id")))
+    assert sorted((r.mix_place, r.doc_id or -1) for r in got) == sorted((r.mix_place, r.doc_id or -1) for r in again)
+    check_places(docs.collect(), got)
+    # Without the stage before, the places are those of the table as it was.
+    unmixed = corpus_pipeline.byte_bpe(spark, freeze(docs.coalesce(1), "unmixed"), "").collect()
+    assert sorted(r.mix_place for r in unmixed) == list(range(1501))
+    assert {r.doc_id: r.mix_place for r in unmixed} != {r.doc_id: r.mix_place for r in got}
 
 
 # --- pipeline -----------------------------------------------------------------------------------------------------
@@ -443,7 +451,7 @@ def test_pipeline_against_brute_force(spark, reference_tokens):
     docs, seen = table, []
     for name, stage in corpus_pipeline.STAGES:
         before = docs
-        docs = stage(spark, docs, FOLDER).cache()
+        docs = freeze(stage(spark, docs, FOLDER), "stage")
         rows = docs.collect()
         seen.append(name)
         if name != "byte-level BPE":
@@ -465,5 +473,13 @@ def test_pipeline_against_brute_force(spark, reference_tokens):
             assert all(r.n_tokens == len(library.encode_ordinary(old[r.doc_id])) for r in rows)
     assert len(seen) == 5
     check_places(before.collect(), rows)
-    final = corpus_pipeline.run(spark, FOLDER).collect()
-    assert sorted(final) == sorted(docs.collect())
+    final = sorted(corpus_pipeline.run(spark, FOLDER).collect())
+    assert final == sorted(docs.collect())
+    # Every stage matters: without it the result is another one. (Exact copies are near copies too; their stage only spares
+    # the next one work, and is tested above.)
+    for left_out in (0, 2, 3):
+        some = table
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            if i != left_out:
+                some = freeze(stage(spark, some, FOLDER), "stage")
+        assert sorted(some.collect()) != final, corpus_pipeline.STAGES[left_out][0]

@@ -83,6 +83,27 @@ def test_clean_keeps_other_columns(spark):
     assert quality.clean(df.limit(0)).collect() == []
 
 
+def test_clean_lines_stay(spark):
+    """Words that hold a phrase, and sentences that end in the marks of other scripts."""
+    lines = [
+        "We design in the open and resign in time, as the catalog in the hall and the dialog in the book say.",
+        "A blog in the sun, an unsubscribed reader, more than she had read moreover.",
+        "यह एक साफ वाक्य है जो यहाँ समाप्त होता है।", "یہ ایک صاف جملہ ہے جو یہاں ختم ہوتا ہے۔", "Սա մաքուր նախադասություն է որ ավարտվում է։",
+        "这是一个干净的句子。", "هل هذا سطر نظيف؟",
+    ]
+    judged = spark.createDataFrame([(x,) for x in lines], "x string").select("x", quality.line_fails(F.col("x")).alias("failed"))
+    assert not [r.x for r in judged.collect() if r.failed]
+    bad = ["Please sign in.", "Log in now.", "(c) All rights reserved.", "sign up", "Read more."]
+    judged = spark.createDataFrame([(x,) for x in bad], "x string").select(quality.line_fails(F.col("x")).alias("failed"))
+    assert all(r.failed for r in judged.collect())
+
+
+def test_cleaning_judges_a_row_once(spark):
+    df = spark.createDataFrame([(1, "Some text. " * 20, "en", "a", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = quality.clean(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lorem ipsum") == 1
+
+
 def test_repeated_rows_are_all_judged(spark):
     df = documents(spark, ["a b"]).union(documents(spark, ["a b"]))
     assert len(quality.document_quality(df).collect()) == 2
