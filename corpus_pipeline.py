@@ -43,13 +43,12 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts, with each document's place in the mix.
 
-    Files do not keep an order when they are read again; the places follow from the documents. Deduplication has left one
-    row for an id and a text.
+    The place is that in the files which the stage before has left. Deduplication has left one row for an id and a text.
     """
     tokens = bpe.document_tokens(docs)
-    places = mixing.mix_places(docs, power=MIX_POWER).withColumnRenamed("doc_id", "_id")
+    places = mixing.stored_places(docs).withColumnRenamed("doc_id", "_id")
     met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("decoded_sha256") == F.col("text_sha256"))
-    return tokens.join(places, met).select(*tokens.columns, "mix_slot", "mix_offset")
+    return tokens.join(places, met).select(*tokens.columns, "mix_place")
 
 
 STAGES = [
