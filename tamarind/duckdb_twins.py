@@ -741,6 +741,17 @@ ORACLE_SQL: dict[str, str] = {
             from (select loss, held, outside, slope, unnest(x) as xi, generate_subscripts(x, 1) as e from sloped) group by all)
         select loss, cast(held as int) as fold, figure, round(coalesce(value, 0)::double, 6) as value from figures""",
     "ml_knn_classify": _with("select id, p, k, label, predicted from predictions", "predictions"),
+    "ml_knn_all": _with(
+        """select id, neighbour, label, round(distance, 9) as distance, place from (
+               select q.vec_id as id, t.vec_id as neighbour, t.label, distance,
+                      cast(row_number() over (partition by q.vec_id order by distance, t.vec_id) as int) as place
+               from (select e.vec_id, e.embedding::double[] as x from embeddings e join split s on s.vec_id = e.vec_id where is_test) q,
+                    (select e.vec_id, e.label, e.embedding::double[] as y
+                     from embeddings e join split s on s.vec_id = e.vec_id where not is_test) t,
+                    lateral (select list_distance(x, y) as distance) d)
+           where place <= 5""",
+        "split",
+    ),
     "ml_cv_knn": _with("select p, k, cv_accuracy from fold_scores", "fold_scores"),
     "ml_confusion": _with(
         """select label, predicted, count(*) as n from predictions

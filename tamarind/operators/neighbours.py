@@ -34,7 +34,7 @@ def fitted_rows(train: DataFrame, most: int = MOST_FITTED) -> dict[str, np.ndarr
         "id": np.array([r.id for r in picked], "int64"),
         "label": np.array([r.label for r in picked], "int64"),
         "fold": np.array([r.fold for r in picked], "int64"),
-        "vec": np.array([r.vec for r in picked], "float64").reshape(len(picked), -1),
+        "vec": np.array([r.vec for r in picked], "float64").reshape(len(picked), len(picked[0].vec) if picked else 0),
     }
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tamarind.functions.text import clean_comment, first_capture, standardize
 from tamarind.functions.vectors import argmax, softmax
-from tamarind.operators import basket, features, linear, missing, models, neighbours, places, rank, scoring, summary
+from tamarind.operators import basket, features, linear, missing, models, neighbours, pivots, places, rank, scoring, summary
 from tamarind.plans import customer_value, exploration, launches, loyalty, series, workforce
 from tamarind.session import apply_options, freeze, scratch_path
 from tamarind.sources import files, html
@@ -610,6 +610,13 @@ def ml_knn_classify(t: Tables) -> DataFrame:
     return neighbours.classify(train, test).join(test.select("id", "label"), "id").select("id", "p", "k", "label", "predicted")
 
 
+@query
+def ml_knn_all(t: Tables) -> DataFrame:
+    """The five nearest of all training rows for every test row, by the pivot index."""
+    train, test = features.train_test_split(_vectors(t), "id")
+    return pivots.nearest_of_all(train, test, k=5).withColumn("distance", F.round("distance", 9))
+
+
 @query
 def ml_cv_knn(t: Tables) -> DataFrame:
     train, _ = features.train_test_split(_vectors(t), "id")

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tamarind.functions.geo import haversine_km
-from tamarind.operators import basket, features, neighbours, places, rank, selection
+from tamarind.operators import basket, features, neighbours, pivots, places, rank, selection
 from tamarind.plans import loyalty
 from tamarind.plans.registry import QUERIES
 from tamarind.session import freeze, shared_folder
@@ -171,6 +171,42 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, p):
         assert got[i] == [int(j) for j in np.lexsort((np.arange(len(x)), d))[:10]]
 
 
+@pytest.mark.parametrize("p, pivot_count", [(1, 7), (2, 1), (2, 30)])
+def test_pivot_index_equals_brute_force(spark, monkeypatch, p, pivot_count):
+    """Far and crowded groups, a third of the rows at one point, whole numbers so that distances tie; small blocks."""
+    monkeypatch.setattr(pivots, "BLOCK", 16)
+    monkeypatch.setattr(pivots, "PACK", 5)
+    rng = np.random.default_rng(p)
+    x = np.concatenate([rng.integers(0, 4, (80, 3)), rng.integers(50, 54, (60, 3)), np.full((70, 3), 2)]).astype(float)
+    train = [(i, int(i % 3), [float(c) for c in v]) for i, v in enumerate(x)] + [(999, 1, None)]
+    test = [(1000 + i, [float(c) for c in v]) for i, v in enumerate(rng.integers(0, 55, (40, 3)))] + [(5000, None)]
+    known = spark.createDataFrame(train, "id long, label int, vec array<double>").repartition(3)
+    found = pivots.nearest_of_all(known, spark.createDataFrame(test, "id long, vec array<double>"), 10, p, pivot_count)
+    got: dict = {}
+    for r in sorted(found.collect(), key=lambda r: (r.id, r.place)):
+        got.setdefault(r.id, []).append((r.neighbour, r.label, r.place))
+    assert got.keys() == {i for i, v in test if v}
+    for i, v in test[:-1]:
+        d = np.abs(x - v).sum(axis=1) if p == 1 else np.sqrt(np.square(x - v).sum(axis=1))
+        assert got[i] == [(int(j), int(j % 3), place + 1) for place, j in enumerate(np.lexsort((np.arange(len(x)), d))[:10])]
+
+
+def test_pivot_index_of_few_rows_and_its_plan(spark):
+    train = spark.createDataFrame([(1, 5, [0.0]), (2, 6, [1.0])], "id long, label int, vec array<double>")
+    test = spark.createDataFrame([(9, [0.2])], "id long, vec array<double>")
+    found = pivots.nearest_of_all(train, test)
+    assert [(r.neighbour, r.place) for r in found.orderBy("place").collect()] == [(1, 1), (2, 2)]
+    nothing = pivots.nearest_of_all(train.filter("id < 0"), test)
+    assert nothing.collect() == [] and nothing.dtypes == found.dtypes
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(pivots.nearest_of_all(train, test))
+        assert "Broadcast" not in plan and "Cartesian" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_fewer_training_rows_than_k(spark):
     train = spark.createDataFrame([(1, 5, [0.0]), (2, 6, [1.0])], "id long, label int, vec array<double>")
     test = spark.createDataFrame([(9, [0.2])], "id long, vec array<double>")
