@@ -221,6 +221,11 @@ _MESSY = """
            strftime(employee_work_date, '%m/%d/%Y') as employee_work_date, work_location, job_title, leader_code as KH200,
            'E' || cast(statement_id as varchar) as employee_code
     from employee_statement"""
+_DAY_TEXTS = """
+    select o_orderkey, o_orderpriority,
+           case when o_orderpriority[1] in ('2', '5') then strftime(o_orderdate, '%m/%d/%Y')
+                else strftime(o_orderdate, '%d/%m/%Y') end as day_text
+    from orders"""
 _LINKS = "regexp_extract_all(regexp_extract(html, '(?is)<ul(?:\\s[^>]*)?>(.*?)</ul\\s*>', 1), '(?is)<li(?:\\s[^>]*)?>(.*?)</li\\s*>', 1)"
 
 
@@ -583,6 +588,43 @@ ORACLE_SQL: dict[str, str] = {
     "drop_all_null_columns": _with(_MESSY, "employee_statement"),
     "src_csv_roundtrip": """
         select doc_id, text, lang, source, n_chars, case when lang <> 'en' then source end as source_if_known from documents""",
+    "src_csv_ranges": """
+        select doc_id, text, lang, source, n_chars, case when lang <> 'en' then source end as source_if_known from documents""",
+    "date_formats_inferred": f"""
+        with read as (
+            select o_orderpriority, day_text, cast(try_strptime(day_text, '%m/%d/%Y') as date) as m,
+                   cast(try_strptime(day_text, '%d/%m/%Y') as date) as d
+            from ({_DAY_TEXTS})),
+        counted as (
+            select o_orderpriority, count(day_text) as texts, count(m) as ms, count(d) as ds, coalesce(bool_or(m <> d), false) as apart
+            from read group by 1)
+        select o_orderpriority, case when greatest(ms, ds) = 0 then null when ms >= ds then 'M/d/yyyy' else 'd/M/yyyy' end as format,
+               greatest(ms, ds) as fits, texts - greatest(ms, ds) as contradictions, ms = ds and ms > 0 and apart as ambiguous
+        from counted""",
+    "dates_in_inferred_format": f"""
+        with read as (
+            select *, cast(try_strptime(day_text, '%m/%d/%Y') as date) as m, cast(try_strptime(day_text, '%d/%m/%Y') as date) as d
+            from ({_DAY_TEXTS}))
+        select o_orderkey, o_orderpriority, day_text,
+               cast(case when count(m) over p >= count(d) over p then m else d end as varchar) as day
+        from read window p as (partition by o_orderpriority)""",
+    "geo_zoom_clusters": _with(
+        """select zoom, tile_x, tile_y, count(*) as records, cast(count(*) filter (where class = 1) as bigint) as successes,
+                  case when zoom < 18 then count(distinct (x >> (17 - zoom), y >> (17 - zoom))) end as children
+           from (select *, x >> (18 - zoom) as tile_x, y >> (18 - zoom) as tile_y
+                 from (select class, cast(least(greatest(floor((lon + 180) / 360 * 262144), 0), 262143) as bigint) as x,
+                              cast(least(greatest(floor((1 - ln(tan(phi) + 1 / cos(phi)) / pi()) / 2 * 262144), 0), 262143) as bigint)
+                                  as y
+                       from (select class, lon, radians(greatest(least(lat, 85.05112877980659), -85.05112877980659)) as phi
+                             from launch_points where lat between -90 and 90 and lon between -180 and 180)),
+                      (select cast(unnest(range(19)) as int) as zoom))
+           group by 1, 2, 3""",
+        "launch_points",
+    ),
+    "loyalty_visit_days_merged": _with(
+        "select customer_id, count(distinct order_date) as total_days from sales where order_date is not null group by customer_id",
+        "sales",
+    ),
     "eda_distinct_sites": _with("select distinct launch_site from launch", "launch"),
     "eda_site_prefix": _with(
         """select launch_id, launch_seq, part_key, supp_key, cast(launch_date as varchar) as launch_date, payload_mass, orbit,

@@ -36,6 +36,45 @@ def marker_clusters(
     ).agg(F.count(F.lit(1)).alias("records"), F.avg(outcome).alias("success_rate"))
 
 
+def zoom_clusters(
+    records: DataFrame, lat: str = "lat", lon: str = "lon", outcome: str = "class", deepest: int = 18
+) -> DataFrame:
+    """Marker clusters of a web map at every zoom from 0 to ``deepest``: one row for each tile that holds a record.
+
+    ``zoom, tile_x, tile_y, records, successes, children``; ``children`` are the tiles of the next zoom below (null at the
+    deepest). Tiles are those of the square Mercator map, latitudes beyond its edge lie in the outermost row. Records are
+    counted once, by their tile of the deepest zoom; a parent's place is its child's halved, so all other zooms are sums
+    of these counts and no record is read again. Records without coordinates or off the globe are on no map.
+    """
+    side = float(1 << deepest)
+    edge = 85.05112877980659  # where the Mercator map of the world is square
+    phi = F.radians(F.greatest(F.least(F.col(lat).cast("double"), F.lit(edge)), F.lit(-edge)))
+    x = F.floor((F.col(lon) + 180.0) / 360.0 * side)
+    y = F.floor((1.0 - F.log(F.tan(phi) + 1.0 / F.cos(phi)) / F.pi()) / 2.0 * side)
+
+    def inside(place: Column) -> Column:
+        return F.greatest(F.least(place, F.lit(int(side) - 1)), F.lit(0)).cast("bigint")
+
+    placed = records.filter(F.col(lat).between(-90, 90) & F.col(lon).between(-180, 180))
+    finest = placed.groupBy(inside(x).alias("_x"), inside(y).alias("_y")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.col(outcome) == 1, 1).otherwise(0)).alias("_s")
+    )
+    up = F.lit(deepest) - F.col("zoom")
+    child = F.when(F.col("zoom") < deepest, F.call_function("shiftright", "_x", up - 1) * (1 << deepest)
+                   + F.call_function("shiftright", "_y", up - 1))
+    levels = finest.withColumn("zoom", F.explode(F.sequence(F.lit(0), F.lit(deepest)))).select(
+        "zoom", F.call_function("shiftright", "_x", up).alias("tile_x"), F.call_function("shiftright", "_y", up).alias("tile_y"),
+        child.alias("_child"), "_n", "_s",
+    )
+    # By child first: a tile's children are then rows to count, and the distinct count needs no set.
+    by_child = levels.groupBy("zoom", "tile_x", "tile_y", "_child").agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"))
+    return by_child.groupBy("zoom", "tile_x", "tile_y").agg(
+        F.sum("_n").alias("records"),
+        F.sum("_s").alias("successes"),
+        F.when(F.col("zoom") < deepest, F.count("_child")).alias("children"),
+    )
+
+
 def _landmark(lat: Column, lon: Column, poi: Column) -> Column:
     """Distance first, id second, so that the smallest struct is the nearest landmark and ties go to the lower id."""
     km = haversine_km(lat, lon, poi["poi_lat"], poi["poi_lon"])

@@ -57,6 +57,27 @@ def visit_days(sales: DataFrame) -> DataFrame:
     return sales.groupBy("customer_id").agg(F.count_distinct("order_date").alias("total_days"))
 
 
+def visit_day_partials(sales: DataFrame) -> DataFrame:
+    """Purchase days as bitmaps that can be stored and merged: ``customer_id, month, bucket, days``.
+
+    A day is one bit of a bitmap of 32,768 days, so repeated purchases and repeated rows set the same bit, and partial
+    results that overlap may be merged. One row for each customer and month; months are added by appending.
+    """
+    day = F.unix_date("order_date")
+    return (
+        sales.filter(F.col("order_date").isNotNull())
+        .groupBy("customer_id", F.date_trunc("month", "order_date").cast("date").alias("month"),
+                 F.bitmap_bucket_number(day).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("days"))
+    )
+
+
+def visit_days_of(partials: DataFrame) -> DataFrame:
+    """Distinct purchase days per customer out of stored partial results of any months."""
+    merged = partials.groupBy("customer_id", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("days")).alias("_days"))
+    return merged.groupBy("customer_id").agg(F.sum("_days").alias("total_days"))
+
+
 def _items_of_edge_day(purchases: DataFrame, menu: DataFrame, last: bool) -> DataFrame:
     """Distinct items of each customer's first (last) purchase day, sorted and joined, with that day.
 

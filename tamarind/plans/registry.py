@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamarind.functions.dates import inferred_format, parse_inferred
 from tamarind.functions.text import clean_comment, first_capture, standardize
 from tamarind.functions.vectors import argmax, softmax
 from tamarind.operators import basket, features, linear, missing, models, neighbours, pivots, places, rank, scoring, summary
 from tamarind.plans import customer_value, exploration, launches, loyalty, series, workforce
 from tamarind.session import apply_options, freeze, scratch_path
-from tamarind.sources import files, html
+from tamarind.sources import csv_ranges, files, html
 from tamarind.sources.views import Tables
 
 REPORT_DATE = dt.date(2001, 9, 1)
@@ -86,6 +87,11 @@ def loyalty_visit_days(t: Tables) -> DataFrame:
     return loyalty.visit_days(t.sales())
 
 
+@query
+def loyalty_visit_days_merged(t: Tables) -> DataFrame:
+    return loyalty.visit_days_of(freeze(loyalty.visit_day_partials(t.sales()), "visit_days"))
+
+
 @query
 def loyalty_first_item(t: Tables) -> DataFrame:
     return loyalty.first_item(t.sales(), t.menu())
@@ -422,6 +428,38 @@ def src_csv_roundtrip(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path, table.schema)
 
 
+@query
+def src_csv_ranges(t: Tables) -> DataFrame:
+    table = t.raw("documents").withColumn("source_if_known", F.when(F.col("lang") != "en", F.col("source")))
+    path = scratch_path(t.spark, "csv")
+    files.write_csv(table, path)
+    return csv_ranges.read_csv_ranges(t.spark, path, table.schema)
+
+
+def _dates_as_text(t: Tables) -> DataFrame:
+    """Order dates as the text of five sources, two of them month first."""
+    month_first = F.col("o_orderpriority").substr(1, 1).isin("2", "5")
+    return t.raw("orders", "o_orderkey", "o_orderpriority", "o_orderdate").select(
+        "o_orderkey",
+        "o_orderpriority",
+        F.when(month_first, F.date_format("o_orderdate", "MM/dd/yyyy"))
+        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("day_text"),
+    )
+
+
+DATE_FORMATS = ("M/d/yyyy", "d/M/yyyy", "yyyy-M-d")
+
+
+@query
+def date_formats_inferred(t: Tables) -> DataFrame:
+    return inferred_format(_dates_as_text(t), "day_text", DATE_FORMATS, ["o_orderpriority"])
+
+
+@query
+def dates_in_inferred_format(t: Tables) -> DataFrame:
+    return parse_inferred(_dates_as_text(t), "day_text", DATE_FORMATS, "day", ["o_orderpriority"])
+
+
 # --- exploration --------------------------------------------------------------------------------------------------
 @query
 def eda_distinct_sites(t: Tables) -> DataFrame:
@@ -547,6 +585,11 @@ def geo_marker_clusters(t: Tables) -> DataFrame:
     return places.marker_clusters(t.launch_points())
 
 
+@query
+def geo_zoom_clusters(t: Tables) -> DataFrame:
+    return places.zoom_clusters(t.launch_points())
+
+
 @query
 def geo_nearest_poi(t: Tables) -> DataFrame:
     return places.nearest_landmark(t.site_geo(), t.poi_geo()).withColumn("km", F.round("km", 6))

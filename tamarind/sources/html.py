@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,102 @@ def element_text(html: Column, tag: str) -> Column:
     return plain_text(F.get(F.regexp_extract_all(html, _inner(tag), F.lit(1)), F.lit(0)))
 
 
+#: Tags of one page whose depths are summed in one fold; longer pages are cut into such runs, so that cost stays linear.
+_RUN = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for each row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(steps: Column) -> Column:
+    """Running sums of an array of integers."""
+
+    def sums(run: Column, base: Column) -> Column:
+        folded = F.aggregate(
+            run,
+            F.struct(base.alias("sum"), F.array().cast("array<int>").alias("out")),
+            lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.array_append(a["out"], a["sum"] + x).alias("out")),
+        )
+        return folded["out"]
+
+    def total(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda a, x: a + x)
+
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _RUN).cast("int")),
+        lambda b: F.slice(steps, b * _RUN + 1, F.lit(_RUN)),
+    )
+    based = _let(
+        runs,
+        lambda rs: _let(
+            F.transform(rs, total),
+            lambda totals: F.flatten(
+                F.transform(rs, lambda run, b: sums(run, total(F.slice(totals, F.lit(1), b))))
+            ),
+        ),
+    )
+    return F.when(F.size(steps) > 0, based).otherwise(F.array().cast("array<int>"))
+
+
+def elements(html: Column, tag: str) -> Column:
+    """Content of every ``tag`` element of a text, nested ones too, in the order in which they begin.
+
+    The text is cut before each opening and closing tag. A tag's level is the number of elements open around it; at one
+    level openings and closings take turns, so sorting by (level, place) puts every opening next to its closing. An
+    element that is never closed runs to the end of the text; a closing tag without an opening is ignored. Null gives
+    null, a text without the tag an empty array.
+    """
+    pieces = F.split(html, rf"(?i)(?=<{tag}(?:\s[^>]*)?>)|(?=</{tag}\s*>)")
+    opening, closing = rf"(?is)^<{tag}(?:\s[^>]*)?>", rf"(?is)^</{tag}\s*>"
+
+    def contents(parts: Column) -> Column:
+        steps = F.transform(
+            parts, lambda p: F.when(p.rlike(opening), 1).when(p.rlike(closing), -1).otherwise(0)
+        )
+
+        def pairs(step: Column) -> Column:
+            def tags(depth: Column) -> Column:
+                # An opening stands at the depth after it, a closing at the depth before it.
+                placed = F.zip_with(
+                    step, F.transform(depth, lambda d, i: F.struct(d.alias("d"), i.alias("i"))),
+                    lambda s, x: F.struct(
+                        F.when(s == 1, x["d"]).otherwise(x["d"] + 1).alias("level"), x["i"].alias("at"), s.alias("step")
+                    ),
+                )
+                return F.array_sort(F.filter(placed, lambda t: t["step"] != 0))
+
+            return _let(
+                _let(_running(step), tags),
+                lambda ts: F.array_sort(
+                    F.filter(
+                        F.transform(
+                            ts,
+                            lambda t, j: F.struct(
+                                t["at"].alias("at"),
+                                F.when(
+                                    (F.get(ts, j + 1)["level"] == t["level"]) & (F.get(ts, j + 1)["step"] == -1),
+                                    F.get(ts, j + 1)["at"],
+                                ).otherwise(F.size(parts)).alias("to"),
+                                t["step"].alias("step"),
+                            ),
+                        ),
+                        lambda e: e["step"] == 1,
+                    )
+                ),
+            )
+
+        return F.transform(
+            _let(steps, pairs),
+            lambda e: F.regexp_replace(
+                F.array_join(F.slice(parts, e["at"] + 1, e["to"] - e["at"]), ""), F.lit(opening), F.lit("")
+            ),
+        )
+
+    return F.when(html.isNotNull(), _let(pieces, contents))
+
+
 def table_rows(
     pages: DataFrame,
     html: str = "html",
@@ -65,12 +163,14 @@ def table_rows(
 ) -> DataFrame:
     """Rows of the container at zero-based ``position`` of every page, one output column per named cell.
 
-    A page with fewer containers gives no rows. ``row_no`` keeps the order inside a page.
+    Containers, rows and cells are counted in the order in which they begin, nested ones too, and each goes on to its own
+    closing tag: a table inside a cell is part of that cell, and its rows are rows as well. Scripts, styles and comments
+    hold no elements. A page with fewer containers gives no rows. ``row_no`` keeps the order inside a page.
     """
-    body = F.get(F.regexp_extract_all(F.col(html), _inner(container), F.lit(1)), F.lit(position))
+    body = F.get(elements(F.regexp_replace(F.col(html), _SILENT, ""), container), F.lit(position))
     keep = [c for c in pages.columns if c != html]
-    rows = pages.select(*keep, F.posexplode(F.regexp_extract_all(body, _inner(row), F.lit(1))).alias("row_no", "row_html"))
-    found = F.regexp_extract_all(F.col("row_html"), _inner(cell), F.lit(1))
-    return rows.select(
-        *keep, "row_no", *[plain_text(F.get(found, F.lit(i))).alias(name) for i, name in enumerate(cells)]
+    rows = pages.select(*keep, F.posexplode(elements(body, row)).alias("row_no", "row_html"))
+    found = rows.select(*keep, "row_no", elements(F.col("row_html"), cell).alias("_cells"))
+    return found.select(
+        *keep, "row_no", *[plain_text(F.get("_cells", F.lit(i))).alias(name) for i, name in enumerate(cells)]
     )
