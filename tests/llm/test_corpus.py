@@ -31,6 +31,10 @@ def documents(spark, texts):
     return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], DOCS)
 
 
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def index(spark):
     return digests.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", 4)
 
@@ -57,6 +61,49 @@ def test_dedup_over_batches(spark):
     assert plan.executedPlan().toString().count("hashpartitioning") == 1  # the index itself is not moved
 
 
+def test_two_batches_through_one_index(spark, monkeypatch):
+    monkeypatch.setattr(digests, "HOT_SHARE", 10)
+    rng = random.Random(5)
+    texts = [rng.choice(["hot", "hot", None, "", f"t{rng.randrange(60)}", f"a \t{rng.randrange(9)}"]) for _ in range(400)]
+    rows = [(i - 150, t) for i, t in enumerate(texts)] + [(None, "hot"), (None, "only null"), (3, texts[153]), (-150, "late")]
+    df = spark.createDataFrame(rows, DOCS)
+    normal = lambda t: re.sub(r"[ \t]+", " ", t or "")
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(normal(t), []).append(i)
+    keep = {t: min((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    want = sorted(
+        ((i if i is not None else -999, keep[normal(t)], len(groups[normal(t)]), sha(normal(t))) for i, t in rows),
+        key=repr,
+    )
+    before = {t.name for t in spark.catalog.listTables()}
+    out = digests.document_duplicates(spark, df).collect()
+    got = [(r.doc_id if r.doc_id is not None else -999, r.keep_id, r.group_size, r.text_sha256) for r in out]
+    assert sorted(got, key=repr) == want
+    assert sorted(r.text_sha256 for r in out if r.kept) == sorted(sha(t) for t in groups)
+    assert all(r.doc_id == r.keep_id for r in out if r.kept)
+    assert {t.name for t in spark.catalog.listTables()} == before  # the index is gone
+    assert digests.document_duplicates(spark, df.limit(0)).collect() == []
+
+
+def test_the_second_batch_meets_the_index(spark, monkeypatch):
+    known, plans = index(spark), []
+    append = digests.DigestIndex.append
+
+    def seen(self, classes):
+        if self.exists():
+            fresh = classes.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+            plans.append((fresh._jdf.queryExecution().executedPlan().toString(), fresh.count(), classes.count()))
+        append(self, classes)
+
+    monkeypatch.setattr(digests.DigestIndex, "append", seen)
+    df = documents(spark, [f"t{i % 40}" for i in range(60)])
+    digests.deduplicate_batches([df.filter("doc_id < 30"), df.filter("doc_id >= 30")], known)
+    (plan, fresh, classes), = plans
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and (fresh, classes) == (10, 30)
+    assert known.read().count() == 40
+
+
 def test_without_duplicates_keeps_columns(spark):
     df = spark.createDataFrame(
         [(1, "a b", 1, "k"), (1, "a b", 1, "k"), (2, "a  b", 2, "k"), (None, "c", 3, None)],
