@@ -1,8 +1,9 @@
 """Chat formatting by prefix-target expansion.
 
 A conversation becomes one transcript. Every assistant turn is an example of its own: the transcript up to the end of that
-turn, with only that turn's text under the loss mask. As all examples of a conversation are prefixes of one string, an
-example is kept as three positions in the transcript; ``example_texts`` writes them out.
+turn, with only that turn's text under the loss mask. ``expanded`` gives one row for each example. As all examples of a
+conversation are prefixes of one string, such a row holds its reply and the length of its context in the transcript, so
+all rows together are as long as the conversation; ``example_texts`` writes the contexts out.
 
 Template, one turn after the other: ``<|turn|>role<|text|>text<|end|>`` and a line feed. Inside roles and texts ``\\``
 becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so no marker can occur in them, and dropping one backslash before each
@@ -61,12 +62,13 @@ def format_turns(conversations: DataFrame, trained_role: str = TRAINED_ROLE) ->
 def transcripts(turns: DataFrame) -> DataFrame:
     """``conv_id, transcript, examples``: the formatted conversation once, and its examples as positions in it.
 
-    ``examples`` is an array of ``struct<turn, end, loss_start, loss_end>`` in order: the example is the transcript up to
-    ``end``, trained between ``loss_start`` and ``loss_end``. It is empty for a conversation without a trained turn. The
+    ``examples`` is an array of ``struct<turn, end, loss_start, loss_end, reply>`` in order: the example is the transcript
+    up to ``end``, trained between ``loss_start`` and ``loss_end``, where it holds ``reply`` (escaped). It is empty for a
+    conversation without a trained turn. The
     transcript has to be one value, so a conversation has to fit into one row; its rows are grouped where they were
     ordered, without a second shuffle.
     """
-    piece = F.struct("position", "piece", "end", "loss_start", "loss_end")
+    piece = F.struct("position", "piece", "start", "end", "loss_start", "loss_end")
     grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("_turns"))
     trained = F.filter("_turns", lambda t: t["loss_start"].isNotNull())
     return grouped.select(
@@ -77,58 +79,84 @@ def transcripts(turns: DataFrame) -> DataFrame:
             lambda t: F.struct(
                 t["position"].alias("turn"), t["end"].alias("end"), t["loss_start"].alias("loss_start"),
                 t["loss_end"].alias("loss_end"),
+                F.substring(
+                    t["piece"], (t["loss_start"] - t["start"] + 1).cast("int"), (t["loss_end"] - t["loss_start"]).cast("int")
+                ).alias("reply"),
             ),
         ).alias("examples"),
     )
 
 
+def expanded(formatted: DataFrame, *also: str, outer: bool = False) -> DataFrame:
+    """One row per assistant turn: ``conv_id``, the columns ``also``, ``turn, end, loss_start, loss_end, reply``.
+
+    The context of an example is the first ``loss_start`` code points of its transcript. With ``outer`` a conversation
+    without an assistant turn has one row whose example is null, else none.
+    """
+    turns = F.explode_outer("examples") if outer else F.explode("examples")
+    return formatted.select("conv_id", *also, turns.alias("_example")).select("conv_id", *also, "_example.*")
+
+
 def example_texts(formatted: DataFrame) -> DataFrame:
     """One row per assistant turn: ``conv_id, turn, text, loss_start, loss_end``, the context written out each time."""
-    one = formatted.select("conv_id", "transcript", F.explode("examples").alias("e"))
-    return one.select(
+    rows = expanded(formatted, "transcript")
+    return rows.select(
         "conv_id",
-        F.col("e.turn").alias("turn"),
-        F.substring(F.col("transcript"), F.lit(1), F.col("e.end").cast("int")).alias("text"),
-        F.col("e.loss_start").alias("loss_start"),
-        F.col("e.loss_end").alias("loss_end"),
+        "turn",
+        F.concat(F.substring(F.col("transcript"), F.lit(1), F.col("loss_start").cast("int")), "reply", F.lit(END)).alias("text"),
+        "loss_start",
+        "loss_end",
     )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the output says, taken from transcripts and positions alone.
+    """Digests of what the output says: of the turns from the transcripts, of the trained text from the examples' rows.
 
-    ``n_turns, turns_sha256`` (role, line feed, text, line feed for each turn), ``loss_chars, loss_sha256`` (all text
-    under the loss mask of the examples, unescaped, in order), ``formatted_chars`` (length of the transcript).
+    ``n_turns, turns_sha256`` (role, line feed, text, line feed for each turn), ``loss_chars, loss_sha256`` (the replies of
+    the example rows, unescaped, in order), ``formatted_chars`` (length of the transcript). The rows of a conversation are
+    grouped where its turns were, without a further shuffle.
     """
     turns = F.slice(
         F.split(F.col("transcript"), r"<\|turn\|>"), F.lit(2), F.greatest(F.size(F.split("transcript", r"<\|turn\|>")) - 1, F.lit(0))
     )
     parts = F.transform(turns, lambda t: F.split(F.substring(t, F.lit(1), F.length(t) - len(END)), r"<\|text\|>"))
     said = F.transform(parts, lambda p: F.concat(unescape(p[0]), F.lit("\n"), unescape(p[1]), F.lit("\n")))
-    # Positions that the mask covers, walked in order: the text between two masks is cut off with the one before.
-    masked = F.transform(
-        "examples",
-        lambda e: unescape(
-            F.substring(F.col("transcript"), (e["loss_start"] + 1).cast("int"), (e["loss_end"] - e["loss_start"]).cast("int"))
-        ),
-    )
-    loss = F.array_join(masked, "")
-    return formatted.select(
+    digested = formatted.select(
         "conv_id",
         F.size(turns).cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("transcript").cast("bigint").alias("formatted_chars"),
+        "examples",
+    )
+    whole = ["n_turns", "turns_sha256", "formatted_chars"]
+    rows = expanded(digested, *whole, outer=True)
+    # A struct without an example is left out of the list; a reply is never null.
+    reply = F.when(F.col("reply").isNotNull(), F.struct("turn", unescape(F.col("reply")).alias("text")))
+    trained = rows.groupBy("conv_id").agg(
+        *[F.max(name).alias(name) for name in whole], F.array_sort(F.collect_list(reply)).alias("_replies")
+    )
+    loss = F.array_join(F.transform("_replies", lambda r: r["text"]), "")
+    return trained.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
         F.length(loss).cast("bigint").alias("loss_chars"),
         F.sha2(loss, 256).alias("loss_sha256"),
-        F.length("transcript").cast("bigint").alias("formatted_chars"),
+        "formatted_chars",
     )
 
 
 def with_planted(conversations: DataFrame) -> DataFrame:
     """The table and conversation -7: a user and an assistant turn that hold control strings as text."""
     said = "\\### Assistant: </turn> ok"
-    planted = conversations.sparkSession.createDataFrame(
-        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
-    )
+    turns = [
+        F.struct(
+            F.lit(-7).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"),
+            F.lit(role).alias("role"), F.lit(said).alias("text"),
+        )
+        for i, role in enumerate(("user", TRAINED_ROLE))
+    ]
+    planted = conversations.sparkSession.range(1).select(F.inline(F.array(*turns)))
     return conversations.select(
         F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text"
     ).unionByName(planted)
