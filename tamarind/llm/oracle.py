@@ -101,6 +101,7 @@ from whole
 
 def _urls() -> str:
     listed = " or ".join(f"contains(host, '{w}')" for w in urls.LISTED_WORDS)
+    listed = f"({listed}) and contains('{urls.REPORTED_DIGITS}', sha256(page_id::varchar)[1])"
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
     return rf"""
 with cut as (
@@ -186,7 +187,10 @@ def _middles() -> str:
     return rf"""
 with texts as (
     select doc_id, coalesce(text, '') as text, sha256('{f.SEED}:' || doc_id) as h,
-        regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') as units
+        regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') as units
     from documents
 ),
 drawn as (select *, len(units) as n, {draws} from texts),

@@ -26,8 +26,12 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Words in a host name that put its pages on the list of the registered query.
+#: The list of the registered query: pages reported on hosts with one of these words. Half of such pages are reported,
+#: those whose page_id has a digest that begins with one of these digits.
 LISTED_WORDS = ("casino", "bets", "pills")
+REPORTED_DIGITS = "01234567"
+#: A URL held by at least 1/HOT_SHARE of the rows that the filter lets through is hot; there are at most HOT_SHARE of them.
+HOT_SHARE = 10_000
 
 def split_url(url: Column) -> tuple[Column, Column]:
     """(host, path): host after the first ``://`` up to ``/ ? #``, A-Z lower-cased; path from there up to ``? #``.
@@ -86,8 +90,9 @@ def bloom_filter(listed: DataFrame, url: str = "url", blocks: int = BLOCKS) -> D
 def in_list(rows: DataFrame, listed: DataFrame, url: str, *, blocks: int = BLOCKS, name: str = "listed") -> DataFrame:
     """Add ``name``: whether the row's ``url`` is one of ``listed.url``. Exact; nulls are never listed.
 
-    Rows that the filter rules out never leave their task. The rest meets the distinct list in a join whose size Spark
-    knows; a URL that many rows share is reduced to one row before the join.
+    Rows that the filter rules out never leave their task. Of the rest every URL is counted, so that one row for each URL
+    meets the distinct list. The answer goes back by broadcast for hot URLs, few by arithmetic, and by a join for the
+    others, none of which many rows share.
     """
     filter_rows = F.broadcast(bloom_filter(listed, "url", blocks))
     tested = rows.withColumn("_block", _block(F.col(url), blocks)).join(
@@ -100,13 +105,20 @@ def in_list(rows: DataFrame, listed: DataFrame, url: str, *, blocks: int = BLOCK
         "_block", *[f"w{i}" for i in range(WORDS)]
     )
     possible = tested.filter("_hit").drop("_hit")
-    known = listed.select(F.col("url").alias("_listed_url")).filter("_listed_url is not null").distinct()
-    confirmed = possible.join(known, F.col(url) == F.col("_listed_url"), "left")
+    known = listed.filter(F.col("url").isNotNull()).select(F.col("url").alias("_url"), F.lit(True).alias("_known")).distinct()
+    counted = possible.groupBy(F.col(url).alias("_url")).agg(F.count(F.lit(1)).alias("_n"))
+    answers = counted.join(known, "_url", "left").select("_url", "_n", F.col("_known").isNotNull().alias("_in"))
+    hot = F.col("_n") * HOT_SHARE >= counted.agg(F.sum("_n")).scalar()
+    few = F.broadcast(answers.filter(hot).select("_url", F.col("_in").alias("_hot_in")))
+    met = possible.join(few, F.col(url) == F.col("_url"), "left").drop("_url")
+    rest = answers.filter(~hot & F.col("_in")).select("_url", F.lit(True).alias("_in"))
+    confirmed = met.filter("_hot_in is null").join(rest, F.col(url) == F.col("_url"), "left")
     return (
         tested.filter(~F.col("_hit"))
         .drop("_hit")
         .withColumn(name, F.lit(False))
-        .unionByName(confirmed.withColumn(name, F.col("_listed_url").isNotNull()).drop("_listed_url"))
+        .unionByName(met.filter("_hot_in is not null").withColumn(name, F.col("_hot_in")).drop("_hot_in"))
+        .unionByName(confirmed.withColumn(name, F.col("_in").isNotNull()).drop("_hot_in", "_url", "_in"))
     )
 
 
@@ -117,11 +129,16 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def listed_urls(pages: DataFrame, words: Sequence[str] = LISTED_WORDS) -> DataFrame:
-    """``url``: canonical URLs of pages whose host name holds one of the words; the list of the registered query."""
+    """``url``: canonical URLs of the reported pages of hosts whose name holds one of the words.
+
+    Which pages are reported hangs on the digest of the page_id, so a host has listed and unlisted pages, and an unlisted
+    page is blocked where its URL has the canonical form of a reported one. Pages without an id are not reported.
+    """
     found = F.lit(False)
     for word in words:
         found |= F.contains(F.col("host"), F.lit(word))
-    return parsed(pages).filter(found).select(F.col("canonical").alias("url"))
+    reported = F.substring(F.sha2(F.col("page_id").cast("string"), 256), 1, 1).isin(*REPORTED_DIGITS)
+    return parsed(pages).filter(found & reported).select(F.col("canonical").alias("url"))
 
 
 def judge_pages(

@@ -224,3 +224,34 @@ def test_list_membership_is_exact(spark):
     for blocks in (1, 64):
         out = urls.in_list(rows, listed, "u", blocks=blocks).collect()
         assert len(out) == 3001 and all(r.listed == (r.id >= 0 and r.id % 3 == 0) for r in out)
+
+
+def test_one_row_for_each_assistant_turn(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"<|turn|>{i}\\") for i in range(40)] + [(2, 0, "user", "alone")]
+    formatted = chat.transcripts(chat.format_turns(chat_rows(spark, rows)))
+    transcripts = {r.conv_id: r.transcript for r in formatted.collect()}
+    out = chat.expanded(formatted).orderBy("turn").collect()
+    assert [(r.conv_id, r.turn) for r in out] == [(1, i + 1) for i in range(1, 40, 2)]
+    assert all(transcripts[1][r.loss_start : r.loss_end] == r.reply for r in out)
+    assert [r.turn for r in chat.expanded(formatted, outer=True).collect() if r.conv_id == 2] == [None]
+    plan = chat.read_back(formatted)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Python" not in chat.with_planted(chat_rows(spark, rows))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_listed_and_unlisted_pages_of_one_host(spark):
+    reported = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[0] in urls.REPORTED_DIGITS
+    # Three ids share a page, each with another spelling; the host is on no rule.
+    spellings = ("http://www.casino.net:80/{}/index.html", "https://casino.net/{}.htm?x=1", "http://m.Casino.net/{}/#top")
+    pages = [(i, spellings[i % 3].format(i // 3)) for i in range(300)] + [(1000 + i, f"http://clean.net/{i}") for i in range(50)]
+    pages += [(5000 + i, "http://casino.net/hot") for i in range(600)] + [(None, "http://casino.net/no-id")]
+    blocked = {i // 3 for i in range(300) if reported(i)}
+    df = spark.createDataFrame(pages, "page_id bigint, url string")
+    for blocks in (1, urls.BLOCKS):
+        out = urls.judge_pages(df, urls.listed_urls(df), blocks=blocks).collect()
+        assert len(out) == len(pages)
+        verdicts = {r.page_id: r.verdict == "block" for r in out}
+        assert {i: verdicts[i] for i in range(300)} == {i: i // 3 in blocked for i in range(300)}
+        assert not verdicts[None] and not any(verdicts[1000 + i] for i in range(50))
+        assert all(verdicts[5000 + i] for i in range(600))
+    assert 0 < len(blocked) < 100
