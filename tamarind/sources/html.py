@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions.text import strip
+from tamarind.functions.vectors import once, running_sums
 
 # Character entities that are decoded; the ampersand has to come last.
 ENTITIES = (
@@ -56,45 +55,6 @@ def element_text(html: Column, tag: str) -> Column:
     return plain_text(F.get(F.regexp_extract_all(html, _inner(tag), F.lit(1)), F.lit(0)))
 
 
-#: Tags of one page whose depths are summed in one fold; longer pages are cut into such runs, so that cost stays linear.
-_RUN = 256
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once for each row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _running(steps: Column) -> Column:
-    """Running sums of an array of integers."""
-
-    def sums(run: Column, base: Column) -> Column:
-        folded = F.aggregate(
-            run,
-            F.struct(base.alias("sum"), F.array().cast("array<int>").alias("out")),
-            lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.array_append(a["out"], a["sum"] + x).alias("out")),
-        )
-        return folded["out"]
-
-    def total(run: Column) -> Column:
-        return F.aggregate(run, F.lit(0), lambda a, x: a + x)
-
-    runs = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _RUN).cast("int")),
-        lambda b: F.slice(steps, b * _RUN + 1, F.lit(_RUN)),
-    )
-    based = _let(
-        runs,
-        lambda rs: _let(
-            F.transform(rs, total),
-            lambda totals: F.flatten(
-                F.transform(rs, lambda run, b: sums(run, total(F.slice(totals, F.lit(1), b))))
-            ),
-        ),
-    )
-    return F.when(F.size(steps) > 0, based).otherwise(F.array().cast("array<int>"))
-
-
 def elements(html: Column, tag: str) -> Column:
     """Content of every ``tag`` element of a text, nested ones too, in the order in which they begin.
 
@@ -122,8 +82,8 @@ def elements(html: Column, tag: str) -> Column:
                 )
                 return F.array_sort(F.filter(placed, lambda t: t["step"] != 0))
 
-            return _let(
-                _let(_running(step), tags),
+            return once(
+                once(running_sums(step), tags),
                 lambda ts: F.array_sort(
                     F.filter(
                         F.transform(
@@ -143,13 +103,13 @@ def elements(html: Column, tag: str) -> Column:
             )
 
         return F.transform(
-            _let(steps, pairs),
+            once(steps, pairs),
             lambda e: F.regexp_replace(
                 F.array_join(F.slice(parts, e["at"] + 1, e["to"] - e["at"]), ""), F.lit(opening), F.lit("")
             ),
         )
 
-    return F.when(html.isNotNull(), _let(pieces, contents))
+    return F.when(html.isNotNull(), once(pieces, contents))
 
 
 def table_rows(
