@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarind.functions.vectors import running_sums
 from tamarind.llm.texts import let
 
 _LOCAL = r"A-Za-z0-9._%+\-"
@@ -20,6 +21,8 @@ _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Code points before and after a span in which context words count.
 NEARBY = 40
+#: No pattern matches fewer than four code points, so that many matches on one side fill the reach.
+NEIGHBOURS = NEARBY // 4
 #: Score from which a proposed span counts.
 LEAST_SCORE = 0.5
 
@@ -150,22 +153,35 @@ def find(text: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind, as an array of ``struct<kind, start, end, score>``."""
 
     def placed(pieces: Column, hits: Column) -> Column:
-        start = F.struct(
-            F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("found")
+        every = F.sequence(F.lit(0), F.size(hits) - 1)
+        ends = running_sums(F.transform(every, lambda i: F.length(pieces[i]) + F.length(hits[i])))
+        return F.zip_with(
+            hits,
+            F.transform(ends, lambda end, i: F.struct(end.alias("end"), i.alias("i"))),
+            lambda hit, x: F.struct(
+                (x["end"] - F.length(hit)).alias("start"), x["end"].alias("end"), hit.alias("hit"), x["i"].alias("i")
+            ),
         )
 
-        def step(acc: Column, i: Column) -> Column:
-            begin = acc["at"] + F.length(pieces[i])
-            end = begin + F.length(hits[i])
-            span = F.struct(begin.alias("start"), end.alias("end"), hits[i].alias("hit"))
-            return F.struct(end.alias("at"), F.concat(acc["found"], F.array(span)).alias("found"))
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), start, step, lambda acc: acc["found"])
-
-    def scored(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - NEARBY, F.lit(0)) + 1, F.least(s["start"], F.lit(NEARBY)))
-        after = F.substring(text, s["end"] + 1, F.lit(NEARBY))
-        near = F.rlike(F.lower(F.concat(before, F.lit(" "), after)), F.lit(kind.context))
+    def scored(parts: Column, s: Column) -> Column:
+        # What lies within reach is put together from the pieces and hits next to the span, each cut to that reach.
+        i, last = s["i"], F.size(parts) - 1
+        before = F.array_join(
+            F.transform(
+                F.sequence(F.greatest(i - NEIGHBOURS, F.lit(0)), i),
+                lambda j: F.when(j < i, F.concat(parts[j]["tail"], parts[j]["hit_tail"])).otherwise(parts[j]["tail"]),
+            ),
+            "",
+        )
+        after = F.array_join(
+            F.transform(
+                F.sequence(i + 1, F.least(i + 1 + NEIGHBOURS, last)),
+                lambda j: F.concat(parts[j]["head"], parts[j]["hit_head"]),
+            ),
+            "",
+        )
+        around = F.concat(F.right(before, F.lit(NEARBY)), F.lit(" "), F.left(after, F.lit(NEARBY)))
+        near = F.rlike(F.lower(around), F.lit(kind.context))
         return F.struct(
             F.lit(kind.name).alias("kind"),
             s["start"].alias("start"),
@@ -173,9 +189,30 @@ def find(text: Column, kind: Kind) -> Column:
             F.least(F.lit(kind.score) + F.when(near, 0.3).otherwise(0.0), F.lit(1.0)).alias("score"),
         )
 
+    def cut(pieces: Column, hits: Column) -> Column:
+        """Each piece and the hit after it (the last piece has none), by their ends."""
+        near = F.lit(NEARBY)
+
+        def ends(piece: Column, i: Column) -> Column:
+            hit = F.coalesce(F.get(hits, i), F.lit(""))
+            return F.struct(
+                F.left(piece, near).alias("head"), F.right(piece, near).alias("tail"),
+                F.left(hit, near).alias("hit_head"), F.right(hit, near).alias("hit_tail"),
+            )
+
+        return F.transform(pieces, ends)
+
+    def of_pieces(pieces: Column, hits: Column) -> Column:
+        valid = F.filter(placed(pieces, hits), lambda s: kind.valid(s["hit"]))
+        return let(
+            valid,
+            lambda spans: F.when(
+                F.size(spans) > 0, let(cut(pieces, hits), lambda parts: F.transform(spans, lambda s: scored(parts, s)))
+            ).otherwise(F.array().cast(_SPAN)),
+        )
+
     def of_hits(hits: Column) -> Column:
-        spans = let(F.split(text, kind.pattern, -1), lambda pieces: placed(pieces, hits))
-        out = F.transform(F.filter(spans, lambda s: kind.valid(s["hit"])), scored)
+        out = let(F.split(text, kind.pattern, -1), lambda pieces: of_pieces(pieces, hits))
         if not kind.base:
             out = F.filter(out, lambda s: s["score"] >= LEAST_SCORE)
         return F.when(F.size(hits) > 0, out.cast(_SPAN))

@@ -255,3 +255,19 @@ def test_listed_and_unlisted_pages_of_one_host(spark):
         assert not verdicts[None] and not any(verdicts[1000 + i] for i in range(50))
         assert all(verdicts[5000 + i] for i in range(600))
     assert 0 < len(blocked) < 100
+
+
+def test_context_across_many_small_matches(spark):
+    rng = random.Random(3)
+    words = ["server", "1.2.3.4", "a@b.c", "+1 2345678", "078-05-1120", "ssn", "999.1.1.1", "x" * 50, "é", "mail "]
+    texts = ["".join(rng.choice(words) + rng.choice(["", " ", "  "]) for _ in range(60)) for _ in range(150)]
+    texts += ["1.1.1.1 " * 600, "1." * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in personal.find_personal(df).collect():
+        text = texts[r.doc_id]
+        for s in r.personal:
+            kind = next(k for k in personal.KINDS if k.name == s.kind)
+            around = text[max(0, s.start - personal.NEARBY) : s.start] + " " + text[s.end : s.end + personal.NEARBY]
+            near = re.search(kind.context, around.lower()) is not None
+            assert s.score == pytest.approx(min(kind.score + 0.3 * near, 1.0)), (s, around)
+    assert personal.document_personal(df.limit(0)).collect() == []
