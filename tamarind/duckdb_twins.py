@@ -391,6 +391,21 @@ ORACLE_SQL: dict[str, str] = {
            group by a.item, b.item""",
         "baskets",
     ),
+    "basket_pairs_supported": _with(
+        """select * from (
+               select a.item as item_a, b.item as item_b, count(*) as pair_count,
+                      cast(count(*) as double) / any_value(n) as support,
+                      cast(count(*) as double) / any_value(x.c) as confidence_ab,
+                      cast(count(*) as double) / any_value(y.c) as confidence_ba,
+                      cast(count(*) * any_value(n) as double) / (any_value(x.c) * any_value(y.c)) as lift
+               from baskets a join baskets b on a.transaction_id = b.transaction_id and a.item < b.item
+               join (select item, count(*) as c from baskets group by item) x on x.item = a.item
+               join (select item, count(*) as c from baskets group by item) y on y.item = b.item
+               cross join (select count(distinct transaction_id) as n from baskets)
+               group by a.item, b.item)
+           where support >= 0.003""",
+        "baskets",
+    ),
     "basket_rules_fpgrowth": """
         with recursive baskets as (
             select distinct l_orderkey as t, p_name as i from lineitem join part on l_partkey = p_partkey),

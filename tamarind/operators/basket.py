@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions.numbers import ratio_or_null
@@ -11,6 +11,8 @@ from tamarind.session import freeze
 
 #: Baskets up to this many items list their pairs in place; larger ones are cut into blocks over many tasks.
 BLOCK = 512
+#: Hashed pair counters of the first pass. This bounds what is broadcast, whatever the number of pairs.
+COUNTERS = 1 << 18
 
 
 def distinct_items(lines: DataFrame, transaction: str = "transaction_id", item: str = "item") -> DataFrame:
@@ -45,17 +47,36 @@ def _pairs_in_blocks(baskets: DataFrame, block: int) -> DataFrame:
     return left.join(right, ["t", "ba", "bb"]).filter(F.col("item_a") < F.col("item_b")).select("item_a", "item_b")
 
 
+def _in_full_counters(pairs: DataFrame, total: Column, min_support: float, counters: int) -> DataFrame:
+    """Pairs whose hashed counter reaches the support; a pair is never more frequent than its counter, so none is lost.
+
+    The pairs are listed once more for that, where they lie; what is shuffled is one number for each counter and task.
+    """
+    counter = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(counters)).alias("_counter")
+    full = (
+        pairs.groupBy(counter)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_baskets", total)
+        .filter(ratio_or_null(F.col("_n"), F.col("_baskets")) >= min_support)
+        .select("_counter")
+    )
+    # ``counters`` rows of one number at most.
+    return pairs.select("*", counter).join(F.broadcast(full), "_counter", "left_semi").drop("_counter")
+
+
 def pair_metrics(
     lines: DataFrame,
     transaction: str = "transaction_id",
     item: str = "item",
     min_support: float = 0.0,
     block: int = BLOCK,
+    counters: int = COUNTERS,
 ) -> DataFrame:
     """Pair count, support, confidence in both directions and lift of every item pair that shares a basket.
 
-    ``min_support`` is a share of all baskets. Items below it are left out before pairs are formed, which is exact: a
-    pair is never more frequent than its items.
+    ``min_support`` is a share of all baskets. Items below it are left out before pairs are formed, and pairs whose hashed
+    counter stays below it before they are counted one by one. Both are exact: neither an item nor a counter is less
+    frequent than its pairs. Without a support every pair is counted.
     """
     baskets = distinct_items(lines, transaction, item)
     total = _basket_sizes(baskets).agg(F.count(F.lit(1))).scalar()
@@ -68,6 +89,8 @@ def pair_metrics(
     pairs = _pairs_in_place(baskets.join(large, "t", "left_anti")).unionByName(
         _pairs_in_blocks(baskets.join(large, "t"), block)
     )
+    if min_support > 0:
+        pairs = _in_full_counters(pairs, total, min_support, counters)
     counted = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("pair_count"))
     a = items.select(F.col("i").alias("item_a"), F.col("n_item").alias("count_a"))
     b = items.select(F.col("i").alias("item_b"), F.col("n_item").alias("count_b"))

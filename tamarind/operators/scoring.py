@@ -24,6 +24,10 @@ from tamarind.session import freeze
 NEGATIVE, POSITIVE, NEUTRAL = 0, 1, 2
 CLASSES = (NEGATIVE, POSITIVE, NEUTRAL)
 
+#: Words that are one in this many or more of all training words are looked up where the comments lie; no more than this
+#: many words can be.
+COMMON = 1 << 16
+
 
 class Scorer(Protocol):
     """Turns texts into one row of (negative, positive, neutral) weights each."""
@@ -33,10 +37,12 @@ class Scorer(Protocol):
 
 @dataclass
 class CommentModel:
-    """``words``: word and its log weight in each class (``w0 w1 w2``). ``priors``: log weight of each class."""
+    """``words``: word, its log weight in each class (``w0 w1 w2``) and its count ``n``, ``total`` in all. ``priors``: log
+    weight of each class."""
 
     words: DataFrame
     priors: tuple[float, float, float]
+    total: int
 
 
 def _words(text: str) -> Column:
@@ -48,10 +54,11 @@ def train_comment_model(labelled: DataFrame, text: str = "text", label: str = "l
 
     Missing texts and labels are left out. Counts are frozen, so later steps do not clean the comments again.
     """
-    rows = labelled.select(_words(text).alias("words"), F.col(label).alias("label")).na.drop()
+    # Nulls go before the cleaning: a condition on the clean words would clean every comment once more.
+    rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).na.drop()
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect() if r.label in CLASSES}
     counts = freeze(
-        rows.select("label", F.explode("words").alias("word"))
+        rows.select("label", F.explode(_words("text")).alias("word"))
         .filter("word <> ''")
         .groupBy("word")
         .agg(*[F.count(F.when(F.col("label") == c, 1)).alias(f"n{c}") for c in CLASSES]),
@@ -63,24 +70,32 @@ def train_comment_model(labelled: DataFrame, text: str = "text", label: str = "l
     ]
     every = sum(sizes.values())
     priors = tuple(math.log((sizes.get(c, 0) + alpha) / (every + alpha * len(CLASSES))) for c in CLASSES)
-    return CommentModel(counts.select("word", *weights), priors)
+    n = sum(F.col(f"n{c}") for c in CLASSES).alias("n")
+    return CommentModel(counts.select("word", *weights, n), priors, sum(totals))
 
 
 def class_weights(df: DataFrame, model: CommentModel, key: str, text: str = "text") -> DataFrame:
     """``key, weights``: log weight of each class for every comment that holds a word the model knows.
 
-    Words are counted inside a comment before they meet the model; a word that most comments hold is a join on a hot key,
-    which adaptive execution splits. Comments with one ``key`` count as one.
+    Common words meet the model where the comments lie and become one row a comment before anything is shuffled. Other
+    words are counted inside a comment and joined; none of them is a hot key of the model. Comments with one ``key`` count
+    as one.
     """
-    counted = (
-        df.select(F.col(key).alias("_key"), F.explode(_words(text)).alias("word"))
-        .groupBy("_key", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
+    # ``COMMON`` words at most, by their share.
+    common = model.words.filter(F.col("n") * COMMON >= model.total).select(
+        F.col("word").alias("_common"), *[F.col(f"w{c}").alias(f"_w{c}") for c in CLASSES]
+    )
+    said = df.select(F.col(key).alias("_key"), F.explode(_words(text)).alias("_said"))
+    met = said.join(F.broadcast(common), F.col("_said") == F.col("_common"), "left")
+    # No word starts with a blank: the row of a comment's common words meets nothing, and such rows are spread.
+    alone = F.concat(F.lit(" "), F.xxhash64("_key").cast("string"))
+    counted = met.groupBy("_key", F.when(F.col("_common").isNull(), F.col("_said")).otherwise(alone).alias("word")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"_w{c}").alias(f"_w{c}") for c in CLASSES]
     )
-    summed = counted.join(model.words, "word").groupBy("_key").agg(
-        *[(F.sum(F.col("n") * F.col(f"w{c}")) + F.lit(model.priors[c])).alias(f"w{c}") for c in CLASSES]
+    summed = counted.join(model.words, "word", "left").groupBy("_key").agg(
+        *[(F.sum(F.coalesce(F.col(f"_w{c}"), F.col("_n") * F.col(f"w{c}"))) + F.lit(model.priors[c])).alias(f"w{c}") for c in CLASSES]
     )
-    return summed.select(F.col("_key").alias(key), F.array(*[f"w{c}" for c in CLASSES]).alias("weights"))
+    return summed.filter(F.col("w0").isNotNull()).select(F.col("_key").alias(key), F.array(*[f"w{c}" for c in CLASSES]).alias("weights"))
 
 
 def score_with_model(

@@ -158,6 +158,12 @@ def basket_pairs(t: Tables) -> DataFrame:
     return basket.pair_metrics(t.basket_lines())
 
 
+@query
+def basket_pairs_supported(t: Tables) -> DataFrame:
+    """Pairs in at least three of 1,000 baskets."""
+    return basket.pair_metrics(t.basket_lines(), min_support=0.003)
+
+
 @query
 def basket_rules_fpgrowth(t: Tables) -> DataFrame:
     rules = basket.growth_rules(t.basket_lines(), min_support=0.002, min_confidence=0.05)

@@ -4,6 +4,7 @@ import contextlib
 import io
 import itertools
 import os
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tamarind.functions.geo import haversine_km
-from tamarind.operators import basket, features, neighbours, pivots, places, rank, selection
+from tamarind.operators import basket, features, neighbours, pivots, places, rank, scoring, selection
 from tamarind.plans import loyalty
 from tamarind.plans.registry import QUERIES
 from tamarind.session import freeze, shared_folder
@@ -359,3 +360,51 @@ def test_hot_customer_is_split_in_shuffled_joins(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_pairs_pruned_by_counters_equal_the_plain_count(spark):
+    rng = np.random.default_rng(5)
+    lines = [(t, f"i{int(i)}") for t in range(300) for i in rng.zipf(1.4, 6) % 80] + [(900, f"i{i}") for i in range(60)]
+    df = spark.createDataFrame(lines, "transaction_id long, item string")
+    every = {(r.item_a, r.item_b): r for r in basket.pair_metrics(df).collect()}
+    for support, counters in ((0.02, 1 << 18), (0.02, 7), (0.001, 64), (0.9, 16)):
+        wanted = {k: tuple(r) for k, r in every.items() if r.support >= support}
+        got = basket.pair_metrics(df, min_support=support, block=16, counters=counters)
+        assert {(r.item_a, r.item_b): tuple(r) for r in got.collect()} == wanted
+    assert 0 < sum(r.support >= 0.02 for r in every.values()) < len(every) / 4
+    # What is counted pair by pair is less than what shares a basket: rare pairs of frequent items are gone before.
+    total = F.lit(301).cast("bigint")
+    pairs = basket._pairs_in_place(basket.distinct_items(df))
+    left = basket._in_full_counters(pairs, total, 0.02, 1 << 18).distinct().count()
+    assert left < pairs.distinct().count() / 4
+    assert "LeftSemi" in plan_of(got)
+    assert basket.pair_metrics(df.limit(0), min_support=0.1).count() == 0
+
+
+def test_common_words_and_rare_words_score_alike(spark, monkeypatch):
+    """The share that parts common from rare words chooses a plan, not a result."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(200)]
+    texts = [(int(i), " ".join(words[int(w) % 200] for w in rng.zipf(1.3, int(rng.integers(1, 40)))), int(rng.integers(3)))
+             for i in range(300)] + [(7, "w1 unknown", 1), (None, "w2", 0), (500, "never", 1), (501, "", 2), (502, None, 2)]
+    df = spark.createDataFrame(texts, "id long, text string, label int")
+    model = scoring.train_comment_model(df.filter("id < 200"))
+    found = []
+    for common in (1, 50, 1 << 16):
+        monkeypatch.setattr(scoring, "COMMON", common)
+        weights = scoring.class_weights(df, model, "id")
+        found.append({r.id: list(r.weights) for r in weights.collect()})
+        kept = model.words.filter(F.col("n") * common >= model.total).count()
+        assert kept <= common and (kept == model.words.count()) == (common == 1 << 16)
+        assert "LeftOuter" in plan_of(weights)
+    assert 500 not in found[0] and None in found[0]
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for id_, weights in other.items():
+            assert weights == pytest.approx(found[0][id_], abs=1e-9)
+    by_hand = {r.word: (r.w0, r.w1, r.w2) for r in model.words.collect()}
+    said = Counter(w for i, t, _ in texts if i == 7 for w in t.split() if w in by_hand)
+    for c in range(3):
+        assert found[0][7][c] == pytest.approx(model.priors[c] + sum(n * by_hand[w][c] for w, n in said.items()), abs=1e-5)
+    # The cleaner runs once over what is scored, and once over what is learned from.
+    assert plan_of(scoring.class_weights(df, model, "id")).count("translate(") == 1
