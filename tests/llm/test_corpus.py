@@ -208,10 +208,39 @@ def test_mix_follows_the_asked_weights(spark):
             assert np.abs(done - np.array(shares) * (k + 1)).max() < 1
     rows = [(i, "a" if i % 3 else "b") for i in range(1500)]
     asked = {"a": 2.0**0.5, "b": 0.5}
-    out = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), asked, block_rows=2, period=4).collect()
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), asked, block_rows=2, period=4, segment=40).collect()
     check_mix(out, {s: w / sum(asked.values()) for s, w in asked.items()}, 1500)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_segments_meet_without_handing_on_state(seed):
+    """Every source is less than one block off at every slot, across the borders of short segments as well."""
+    rng = random.Random(seed)
+    names = [f"s{i}" for i in range(rng.choice([2, 3, 7, 40]))]
+    weights = {n: rng.choice([1.0, rng.random() + 0.01, math.sqrt(rng.randint(1, 900)), 0.25]) for n in names}
+    shares = mixing.whole_shares(weights)
+    ranked, total = mixing._ranked(shares), sum(shares.values())
+    sizes = [shares[n] for n in ranked]
+    counts = [3 + n * 3000 // total for n in sizes]
+    at, done, every = 0, [0] * len(sizes), []
+    for stop in sorted(rng.sample(range(1, 2500), 60)):  # any borders, also one slot apart
+        rows = list(mixing._segment(sizes, [10**9] * len(sizes), at, stop))
+        assert [slot for _, _, slot, _ in rows] == list(range(at, stop))
+        for rank, block, slot, gone in rows:
+            assert block == done[rank] and not gone
+            done[rank] += 1
+            assert all(abs(d * total - n * (slot + 1)) < total for d, n in zip(done, sizes))
+        assert done == mixing._allotted(sizes, stop)
+        at = stop
+    for length in (1, 50, 1000):
+        number, length = mixing._segments(sizes, counts, length)
+        every, end = mixing.schedule(shares, dict(zip(ranked, counts)), length)
+        assert Counter(r for r, _, _ in every) == Counter(dict(enumerate(counts)))
+        assert [s for _, _, s in every][:end] == list(range(end)) and len({s for _, _, s in every}) == len(every)
+        assert all(i * total // sizes[r] <= s < -(-(i + 1) * total // sizes[r]) for r, i, s in every)
+        assert end >= min(c * total // n for n, c in zip(sizes, counts)) and number >= 1
+
+
 # --- shingle join -------------------------------------------------------------------------------------------------
 def shingles(text):
     words = (text or "").encode().translate(LOWER).split()
