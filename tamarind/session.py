@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,11 +42,21 @@ def apply_options(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for frozen tables: ``spark.checkpoint.dir`` of the session.
 
-    Without the setting the warehouse of the session is used, which all executors reach as well. The session's settings
-    are left as they are.
+    Without the setting the warehouse of the session is used. On a cluster that has to lie on a file system that all
+    machines share, so a local path is an error there. The session's settings are left as they are.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_frozen"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if on_one_machine(warehouse) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{warehouse} is a folder of one machine: set spark.checkpoint.dir to one that all executors reach")
+    return warehouse.rstrip("/") + "/_frozen"
+
+
+def on_one_machine(path: str) -> bool:
+    """Whether a path names the file system of the machine it is read on. Spark writes that scheme out in its warehouse."""
+    return urlsplit(path).scheme == "file"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,6 +5,7 @@ import io
 import itertools
 import os
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -100,6 +101,23 @@ def test_frozen_rows_do_not_change(spark):
     assert shared_folder(spark) in plan_of(frozen, "formatted")
 
 
+@pytest.mark.parametrize("master,checkpoints,warehouse,folder", [
+    ("local[4]", None, "file:/w", "file:/w/_frozen"), ("yarn", None, "hdfs://n/w/", "hdfs://n/w/_frozen"),
+    ("yarn", "file:/shared", "file:/w", "file:/shared"), ("yarn", None, "file:/w", None),
+])
+def test_frozen_rows_lie_where_all_machines_reach_them(master, checkpoints, warehouse, folder):
+    settings = {"spark.checkpoint.dir": checkpoints, "spark.sql.warehouse.dir": warehouse}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default),
+        sparkContext=SimpleNamespace(master=master, getConf=lambda: {}),
+    )
+    if folder:
+        assert shared_folder(session) == folder
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+
+
 # --- hot customers ------------------------------------------------------------------------------------------------
 def test_hot_customer_gets_whole_results(spark):
     rng = np.random.default_rng(5)
