@@ -114,8 +114,11 @@ def _nearest_by_cell(sites: DataFrame, pois: DataFrame, first_size: float = 1 /
 
     A site compares itself with the landmarks of its cell and the 26 cells around it. When the best of these is closer
     than one cell size nothing outside can be nearer, so the site is done; the others go on with larger cells until one
-    cell covers the globe. Sites at one coordinate are looked up once. Every round is frozen, which keeps plans short.
+    cell covers the globe. Sites at one coordinate are looked up once, and of landmarks at one coordinate only the first by
+    id can be an answer. Every round is frozen, which keeps plans short.
     """
+    first = F.min(F.struct("poi_id", "poi_name")).alias("_first")
+    pois = pois.groupBy("poi_lat", "poi_lon").agg(first).select("_first.*", "poi_lat", "poi_lon")
     points = freeze(sites.select("lat", "lon").na.drop().distinct(), "points")
     open_points, done, size = points, [], first_size
     while True:

@@ -254,6 +254,9 @@ def test_grid_and_list_find_the_same_landmarks(spark):
     nowhere = [(995, "nowhere", None, 1.0)]
     pois = [(i, f"p{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(-90, 90, 40), rng.uniform(-180, 180, 40)))]
     pois += [(200 + i, "near", 10.0 + i / 1000, 20.0) for i in range(15)] + [(300, "line", 0.0, -179.9)]
+    # Most landmarks share one coordinate; the first id is the answer there.
+    pois += [(900 - i, f"stack{i % 7}", -10.0, 30.0) for i in range(500)]
+    sites += [(980, "stack", -10.0, 30.0), (981, "stack", -10.01, 30.0)]
     s = spark.createDataFrame(sites + nowhere, "site_id long, site_name string, lat double, lon double")
     p = spark.createDataFrame(pois, "poi_id long, poi_name string, lat double, lon double")
     p = p.unionByName(p.limit(1).select(F.lit(-1).cast("long").alias("poi_id"), "poi_name", F.lit(None).cast("double").alias("lat"), "lon"))
