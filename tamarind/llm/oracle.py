@@ -101,7 +101,6 @@ from whole
 
 def _urls() -> str:
     listed = " or ".join(f"contains(host, '{w}')" for w in urls.LISTED_WORDS)
-    listed = f"({listed}) and contains('{urls.REPORTED_DIGITS}', sha256(page_id::varchar)[1])"
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
     return rf"""
 with cut as (
