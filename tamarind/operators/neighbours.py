@@ -1,18 +1,22 @@
-"""Exact k-nearest-neighbour classification against a bounded set of fitted rows.
+"""Exact k-nearest-neighbour classification.
 
-The labelled rows are the model: they are bounded by an argument, sent to every task as one matrix, and each test row is
-compared with all of them where it lies. There is no join and no shuffle, and the work is linear in the test rows.
+The labelled rows are the model. For a vote, all of them are dealt into blocks and the asked rows into chunks; every chunk
+meets every block in a task of its own, so that a task holds a bounded number of rows however large the tables are. The
+work is the product of the two counts, as exact search must be, spread over as many tasks as there are pairs of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamarind.session import freeze
+
 #: Most labelled rows that are fitted (50 MB for 64 entries a row). More are reduced to those first by the hash of their id.
 MOST_FITTED = 100_000
 #: Numbers in a block of distances that a task computes at once.
@@ -50,9 +54,22 @@ def _nearest():
             d = gap.sum(axis=2) if p == 1 else np.sqrt(np.square(gap).sum(axis=2))
             if folds is not None:
                 d[folds[start : start + step, None] == fitted["fold"][None, :]] = np.inf
-            # A stable sort of rows in id order leaves equal distances in id order.
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            yield start, best, np.take_along_axis(d, best, axis=1)
+            yield start, *_first(d, k)
+
+    def _first(d: np.ndarray, k: int):
+        """Positions and values of the k smallest of each row of ``d``, equal values by position."""
+        if d.shape[1] > k:
+            kth = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
+            if not np.isnan(kth).any():
+                # Only values up to the k-th, ties with it included, are sorted: by row, value, position.
+                rows, cols = np.nonzero(d <= kth)
+                order = np.lexsort((cols, d[rows, cols], rows))
+                rows, cols = rows[order], cols[order]
+                best = cols[np.searchsorted(rows, np.arange(len(d)))[:, None] + np.arange(k)[None, :]]
+                return best, np.take_along_axis(d, best, axis=1)
+        # A stable sort of rows in id order leaves equal distances in id order.
+        best = np.argsort(d, axis=1, kind="stable")[:, :k]
+        return best, np.take_along_axis(d, best, axis=1)
 
     return nearest
 
@@ -87,39 +104,126 @@ def nearest_rows(train: DataFrame, test: DataFrame, k: int = 10, p: int = 2, mos
     return rows.mapInPandas(match, "id long, neighbour long, label int, distance double, place int")
 
 
-def _votes(rows: DataFrame, train: DataFrame, ks: Sequence[int], ps: Sequence[int], most: int, by_fold: bool) -> DataFrame:
-    """``id, label, fold, p, k, predicted`` of each row for all k and p in one pass over the rows."""
-    nearest, fitted = _nearest(), rows.sparkSession.sparkContext.broadcast(fitted_rows(train, most))
-    ks, ps = sorted(ks), tuple(ps)
+#: Fitted rows in a block and asked rows in a chunk; every chunk meets every block in a task of its own, so that a task
+#: holds one block and one chunk (10 MB apiece for 64 entries a row) however many rows there are.
+BLOCK_ROWS = 20_000
 
-    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = fitted.value
-        names, codes = np.unique(known["label"], return_inverse=True)
-        for batch in batches:
-            if not len(batch) or not len(names):
-                continue
-            vectors, folds = np.stack(batch["vec"].to_list()), batch["fold"].to_numpy()
-            for p in ps:
-                for start, best, distance in nearest(vectors, folds if by_fold else None, known, max(ks), p):
-                    one = np.eye(len(names), dtype="int32")[codes[best]] * np.isfinite(distance)[:, :, None]
-                    counts = one.cumsum(axis=1)  # votes among the first k, for every k
-                    part = batch.iloc[start : start + len(best)]
-                    for k in ks:
-                        # The first of equal maxima is the smaller label.
-                        chosen = names[counts[:, min(k, best.shape[1]) - 1].argmax(axis=1)]
-                        yield pd.DataFrame(
-                            {
-                                "id": part["id"], "label": part["label"], "fold": part["fold"], "p": np.int32(p),
-                                "k": np.int32(k), "predicted": chosen.astype("int32"),
-                            }
-                        )
-
-    fold = F.col("fold").cast("int") if by_fold else F.lit(-1)
+
+def _dealt(rows: DataFrame, name: str, size: int) -> tuple[DataFrame, int]:
+    """``rows`` with ``name``, a number below the count returned: rows dealt by the hash of their id, ``size`` at most a
+    number if there are many; at least as many numbers as the square root of the cores, so that all cores share the pairs.
+    """
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    count = max(1, min(max(n, 1), max(-(-n // size), int(np.ceil(np.sqrt(cores))))))
+    return rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")), count
+
+
+def _candidates(k: int, p: int, by_fold: bool):
+    """Kernel of a (chunk, block) group: the k nearest of the block for each asked row, equal distances by id."""
+    nearest = _nearest()
+
+    def best(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(known):
+            return pd.DataFrame({c: [] for c in ("row", "neighbour", "nlabel", "distance")})
+        known = known.sort_values(["id", "label"], kind="stable")
+        fitted = {
+            "id": known["id"].to_numpy("int64"),
+            "label": known["label"].to_numpy("int64"),
+            "fold": known["fold"].to_numpy("int64"),
+            "vec": np.stack(known["vec"].to_list()).astype("float64"),
+        }
+        vectors, folds = np.stack(asked["vec"].to_list()).astype("float64"), asked["fold"].to_numpy("int64")
+        rows = asked["row"].to_numpy("int64")
+        parts = []
+        for start, chosen, distance in nearest(vectors, folds if by_fold else None, fitted, k, p):
+            n, m = chosen.shape
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "row": np.repeat(rows[start : start + n], m),
+                        "neighbour": fitted["id"][chosen].ravel(),
+                        "nlabel": fitted["label"][chosen].ravel(),
+                        "distance": distance.ravel(),
+                    }
+                )
+            )
+        return pd.concat(parts, ignore_index=True)
+
+    return best
+
+
+def _votes(rows: DataFrame, train: DataFrame, ks: Sequence[int], ps: Sequence[int], most: int | None, by_fold: bool) -> DataFrame:
+    """``id, label, fold, p, k, predicted`` of each row for all k and p.
+
+    Every asked row is compared with every fitted row: chunks of asked rows meet blocks of fitted rows in a cogroup, each
+    group keeps the nearest ``max(ks)`` of its block for each row, and a second grouping by chunk keeps the nearest of
+    all blocks and votes. Nothing passes through the driver but the counts of rows and the smallest label.
+    """
+    ks, ps = sorted(ks), tuple(ps)
+    most_k = max(ks)
+    fold = F.col("fold").cast("int") if "fold" in train.columns else F.lit(-1)
+    known = train.filter(F.col("vec").isNotNull()).select(
+        "id", F.col("label").cast("int").alias("label"), fold.alias("fold"), F.col("vec").cast("array<double>").alias("vec")
+    )
+    if most is not None:
+        known = known.orderBy(F.xxhash64("id"), "id").limit(most)
+    afold = F.col("fold").cast("int") if by_fold else F.lit(-1)
     label = F.col("label").cast("int") if "label" in rows.columns else F.lit(0)
     asked = rows.filter(F.col("vec").isNotNull()).select(
-        "id", label.alias("label"), fold.alias("fold"), F.col("vec").cast("array<double>").alias("vec")
+        "id", label.alias("label"), afold.alias("fold"), F.col("vec").cast("array<double>").alias("vec")
     )
-    return asked.mapInPandas(vote, "id long, label int, fold int, p int, k int, predicted int")
+    # Asked rows may repeat an id; each is answered on its own, by a number that stays fixed where the rows are read twice.
+    asked, chunks = _dealt(freeze(asked.withColumn("row", F.monotonically_increasing_id()), "knn_asked"), "chunk", BLOCK_ROWS)
+    known, blocks = _dealt(known, "block", BLOCK_ROWS)
+    # With no finite distance the vote falls to the smallest label of all fitted rows, as a vote over all labels would.
+    smallest = known.agg(F.min("label")).first()[0]
+    asked_in = asked.crossJoin(F.broadcast(known.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"))))
+    known_in = known.crossJoin(F.broadcast(known.sparkSession.range(chunks).select(F.col("id").cast("int").alias("chunk"))))
+    out = []
+    for p in ps:
+        found = (
+            asked_in.select("chunk", "block", "row", "fold", "vec")
+            .groupBy("chunk", "block")
+            .cogroup(known_in.select("chunk", "block", "id", "label", "fold", "vec").groupBy("chunk", "block"))
+            .applyInPandas(_candidates(most_k, p, by_fold), "row long, neighbour long, nlabel long, distance double")
+        )
+        met = asked.select("row", "id", "label", "fold", "chunk").join(found, "row")
+        out.append(
+            met.groupBy("chunk").applyInPandas(
+                _chosen(ks, p, smallest), "id long, label int, fold int, p int, k int, predicted int"
+            )
+        )
+    return reduce(DataFrame.unionByName, out)
+
+
+def _chosen(ks: Sequence[int], p: int, smallest: int | None):
+    """Kernel of a chunk: the nearest ``max(ks)`` of all blocks for each row, and its vote for every k."""
+
+    def vote(met: pd.DataFrame) -> pd.DataFrame:
+        met = met.sort_values(["row", "distance", "neighbour", "nlabel"], kind="stable")
+        met = met[met.groupby("row", sort=False).cumcount() < max(ks)]
+        first = met.drop_duplicates("row")
+        width = int(met.groupby("row", sort=False).size().max()) if len(met) else 0
+        names = np.unique(np.concatenate([met["nlabel"].to_numpy("int64"), [smallest] if smallest is not None else []]))
+        codes = np.searchsorted(names, met["nlabel"].to_numpy("int64")).reshape(len(first), width)
+        finite = np.isfinite(met["distance"].to_numpy()).reshape(len(first), width)
+        one = np.eye(len(names), dtype="int32")[codes] * finite[:, :, None]
+        counts = one.cumsum(axis=1)
+        parts = []
+        for k in ks:
+            # The first of equal maxima is the smaller label.
+            chosen = names[counts[:, min(k, width) - 1].argmax(axis=1)]
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "id": first["id"].to_numpy(), "label": first["label"].to_numpy(), "fold": first["fold"].to_numpy(),
+                        "p": np.int32(p), "k": np.int32(k), "predicted": chosen.astype("int32"),
+                    }
+                )
+            )
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+
+    return vote
 
 
 def classify(
@@ -127,14 +231,17 @@ def classify(
     test: DataFrame,
     ks: Sequence[int] | None = None,
     ps: Sequence[int] = (1, 2),
-    most: int = MOST_FITTED,
+    most: int | None = None,
 ) -> DataFrame:
-    """``id, k, predicted, p``: majority label of every test row for each (p, k); the smaller label wins a tie."""
+    """``id, k, predicted, p``: majority label of every test row for each (p, k); the smaller label wins a tie.
+
+    All labelled rows are fitted; ``most``, if given, bounds them to those first by the hash of their id.
+    """
     return _votes(test, train, ks or range(1, 11), ps, most, by_fold=False).select("id", "k", "predicted", "p")
 
 
 def cross_validate(
-    rows: DataFrame, ks: Sequence[int] | None = None, ps: Sequence[int] = (1, 2), most: int = MOST_FITTED
+    rows: DataFrame, ks: Sequence[int] | None = None, ps: Sequence[int] = (1, 2), most: int | None = None
 ) -> DataFrame:
     """Mean accuracy over the folds for each (p, k), best first. ``rows``: id, label, vec and a fold number.
 

@@ -240,6 +240,28 @@ def test_vote_prefers_the_smaller_label(spark):
     assert {r.k: r.predicted for r in neighbours.classify(train, test, [1, 2, 3], (2,)).collect()} == {1: 7, 2: 3, 3: 7}
 
 
+@pytest.mark.parametrize("p", [1, 2])
+def test_votes_over_blocks_use_every_row_and_none_on_the_driver(spark, monkeypatch, p):
+    """All fitted rows vote, dealt over several blocks and chunks; no row is collected to fit them."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(neighbours, "fitted_rows", lambda *a, **k: pytest.fail("fitted rows collected on the driver"))
+    rng = np.random.default_rng(p)
+    x = np.concatenate([rng.integers(0, 4, (50, 2)), np.full((30, 2), 2)]).astype(float)
+    labels = [int(i % 4) for i in range(len(x))]
+    train = spark.createDataFrame([(i, labels[i], [float(c) for c in v]) for i, v in enumerate(x)], "id long, label int, vec array<double>")
+    asked = [(1000 + i, [float(c) for c in v]) for i, v in enumerate(rng.integers(0, 5, (20, 2)))] + [(1000, [0.0, 0.0])]
+    got = neighbours.classify(train, spark.createDataFrame(asked, "id long, vec array<double>"), [1, 3, 10], (p,)).collect()
+    assert len(got) == 3 * len(asked)
+    want = []
+    for i, v in asked:
+        d = np.abs(x - v).sum(axis=1) if p == 1 else np.sqrt(np.square(x - v).sum(axis=1))
+        order = np.lexsort((np.arange(len(x)), d))
+        for k in (1, 3, 10):
+            votes = np.bincount([labels[j] for j in order[:k]], minlength=4)
+            want.append((i, k, int(votes.argmax())))
+    assert sorted((r.id, r.k, r.predicted) for r in got) == sorted(want)
+
+
 def test_fitted_rows_are_bounded_by_an_argument(spark):
     train = spark.range(50).select("id", F.lit(1).alias("label"), F.array(F.col("id").cast("double")).alias("vec"))
     first, again = neighbours.fitted_rows(train, 7), neighbours.fitted_rows(train.repartition(5), 7)
