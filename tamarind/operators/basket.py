@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +113,28 @@ def pair_metrics(
     return metrics.filter(F.col("support") >= min_support) if min_support > 0 else metrics
 
 
+def _frequent_sets(arrays: DataFrame, min_count: Column) -> DataFrame:
+    """All itemsets in at least ``min_count`` baskets, level by level, as (sorted items ``s``, ``freq``).
+
+    A set grows only by items after its last one in the basket's sorted array, and only frequent sets grow, since every
+    prefix of a frequent set is frequent. Each level is a narrow explode of the basket arrays, counted with partial
+    aggregation; what is broadcast to the next level is the frequent sets of this one, which do not grow with the baskets.
+    """
+    rows = arrays.select("items", F.posexplode("items").alias("p", "i")).select("items", "p", F.array("i").alias("s"))
+    levels = []
+    while True:
+        counted = rows.groupBy("s").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= min_count)
+        frequent = freeze(counted, "itemsets")
+        if frequent.isEmpty():
+            break
+        levels.append(frequent)
+        grown = rows.join(F.broadcast(frequent.select("s")), "s", "left_semi").select(
+            "items", "p", "s", F.posexplode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("q", "i")
+        )
+        rows = grown.select("items", (F.col("p") + 1 + F.col("q")).alias("p"), F.concat("s", F.array("i")).alias("s"))
+    return functools.reduce(DataFrame.unionByName, levels, frequent)
+
+
 def growth_rules(
     lines: DataFrame,
     transaction: str = "transaction_id",
@@ -119,31 +142,39 @@ def growth_rules(
     min_support: float = 0.01,
     min_confidence: float = 0.05,
 ) -> DataFrame:
-    """Rules with any number of antecedents by FP-growth.
+    """Rules with any number of antecedents and one consequent, as FP-growth gives them, from all frequent itemsets.
 
-    Items below the support are left out first. What is left is at most (average basket size / min_support) items, so
-    the item arrays handed to FP-growth have a bound that does not grow with the data.
+    Items below the support are left out first; the baskets' arrays of the rest are frozen once. Frequent itemsets are
+    then counted level by level (``_frequent_sets``), every basket in its own task, so no tree or group holds many
+    baskets. Baskets that lose all their items still count in the total.
     """
     baskets = distinct_items(lines, transaction, item)
     total = _basket_sizes(baskets).agg(F.count(F.lit(1))).scalar()
-    frequent = (
-        baskets.groupBy("i")
-        .agg(F.count(F.lit(1)).alias("n_item"))
-        .withColumn("total", total)
-        .filter(F.col("n_item") >= F.col("total") * min_support)
+    min_count = total * min_support
+    frequent = baskets.groupBy("i").agg(F.count(F.lit(1)).alias("n_item")).filter(F.col("n_item") >= min_count)
+    arrays = freeze(
+        baskets.join(frequent.select("i"), "i", "left_semi").groupBy("t").agg(F.sort_array(F.collect_list("i")).alias("items")),
+        "basket_arrays",
+    )
+    sets = _frequent_sets(arrays, min_count)
+    whole = sets.filter(F.size("s") > 1).select("s", "freq", F.explode("s").alias("consequent"))
+    parts = whole.select(
+        F.filter("s", lambda x: x != F.col("consequent")).alias("antecedent"), "consequent", F.col("freq").alias("n_union")
     )
-    # Baskets that lose all their items still count in the total, so they stay as empty arrays.
-    arrays = (
-        baskets.join(frequent.select("i", F.lit(True).alias("kept")), "i", "left")
-        .groupBy("t")
-        .agg(F.collect_list(F.when(F.col("kept"), F.col("i"))).alias("items"))
+    antecedents = sets.select(F.col("s").alias("antecedent"), F.col("freq").alias("n_antecedent"))
+    consequents = sets.filter(F.size("s") == 1).select(F.col("s")[0].alias("consequent"), F.col("freq").alias("n_consequent"))
+    confidence = F.col("n_union").cast("double") / F.col("n_antecedent")
+    rules = (
+        parts.join(antecedents, "antecedent")
+        .join(consequents, "consequent")
+        .withColumn("confidence", confidence)
+        .filter(F.col("confidence") >= min_confidence)
+        .withColumn("baskets", total.cast("double"))
     )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(arrays)
-    rules = model.associationRules
     return rules.select(
         F.array_join(F.sort_array("antecedent"), " + ").alias("antecedent"),
-        F.array_join(F.sort_array("consequent"), " + ").alias("consequent"),
+        F.col("consequent"),
         "confidence",
-        "lift",
-        "support",
+        (F.col("confidence") / (F.col("n_consequent").cast("double") / F.col("baskets"))).alias("lift"),
+        (F.col("n_union").cast("double") / F.col("baskets")).alias("support"),
     )

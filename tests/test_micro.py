@@ -220,6 +220,31 @@ def test_growth_rules_agree_with_pairs(spark):
     assert rules["a + c", "b"].confidence == 1.0
 
 
+def test_growth_rules_all_itemsets_by_dataframes(spark):
+    """Every frequent set of any size, by brute force; counted by Spark jobs, not out of trees built from an RDD."""
+    import itertools
+
+    lines = [(t, f"i{k}") for t in range(60) for k in range(6) if (t >> k) & 1 or t % (k + 2) == 0]
+    df = spark.createDataFrame(lines, "transaction_id int, item string")
+    rules = basket.growth_rules(df, min_support=0.1, min_confidence=0.3)
+    assert "ExistingRDD" not in rules._jdf.queryExecution().executedPlan().toString()
+    baskets = [{i for t2, i in lines if t2 == t} for t in range(60)]
+    count = lambda s: sum(set(s) <= b for b in baskets)
+    items = sorted({i for _, i in lines})
+    expected = {}
+    for size in range(2, len(items) + 1):
+        for s in itertools.combinations(items, size):
+            if count(s) >= 6:
+                for c in s:
+                    a = [x for x in s if x != c]
+                    if count(s) / count(a) >= 0.3:
+                        expected[" + ".join(a), c] = (count(s) / count(a), count(s) / 60)
+    got = {(r.antecedent, r.consequent): (r.confidence, r.support) for r in rules.collect()}
+    assert got.keys() == expected.keys() and any(" + " in a and a.count("+") >= 2 for a, _ in got)
+    for k, (conf, sup) in expected.items():
+        assert got[k] == (pytest.approx(conf), pytest.approx(sup))
+
+
 # Published pair table: (pair count, confidence both ways, lift, support) with 3471 baskets in all.
 @pytest.mark.parametrize("pairs,conf_ab,conf_ba,lift,support", [(203, 0.2010, 0.4732, 1.63, 0.0585), (175, 0.6530, 0.2709, 3.51, 0.0504)])
 def test_lift_identity(pairs, conf_ab, conf_ba, lift, support):
