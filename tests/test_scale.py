@@ -210,6 +210,17 @@ def test_pivot_index_equals_brute_force(spark, monkeypatch, p, pivot_count):
         assert got[i] == [(int(j), int(j % 3), place + 1) for place, j in enumerate(np.lexsort((np.arange(len(x)), d))[:10])]
 
 
+def test_closest_screens_by_product_yet_equals_the_whole_sort():
+    """Near copies far from the origin and exact ties: the same columns and distances as sorting all ``distances``."""
+    rng = np.random.default_rng(8)
+    vecs = np.repeat(rng.normal(size=(4, 64)) * 1e6, 50, axis=0) + rng.integers(0, 2, (200, 64)) * 1e-3
+    asked, known = np.concatenate([vecs[::7], rng.normal(size=(10, 64))]), rng.permutation(1000)[:200].astype("int64")
+    d = pivots.distances(asked, vecs, 2)
+    whole = np.lexsort((np.broadcast_to(known, d.shape), d), axis=1)[:, :5]
+    order, near = pivots.closest(asked, vecs, known, 5, 2)
+    assert np.array_equal(order, whole) and np.array_equal(near, np.take_along_axis(d, whole, axis=1))
+
+
 def test_pivot_index_of_few_rows_and_its_plan(spark):
     train = spark.createDataFrame([(1, 5, [0.0]), (2, 6, [1.0])], "id long, label int, vec array<double>")
     test = spark.createDataFrame([(9, [0.2])], "id long, vec array<double>")
