@@ -273,6 +273,87 @@ def test_votes_over_blocks_use_every_row_and_none_on_the_driver(spark, monkeypat
     assert sorted((r.id, r.k, r.predicted) for r in got) == sorted(want)
 
 
+def _nearest_by_brute_force(a, x, ids, labels, k, p, apart):
+    for i, v in enumerate(a):
+        with np.errstate(over="ignore", invalid="ignore"):
+            d = np.abs(x - v).sum(axis=1) if p == 1 else np.sqrt(np.square(x - v).sum(axis=1))
+        met = np.flatnonzero(np.isfinite(d) & (apart[1] != apart[0][i]))
+        met = met[np.lexsort((labels[met], ids[met], d[met]))][:k]
+        yield d[met], ids[met], labels[met]
+
+
+def _odd_vectors(rng, x):
+    """One far row, one with a huge entry, rows that are not finite, and a row that comes often."""
+    x[1] *= 1e7
+    x[2, 3], x[3, 4], x[4, 5] = 1e300, np.nan, np.inf
+    x[10:40] = x[50]
+    return x
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("kind", ["normal", "offset", "odd", "ties", "equal", "tiny", "huge", "sparse", "flat", "few"])
+def test_screened_search_equals_measuring_all_pairs(kind, p):
+    """Distances, ids and labels to the last bit, equal distances by id and label, rows of one fold apart."""
+    rng = np.random.default_rng(p)
+    a, x = rng.normal(size=(60, 64)), rng.normal(size=(1500, 64))
+    a, x = {
+        "normal": lambda: (a, x), "offset": lambda: (a + 1e4, x + 1e4), "odd": lambda: (_odd_vectors(rng, a), _odd_vectors(rng, x)),
+        "ties": lambda: (rng.integers(0, 3, (60, 3)) * 1.0, rng.integers(0, 3, (1500, 3)) * 1.0),
+        "equal": lambda: (np.ones((60, 4)), np.ones((1500, 4))), "tiny": lambda: (a * 1e-30, x * 1e-30), "huge": lambda: (a * 1e160, x * 1e160),
+        "sparse": lambda: (a * (rng.random(a.shape) < 0.01), x * (rng.random(x.shape) < 0.01)),
+        "flat": lambda: (a[:, :0], x[:, :0]), "few": lambda: (a[:, :1], x[:5, :1]),
+    }[kind]()
+    ids, labels = rng.permutation(len(x)) // 2, rng.integers(0, 4, len(x))
+    apart = rng.integers(0, 5, len(a)), rng.integers(0, 5, len(x))
+    kept = neighbours._Kept(len(a), 10)
+    for part in np.array_split(np.arange(len(x)), 3):
+        neighbours._search(kept, a, x[part], ids[part], labels[part], p, (apart[0], apart[1][part]))
+    for i, (near, other, label) in enumerate(_nearest_by_brute_force(a, x, ids, labels, 10, p, apart)):
+        n = len(near)
+        assert np.array_equal(kept.near[i, :n], near) and np.isinf(kept.near[i, n:]).all()
+        assert np.array_equal(kept.other[i, :n], other) and np.array_equal(kept.label[i, :n], label)
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("odd", [False, True])
+def test_few_pairs_are_measured(monkeypatch, p, odd):
+    """The work entry by entry is a small share of all pairs, with rows far from all others as well."""
+    rng, pairs, measured = np.random.default_rng(p), [], neighbours._measured
+    monkeypatch.setattr(neighbours, "_measured", lambda a, b, p: pairs.append(len(a)) or measured(a, b, p))
+    a, x = rng.normal(size=(200, 64)), rng.normal(size=(8192, 64))
+    if odd:
+        x[1], x[2, 3], a[1], a[2, 3] = x[1] * 1e7, 1e300, a[1] * 1e7, 1e200
+    kept = neighbours._Kept(len(a), 10)
+    neighbours._search(kept, a, x, np.arange(len(x)), np.zeros(len(x), "int64"), p)
+    assert len(a) * 10 <= sum(pairs) < len(a) * len(x) * 0.03
+
+
+@pytest.mark.parametrize("section", [64 << 20, 100])
+def test_votes_over_sections_with_missing_values(spark, monkeypatch, section):
+    """Several packs, blocks and sections: the same folds apart, every row once, also those that repeat an id or lack a label."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(neighbours, "SECTION_BYTES", section)
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 6, (90, 3)).astype(float)
+    x[7, 1] = np.nan
+    rows = [(i // 2, None if i % 30 == 8 else i % 3, i % 4, [float(c) for c in v]) for i, v in enumerate(x)] + [(500, 1, 2, None)]
+    df = spark.createDataFrame(rows, "id long, label int, fold int, vec array<double>").repartition(4)
+    votes = neighbours._votes(df, df, [1, 4], [2, 1], None, by_fold=True).collect()
+    ids, labels = np.array([r[0] for r in rows[:-1]]), np.array([-(2**63) if r[1] is None else r[1] for r in rows[:-1]])
+    folds, want = np.array([r[2] for r in rows[:-1]]), []
+    for p in (1, 2):
+        for i, (_, _, near) in enumerate(_nearest_by_brute_force(x, x, ids, labels, 4, p, (folds, folds))):
+            for k in (1, 4):
+                names, n = np.unique(near[:k], return_counts=True)
+                chosen = names[n.argmax()] if len(names) else 0
+                # A missing label votes; as before it reads 0 where it wins.
+                want.append((rows[i][0], rows[i][1], rows[i][2], p, k, max(int(chosen), 0)))
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(map(tuple, votes), key=key) == sorted(want, key=key)
+    asked = df.select("id", "vec")
+    assert neighbours.classify(df.limit(0), asked).collect() == [] and neighbours.classify(df, asked.limit(0)).collect() == []
+
+
 def test_fitted_rows_are_bounded_by_an_argument(spark):
     train = spark.range(50).select("id", F.lit(1).alias("label"), F.array(F.col("id").cast("double")).alias("vec"))
     first, again = neighbours.fitted_rows(train, 7), neighbours.fitted_rows(train.repartition(5), 7)
